@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from locus.plans import q_density, q_partitional
+from locus.plans import q_density, q_partitional, q_results
 
-MODULES = [q_partitional, q_density]
+MODULES = [q_partitional, q_density, q_results]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

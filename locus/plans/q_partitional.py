@@ -5,9 +5,11 @@ Spark side: fixtures from ``plans.fixtures`` and operators from
 (``plans.sqlparts``).  Every query reads the whole ``part`` (PT) or
 ``lineitem`` (LTW) table.
 
-Rounding in results: centres to 6 decimals, WCSS of fitted (non-integer)
-centres to tens (it is a sum of ~1e3-1e5 doubles near 1e11, whose last bits
-depend on the summation order); WCSS against integer centres is exact.
+Exactness: coordinates are integers, so coordinate sums are exact and a
+centre (sum / count) is one correctly rounded division - the same bits in
+any IEEE engine; no rounding is applied to it.  Only the WCSS of fitted
+(non-integer) centres depends on summation order; it is rounded to tens
+(values near 1e11).  WCSS against integer centres is exact.
 """
 
 from __future__ import annotations
@@ -59,10 +61,6 @@ def _traversal(spark: SparkSession, sf_dir: str):
     return _memo[key]
 
 
-def _r6(c):
-    return F.round(c, 6)
-
-
 # ------------------------------------------------------------------ scans
 
 def points_scan(spark, sf_dir):
@@ -97,7 +95,7 @@ def assign_all_k(spark, sf_dir):
     """Label every point for every k with its fitted K-Means centre."""
     fits = _sweep(spark, sf_dir)
     out = km.assign_all_k(_pt(spark, sf_dir), {k: f.centers for k, f in fits.items()})
-    return out.select("k", "point_id", "center_id", _r6("cx").alias("cx"), _r6("cy").alias("cy"))
+    return out.select("k", "point_id", "center_id", "cx", "cy")
 
 
 # ------------------------------------------------------------- K-Means (LTW)
@@ -107,7 +105,7 @@ def centroid_update(spark, sf_dir):
     ltw = _ltw(spark, sf_dir)
     inits = km.sweep_inits(ltw, KS)
     return (km.update_centers(ltw, inits, weight="w")
-            .select("k", "center_id", _r6("cx").alias("cx"), _r6("cy").alias("cy"),
+            .select("k", "center_id", "cx", "cy",
                     F.col("weight").cast("bigint").alias("weight")))
 
 
@@ -122,7 +120,7 @@ def convergence_check(spark, sf_dir):
         moves = [km.moved(old[c[0]], c) for c in f.centers]
         rows.append((k, f.surviving, max(moves), f.converged))
     return (spark.createDataFrame(rows, "k INT, surviving INT, max_move DOUBLE, converged BOOLEAN")
-            .select("k", "surviving", _r6("max_move").alias("max_move"), "converged"))
+            .select("k", "surviving", "max_move", "converged"))
 
 
 # ------------------------------------------------------------- K-Means (PT)
@@ -134,7 +132,7 @@ def _centers_rows(fits):
 def kmeans_fixed_iters(spark, sf_dir):
     fits = _sweep(spark, sf_dir, FIXED_ITERS)
     return (km.centers_frame(spark, _centers_rows(fits))
-            .select("k", "center_id", _r6("cx").alias("cx"), _r6("cy").alias("cy")))
+            .select("k", "center_id", "cx", "cy"))
 
 
 def kmeans_converged(spark, sf_dir):
@@ -143,7 +141,7 @@ def kmeans_converged(spark, sf_dir):
 
 def kmeans_sweep_centers(spark, sf_dir):
     return (km.centers_frame(spark, _centers_rows(_sweep(spark, sf_dir)))
-            .select("k", "center_id", _r6("cx").alias("cx"), _r6("cy").alias("cy")))
+            .select("k", "center_id", "cx", "cy"))
 
 
 def wcss_by_k(spark, sf_dir):
@@ -232,32 +230,32 @@ SELECT p.point_id, CAST({_NEAR_P}.c AS INTEGER) AS center_id, {_NEAR_P}.d AS d2
 FROM pt p, init i""",
     "assign_all_k": _W(*_KM) + f"""
 SELECT CAST(i.k AS INTEGER) AS k, p.point_id, CAST({_NEAR_P}.c AS INTEGER) AS center_id,
-       round({_NEAR_P}.x, 6) AS cx, round({_NEAR_P}.y, 6) AS cy
+       {_NEAR_P}.x AS cx, {_NEAR_P}.y AS cy
 FROM pt p, kmf i""",
     "centroid_update": _W(S.LTW, S.spread_init("ltw", S.K_MIN, S.K_MAX)) + f"""
 SELECT CAST(i.k AS INTEGER) AS k, CAST({_NEAR_P}.c AS INTEGER) AS center_id,
-       round(sum(p.x * p.w) / sum(p.w), 6) AS cx, round(sum(p.y * p.w) / sum(p.w), 6) AS cy,
+       sum(p.x * p.w) / sum(p.w) AS cx, sum(p.y * p.w) / sum(p.w) AS cy,
        CAST(sum(p.w) AS BIGINT) AS weight
 FROM ltw p, init i GROUP BY 1, 2""",
     "convergence_check": _W(S.LTW, S.spread_init("ltw", S.K_MIN, S.K_MAX),
                             S.kmeans_rec("ltw", "init", max_iter=1, weight="w")) + """
 SELECT CAST(s.k AS INTEGER) AS k, CAST(len(s.cs) AS INTEGER) AS surviving,
-       round(list_max(list_transform(s.cs, lambda n: sqrt(
-           (n.x - i.cs[n.c].x) * (n.x - i.cs[n.c].x) + (n.y - i.cs[n.c].y) * (n.y - i.cs[n.c].y)))), 6)
+       list_max(list_transform(s.cs, lambda n: sqrt(
+           (i.cs[n.c].x - n.x) * (i.cs[n.c].x - n.x) + (i.cs[n.c].y - n.y) * (i.cs[n.c].y - n.y))))
          AS max_move,
        s.done AS converged
 FROM km s JOIN init i ON s.k = i.k WHERE s.it = 1""",
     "kmeans_fixed_iters": _W(S.PT, S.spread_init("pt", S.K_MIN, S.K_MAX),
                              S.kmeans_rec("pt", "init", max_iter=FIXED_ITERS), S.kmeans_final()) + """
 SELECT CAST(k AS INTEGER) AS k, CAST(u.c AS INTEGER) AS center_id,
-       round(u.x, 6) AS cx, round(u.y, 6) AS cy
+       u.x AS cx, u.y AS cy
 FROM (SELECT k, unnest(cs) AS u FROM kmf)""",
     "kmeans_converged": _W(*_KM) + """
 SELECT CAST(k AS INTEGER) AS k, CAST(it AS INTEGER) AS iterations, done AS converged,
        CAST(len(cs) AS INTEGER) AS surviving FROM kmf""",
     "kmeans_sweep_centers": _W(*_KM) + """
 SELECT CAST(k AS INTEGER) AS k, CAST(u.c AS INTEGER) AS center_id,
-       round(u.x, 6) AS cx, round(u.y, 6) AS cy
+       u.x AS cx, u.y AS cy
 FROM (SELECT k, unnest(cs) AS u FROM kmf)""",
     "wcss_by_k": _W(S.PT, S.spread_init("pt", S.K_MIN, S.K_MAX)) + f"""
 SELECT CAST(i.k AS INTEGER) AS k, sum({_NEAR_P}.d) AS wcss FROM pt p, init i GROUP BY 1""",
