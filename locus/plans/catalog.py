@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from locus.plans import q_density, q_partitional, q_results
+from locus.plans import q_density, q_geo, q_partitional, q_results
 
-MODULES = [q_partitional, q_density, q_results]
+MODULES = [q_partitional, q_density, q_results, q_geo]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
