@@ -73,10 +73,10 @@ SUMS_SCHEMA = T.StructType([
 ])
 
 
-def update_sums(points: DataFrame, centers_by_k: Mapping[int, Sequence[Center]],
-                x: str = "x", y: str = "y", weight: str | None = None) -> DataFrame:
-    """(k, center_id, sx, sy, sw): weighted coordinate sums of each centre's
-    members, for every k, from one scan.  Empty centres produce no row."""
+def partial_update_sums(points: DataFrame, centers_by_k: Mapping[int, Sequence[Center]],
+                        x: str = "x", y: str = "y", weight: str | None = None) -> DataFrame:
+    """Per task: (k, center_id, sx, sy, sw) sums of its own points - at most
+    sum(k) rows per task, before any shuffle."""
     spec = _spec(centers_by_k)
     cols = [x, y] + ([weight] if weight else [])
 
@@ -102,8 +102,15 @@ def update_sums(points: DataFrame, centers_by_k: Mapping[int, Sequence[Center]],
                 rows.append((k, int(ids[j]), float(sx[j]), float(sy[j]), float(sw[j])))
         yield pd.DataFrame(rows, columns=["k", "center_id", "sx", "sy", "sw"])
 
-    partial = points.select(*cols).mapInPandas(part, SUMS_SCHEMA)
-    return (partial.groupBy("k", "center_id")
+    return points.select(*cols).mapInPandas(part, SUMS_SCHEMA)
+
+
+def update_sums(points: DataFrame, centers_by_k: Mapping[int, Sequence[Center]],
+                x: str = "x", y: str = "y", weight: str | None = None) -> DataFrame:
+    """(k, center_id, sx, sy, sw): weighted coordinate sums of each centre's
+    members, for every k, from one scan.  Empty centres produce no row."""
+    return (partial_update_sums(points, centers_by_k, x, y, weight)
+            .groupBy("k", "center_id")
             .agg(F.sum("sx").alias("sx"), F.sum("sy").alias("sy"), F.sum("sw").alias("sw")))
 
 

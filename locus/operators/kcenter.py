@@ -18,6 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from locus.functions.centers import farthest_candidates
+from locus.operators.kmeans import DRIVER_COMBINE_MAX_ROWS
 from locus.functions.distance import Center
 
 
@@ -32,12 +33,19 @@ class Farthest:
 def farthest_point(points: DataFrame, centers: list[Center], id_col: str = "point_id",
                    x: str = "x", y: str = "y") -> Farthest | None:
     """A5: the point farthest from its nearest centre (lowest id on ties)."""
-    row = (farthest_candidates(points, centers, id_col, x, y)
-           .agg(F.max_by(F.struct("i", "x", "y", "d2"),
-                         F.struct(F.col("d2"), -F.col("i"))).alias("far"))
-           .collect()[0]["far"])
-    if row is None:
-        return None
+    cands = farthest_candidates(points, centers, id_col, x, y)
+    if points.rdd.getNumPartitions() <= DRIVER_COMBINE_MAX_ROWS:
+        # One candidate row per task: pick the winner on the driver.
+        rows = cands.collect()
+        if not rows:
+            return None
+        row = max(rows, key=lambda r: (r["d2"], -r["i"]))
+    else:
+        row = (cands.agg(F.max_by(F.struct("i", "x", "y", "d2"),
+                                  F.struct(F.col("d2"), -F.col("i"))).alias("far"))
+               .collect()[0]["far"])
+        if row is None:
+            return None
     return Farthest(int(row["i"]), float(row["x"]), float(row["y"]), float(row["d2"]))
 
 

@@ -23,11 +23,15 @@ from math import sqrt
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from locus.functions.centers import label_all, update_sums
+from locus.functions.centers import label_all, partial_update_sums, update_sums
 from locus.functions.distance import Center, nearest
 
 DEFAULT_MAX_ITER = 100
 DEFAULT_TOL = 1e-6
+# Per-task partial sums (at most sum(k) rows per task) are combined on the
+# driver when tasks x sum(k) stays under this many rows; above it, by a
+# Spark aggregate.  Skips one stage per Lloyd round on moderate inputs.
+DRIVER_COMBINE_MAX_ROWS = 200_000
 
 
 @dataclass
@@ -103,7 +107,12 @@ def sweep_inits(points: DataFrame, ks: Iterable[int], mode: str = "spread", seed
     ks = list(ks)
     if mode == "spread":
         n = points.count()
-        return {k: init_spread(points, k, n, id_col, x, y) for k in ks}
+        want = {k: spread_ids(n, k) for k in ks}
+        ids = sorted({i for v in want.values() for i in v})
+        rows = {r[id_col]: r for r in
+                points.filter(F.col(id_col).isin(ids)).select(id_col, x, y).collect()}
+        return {k: _rows_to_centers([rows[i] for i in v if i in rows], x, y)
+                for k, v in want.items()}
     top = init_centers(points, max(ks), mode, seed, id_col, x, y)
     return {k: top[:k] for k in ks}
 
@@ -169,15 +178,13 @@ def kmeans_sweep(points: DataFrame, inits: Mapping[int, Sequence[Center]],
     """
     fits = {int(k): KMeansFit(int(k), [tuple(c) for c in cs]) for k, cs in inits.items()}
     active = {k for k, f in fits.items() if f.centers and max_iter > 0}
+    n_tasks = points.rdd.getNumPartitions() if active else 0
     while active:
-        rows = update_centers(points, {k: fits[k].centers for k in active},
-                              x, y, weight).collect()
-        new: dict[int, list[Center]] = {k: [] for k in active}
-        for r in rows:
-            new[r["k"]].append((int(r["center_id"]), float(r["cx"]), float(r["cy"])))
+        centers = {k: fits[k].centers for k in active}
+        new = _round(points, centers, n_tasks, x, y, weight)
         for k in list(active):
             fit = fits[k]
-            nxt = sorted(new[k])
+            nxt = sorted(new.get(k, []))
             fit.converged = converged(fit.centers, nxt, tol)
             if keep_history:
                 fit.history.append(fit.centers)
@@ -188,6 +195,25 @@ def kmeans_sweep(points: DataFrame, inits: Mapping[int, Sequence[Center]],
     return fits
 
 
+def _round(points: DataFrame, centers: Mapping[int, Sequence[Center]], n_tasks: int,
+           x: str, y: str, weight: str | None) -> dict[int, list[Center]]:
+    """One Lloyd update for every k: new centres by id (empty ones absent)."""
+    new: dict[int, list[Center]] = {}
+    if n_tasks * sum(len(c) for c in centers.values()) <= DRIVER_COMBINE_MAX_ROWS:
+        acc: dict[tuple[int, int], list[float]] = {}
+        for r in partial_update_sums(points, centers, x, y, weight).collect():
+            a = acc.setdefault((r["k"], r["center_id"]), [0.0, 0.0, 0.0])
+            a[0] += r["sx"]
+            a[1] += r["sy"]
+            a[2] += r["sw"]
+        for (k, cid), (sx, sy, sw) in sorted(acc.items()):
+            new.setdefault(k, []).append((cid, sx / sw, sy / sw))
+        return new
+    for r in update_centers(points, centers, x, y, weight).collect():
+        new.setdefault(r["k"], []).append((int(r["center_id"]), float(r["cx"]), float(r["cy"])))
+    return new
+
+
 def kmeans(points: DataFrame, init: Sequence[Center], max_iter: int = DEFAULT_MAX_ITER,
            tol: float = DEFAULT_TOL, x: str = "x", y: str = "y",
            weight: str | None = None) -> KMeansFit:
