@@ -62,6 +62,42 @@ def _cols(pdf: pd.DataFrame, x: str, y: str, w: str | None):
     return xs, ys, ws
 
 
+class Flat:
+    """All centre sets side by side: one distance matrix serves every k."""
+
+    # Elements of the (rows x centres) matrix per chunk: bounds memory per task.
+    CHUNK_ELEMS = 2_000_000
+
+    def __init__(self, centers_by_k: Mapping[int, Sequence[Center]]):
+        self.ks = sorted(int(k) for k, cs in centers_by_k.items() if len(cs))
+        cs = [centers_by_k[k] for k in self.ks]
+        self.bounds = []
+        start = 0
+        for c in cs:
+            self.bounds.append((start, start + len(c)))
+            start += len(c)
+        self.ids = np.array([c[0] for g in cs for c in g], dtype=np.int64)
+        self.cx = np.array([c[1] for g in cs for c in g], dtype=np.float64)
+        self.cy = np.array([c[2] for g in cs for c in g], dtype=np.float64)
+        self.size = start
+
+    def nearest(self, xs: np.ndarray, ys: np.ndarray):
+        """(n, K) global centre index and squared distance, K = number of sets."""
+        n = len(xs)
+        gidx = np.empty((n, len(self.ks)), dtype=np.int64)
+        dmin = np.empty((n, len(self.ks)), dtype=np.float64)
+        step = max(1, self.CHUNK_ELEMS // max(1, self.size))
+        for lo in range(0, n, step):
+            hi = min(n, lo + step)
+            d2 = np_d2(xs[lo:hi], ys[lo:hi], self.cx, self.cy)
+            rows = np.arange(hi - lo)
+            for j, (a, b) in enumerate(self.bounds):
+                loc = d2[:, a:b].argmin(axis=1) + a
+                gidx[lo:hi, j] = loc
+                dmin[lo:hi, j] = d2[rows, loc]
+        return gidx, dmin
+
+
 # ----------------------------------------------------- Spark operators on top
 
 SUMS_SCHEMA = T.StructType([
@@ -77,30 +113,29 @@ def partial_update_sums(points: DataFrame, centers_by_k: Mapping[int, Sequence[C
                         x: str = "x", y: str = "y", weight: str | None = None) -> DataFrame:
     """Per task: (k, center_id, sx, sy, sw) sums of its own points - at most
     sum(k) rows per task, before any shuffle."""
-    spec = _spec(centers_by_k)
+    flat = Flat(centers_by_k)
     cols = [x, y] + ([weight] if weight else [])
+    kk = len(flat.ks)
+    set_of = np.repeat(np.arange(kk), [b - a for a, b in flat.bounds])
 
     def part(batches):
-        acc: dict[int, list[np.ndarray]] = {}
+        m = flat.size
+        acc = np.zeros((4, m))
         for pdf in batches:
             if pdf.empty:
                 continue
             xs, ys, ws = _cols(pdf, x, y, weight)
             ws = np.ones_like(xs) if ws is None else ws
-            for k, (ids, cx, cy) in spec.items():
-                idx, _ = np_nearest(xs, ys, cx, cy)
-                m = len(ids)
-                sums = [np.bincount(idx, weights=xs * ws, minlength=m),
-                        np.bincount(idx, weights=ys * ws, minlength=m),
-                        np.bincount(idx, weights=ws, minlength=m),
-                        np.bincount(idx, minlength=m).astype(np.float64)]
-                acc[k] = [a + b for a, b in zip(acc[k], sums)] if k in acc else sums
-        rows = []
-        for k, (sx, sy, sw, n) in acc.items():
-            ids = spec[k][0]
-            for j in np.nonzero(n > 0)[0]:
-                rows.append((k, int(ids[j]), float(sx[j]), float(sy[j]), float(sw[j])))
-        yield pd.DataFrame(rows, columns=["k", "center_id", "sx", "sy", "sw"])
+            g = flat.nearest(xs, ys)[0].ravel()
+            acc[0] += np.bincount(g, weights=np.repeat(xs * ws, kk), minlength=m)
+            acc[1] += np.bincount(g, weights=np.repeat(ys * ws, kk), minlength=m)
+            acc[2] += np.bincount(g, weights=np.repeat(ws, kk), minlength=m)
+            acc[3] += np.bincount(g, minlength=m)
+        hit = np.nonzero(acc[3] > 0)[0]
+        yield pd.DataFrame({
+            "k": np.array(flat.ks, dtype=np.int32)[set_of[hit]],
+            "center_id": flat.ids[hit].astype(np.int32),
+            "sx": acc[0][hit], "sy": acc[1][hit], "sw": acc[2][hit]})
 
     return points.select(*cols).mapInPandas(part, SUMS_SCHEMA)
 
@@ -117,19 +152,18 @@ def update_sums(points: DataFrame, centers_by_k: Mapping[int, Sequence[Center]],
 def wcss_sums(points: DataFrame, centers_by_k: Mapping[int, Sequence[Center]],
               x: str = "x", y: str = "y", weight: str | None = None) -> DataFrame:
     """(k, wcss): sum over points of the squared distance to the nearest centre."""
-    spec = _spec(centers_by_k)
+    flat = Flat(centers_by_k)
     cols = [x, y] + ([weight] if weight else [])
 
     def part(batches):
-        acc = {k: 0.0 for k in spec}
+        acc = np.zeros(len(flat.ks))
         for pdf in batches:
             if pdf.empty:
                 continue
             xs, ys, ws = _cols(pdf, x, y, weight)
-            for k, (_, cx, cy) in spec.items():
-                _, d2 = np_nearest(xs, ys, cx, cy)
-                acc[k] += float((d2 * ws).sum() if ws is not None else d2.sum())
-        yield pd.DataFrame({"k": list(acc), "wcss": list(acc.values())})
+            d = flat.nearest(xs, ys)[1]
+            acc += (d * ws[:, None]).sum(axis=0) if ws is not None else d.sum(axis=0)
+        yield pd.DataFrame({"k": np.array(flat.ks, dtype=np.int32), "wcss": acc})
 
     partial = points.select(*cols).mapInPandas(part, "k INT, wcss DOUBLE")
     return partial.groupBy("k").agg(F.sum("wcss").alias("wcss"))
@@ -195,7 +229,7 @@ def farthest_candidates(points: DataFrame, centers: Sequence[Center], id_col: st
 def label_all(points: DataFrame, centers_by_k: Mapping[int, Sequence[Center]],
               x: str = "x", y: str = "y") -> DataFrame:
     """Every input row once per k, with ``k, center_id, cx, cy, d2`` added."""
-    spec = _spec(centers_by_k)
+    flat = Flat(centers_by_k)
     out_schema = T.StructType([*points.schema.fields,
                                T.StructField("k", T.IntegerType()),
                                T.StructField("center_id", T.IntegerType()),
@@ -208,14 +242,15 @@ def label_all(points: DataFrame, centers_by_k: Mapping[int, Sequence[Center]],
             if pdf.empty:
                 continue
             xs, ys, _ = _cols(pdf, x, y, None)
-            for k, (ids, cx, cy) in sorted(spec.items()):
-                idx, d2 = np_nearest(xs, ys, cx, cy)
+            gidx, dmin = flat.nearest(xs, ys)
+            for j, k in enumerate(flat.ks):
+                g = gidx[:, j]
                 out = pdf.copy()
                 out["k"] = np.int32(k)
-                out["center_id"] = ids[idx].astype(np.int32)
-                out["cx"] = cx[idx]
-                out["cy"] = cy[idx]
-                out["d2"] = d2
+                out["center_id"] = flat.ids[g].astype(np.int32)
+                out["cx"] = flat.cx[g]
+                out["cy"] = flat.cy[g]
+                out["d2"] = dmin[:, j]
                 yield out
 
     return points.mapInPandas(part, out_schema)
