@@ -67,3 +67,18 @@ def test_scan_prunes_columns(spark):
     df = fx.lineitem_points(spark, "/root/testdata/sf0.001")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<l_quantity:double,l_extendedprice:double>" in plan
+
+
+def test_stream_labelling_matches_batch(spark):
+    from locus.operators import kmeans as km
+    from locus.streaming.assign import read_point_stream, start_labelling
+    src = scratch_path(spark, "stream-src")
+    pts = points_df(spark, [(0, 0), (9, 9), (1, 0), (8, 9)])
+    pts.write.parquet(src)
+    centers = [(1, 0.0, 0.0), (2, 10.0, 10.0)]
+    out, ck = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ck")
+    q = start_labelling(read_point_stream(spark, src), centers, out, ck, trigger_once=True)
+    q.awaitTermination(120)
+    got = {(r["point_id"], r["center_id"]) for r in spark.read.parquet(out).collect()}
+    want = {(r["point_id"], r["center_id"]) for r in km.assign(pts, centers).collect()}
+    assert got == want == {(1, 1), (2, 2), (3, 1), (4, 2)}
