@@ -22,7 +22,10 @@ def work_dir(spark: SparkSession) -> str:
         return current
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        # Unset: a local test session.  Clusters always name a shared folder.
+        # Unset: only allowed for a local test session.  A machine-local
+        # folder is useless on a cluster (other executors cannot read it).
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         named = tempfile.mkdtemp(prefix="locus-ckpt-")
     sc.setCheckpointDir(named)
     return sc.getCheckpointDir() or named
