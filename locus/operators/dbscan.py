@@ -108,6 +108,106 @@ def eps_neighbors(points: DataFrame, eps: float, id_col: str = "point_id",
     return pairs.select(F.col("pid").alias("point_id"), F.col("qid").alias("nbr_id"))
 
 
+# ------------------------------------------------- links between core cells
+#
+# Two core cells are linked when some core point of one lies within eps of
+# some core point of the other.  Testing every cross-cell pair costs
+# |A| x |B| per cell pair, which is quadratic when dense cells sit side by
+# side.  Instead the question is settled on bounding boxes first, tier by
+# tier, and only what stays open goes to the next tier:
+#
+#   1. cell box vs cell box            (one row per neighbouring cell pair)
+#   2. sub-cell box vs sub-cell box    (SUB x SUB sub-cells: <= SUB^4 rows per pair)
+#   3. point vs sub-cell box           (a point times its open sub-cell partners)
+#   4. point vs point                  (only inside boxes still open)
+#
+# A box pair is "in" when even its farthest corners are within eps (so every
+# pair of points in it is), "out" when its nearest sides are farther than
+# eps.  Bounds are computed from the points' own min/max coordinates with the
+# same float operations as the point test, and rounding is monotone, so a box
+# verdict always agrees with the exact ``sqrt(dx*dx+dy*dy) <= eps`` test on
+# the points inside.  Tier 4 only sees pairs whose boxes straddle the eps
+# circle and whose cell pair no box has linked yet.
+
+SUB = 4
+_BOX = ("x0", "x1", "y0", "y1")
+
+
+def _box(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Bounding box of the points of each group (partial/final aggregate)."""
+    return df.groupBy(*keys).agg(F.min("x").alias("x0"), F.max("x").alias("x1"),
+                                 F.min("y").alias("y0"), F.max("y").alias("y1"))
+
+
+def _verdict(a: str, b: str, eps: float) -> F.Column:
+    """1: every pair within eps; -1: none; 0: open.  ``a``/``b`` are column
+    prefixes of two boxes (a point is a box with x0 = x1, y0 = y1)."""
+    c = lambda name: F.col(name)
+    far_x = F.greatest(c(b + "x1") - c(a + "x0"), c(a + "x1") - c(b + "x0"))
+    far_y = F.greatest(c(b + "y1") - c(a + "y0"), c(a + "y1") - c(b + "y0"))
+    near_x = F.greatest(c(b + "x0") - c(a + "x1"), c(a + "x0") - c(b + "x1"), F.lit(0.0))
+    near_y = F.greatest(c(b + "y0") - c(a + "y1"), c(a + "y0") - c(b + "y1"), F.lit(0.0))
+    e = F.lit(float(eps))
+    return (F.when(F.sqrt(far_x * far_x + far_y * far_y) <= e, F.lit(1))
+            .when(F.sqrt(near_x * near_x + near_y * near_y) > e, F.lit(-1))
+            .otherwise(F.lit(0)))
+
+
+def _sub_index(c: str, g: str, s: float) -> F.Column:
+    i = F.floor((F.col(c) - F.col(g) * F.lit(s)) / F.lit(s / SUB))
+    return F.least(F.greatest(i, F.lit(0)), F.lit(SUB - 1)).cast("int")
+
+
+def core_links(core_n: DataFrame, eps: float) -> DataFrame:
+    """(src, dst) node pairs of neighbouring core cells that are linked.
+
+    ``core_n``: core points with ``point_id, x, y, gx, gy, node``.
+    """
+    s = cell_side(eps)
+    nb = {"gx": "ngx", "gy": "ngy", "sx": "nsx", "sy": "nsy", "node": "dst"}
+
+    # 1. cells
+    cells = _box(core_n, ["gx", "gy", "node"])
+    ca = cells.select("gx", "gy", F.col("node").alias("src"),
+                      *[F.col(k).alias("a" + k) for k in _BOX])
+    cb = cells.select(*[F.col(k).alias(v) for k, v in nb.items() if k in ("gx", "gy", "node")],
+                      *[F.col(k).alias("b" + k) for k in _BOX])
+    pairs = (_explode_offsets(ca, offsets(eps, half=True)).join(cb, ["ngx", "ngy"])
+             .withColumn("v", _verdict("a", "b", eps)).filter(F.col("v") >= 0))
+    pairs = materialize(pairs.select("gx", "gy", "ngx", "ngy", "src", "dst", "v"), "db-cell-pairs")
+    linked = pairs.filter(F.col("v") == 1).select("src", "dst")
+    open1 = pairs.filter(F.col("v") == 0).select("gx", "gy", "ngx", "ngy", "src", "dst")
+
+    # 2. sub-cells of the open cell pairs
+    subs = core_n.withColumn("sx", _sub_index("x", "gx", s)).withColumn("sy", _sub_index("y", "gy", s))
+    sbox = _box(subs, ["gx", "gy", "sx", "sy"])
+    sa = sbox.select("gx", "gy", "sx", "sy", *[F.col(k).alias("a" + k) for k in _BOX])
+    sb = sbox.select(*[F.col(k).alias(v) for k, v in nb.items() if k != "node"],
+                     *[F.col(k).alias("b" + k) for k in _BOX])
+    sp = (open1.join(sa, ["gx", "gy"]).join(sb, ["ngx", "ngy"])
+          .withColumn("v", _verdict("a", "b", eps)).filter(F.col("v") >= 0))
+    sp = materialize(sp.drop("ax0", "ax1", "ay0", "ay1"), "db-sub-pairs")
+    linked2 = sp.filter(F.col("v") == 1).select("src", "dst").distinct()
+    open2 = sp.filter(F.col("v") == 0).join(linked2, ["src", "dst"], "left_anti").drop("v")
+
+    # 3. points of an open sub-cell against the partner's box
+    pts = subs.select("gx", "gy", "sx", "sy", F.col("x").alias("px"), F.col("y").alias("py"))
+    pp = (open2.join(pts, ["gx", "gy", "sx", "sy"])
+          .withColumns({"ax0": F.col("px"), "ax1": F.col("px"), "ay0": F.col("py"), "ay1": F.col("py")})
+          .withColumn("v", _verdict("a", "b", eps)).filter(F.col("v") >= 0))
+    pp = materialize(pp.select("px", "py", "ngx", "ngy", "nsx", "nsy", "src", "dst", "v"),
+                     "db-point-box")
+    linked3 = pp.filter(F.col("v") == 1).select("src", "dst").distinct()
+    open3 = pp.filter(F.col("v") == 0).join(linked3, ["src", "dst"], "left_anti").drop("v")
+
+    # 4. point pairs left open
+    q = subs.select(F.col("gx").alias("ngx"), F.col("gy").alias("ngy"), F.col("sx").alias("nsx"),
+                    F.col("sy").alias("nsy"), F.col("x").alias("qx"), F.col("y").alias("qy"))
+    linked4 = (open3.join(q, ["ngx", "ngy", "nsx", "nsy"]).filter(_within(eps))
+               .select("src", "dst"))
+    return linked.unionByName(linked2).unionByName(linked3).unionByName(linked4).distinct()
+
+
 @dataclass
 class DbscanParts:
     counts: DataFrame      # point_id, x, y, gx, gy, n_cell, n_nbrs, core
@@ -142,13 +242,7 @@ def dbscan_parts(points: DataFrame, eps: float, min_pts: int, id_col: str = "poi
     # Core cells are graph nodes, named by their least core point id.
     cells = core.groupBy("gx", "gy").agg(F.min("point_id").alias("node"))
     core_n = core.join(cells, ["gx", "gy"])
-    cprobe = _explode_offsets(_probe(core_n.drop("node")), offsets(eps, half=True))
-    ctarget = core_n.select(F.col("x").alias("qx"), F.col("y").alias("qy"),
-                            F.col("gx").alias("ngx"), F.col("gy").alias("ngy"),
-                            F.col("node").alias("dst"))
-    edges = (cprobe.join(ctarget, ["ngx", "ngy"]).filter(_within(eps))
-             .join(cells.select(F.col("gx"), F.col("gy"), F.col("node").alias("src")), ["gx", "gy"])
-             .select("src", "dst").distinct())
+    edges = core_links(core_n, eps)
     comp = connected_components(cells.select("node"), edges, "node", "src", "dst")
     core_seed = materialize(
         core_n.join(comp, "node").select("point_id", "n_nbrs", F.col("label").alias("seed")),

@@ -76,3 +76,31 @@ def test_dense_cell_is_core_without_pairs(spark):
     pts = [(i * 0.01, 0.0) for i in range(50)] + [(100.0, 100.0)]
     out = {r["point_id"]: r["role"] for r in db.dbscan(points_df(spark, pts), 1.0, 5).collect()}
     assert all(out[i] == "core" for i in range(1, 51)) and 51 not in out
+
+
+@pytest.mark.parametrize("mode", db.MODES)
+def test_dense_cells_linked_exactly_at_eps(spark, mode):
+    # Three dense blobs; A-B closest pair exactly eps apart (a link found only
+    # by the point-pair tier), A-C one unit beyond eps (no link).
+    blob = [(i, j) for i in range(6) for j in range(6)]
+    pts = blob + [(x + 105, y) for x, y in blob] + [(x - 106, y) for x, y in blob]
+    got = {r["point_id"]: r["cluster_id"]
+           for r in db.dbscan(points_df(spark, pts), 100.0, 5, mode).collect()}
+    assert got == traversal(pts, 100.0, 5, mode)
+    assert len(set(got.values())) == 2
+
+
+def test_core_links_tiers_agree_with_pairs(spark):
+    from pyspark.sql import functions as F
+    rnd = random.Random(5)
+    pts = list({(rnd.randint(0, 60), rnd.randint(0, 60)) for _ in range(400)})
+    eps = 7.0
+    df = db.with_cells(points_df(spark, pts), eps)
+    cells = df.groupBy("gx", "gy").agg(F.min("point_id").alias("node"))
+    core_n = df.join(cells, ["gx", "gy"])
+    got = {tuple(sorted(r)) for r in db.core_links(core_n, eps).collect()}
+    rows = core_n.collect()
+    want = {tuple(sorted((a["node"], b["node"]))) for a in rows for b in rows
+            if a["node"] != b["node"]
+            and math.sqrt((a["x"] - b["x"]) ** 2 + (a["y"] - b["y"]) ** 2) <= eps}
+    assert got == want
