@@ -5,7 +5,9 @@ one task.  Instead: range-partition on the order key, sort inside each
 partition, tag rows with ``monotonically_increasing_id`` (partition index in
 the high bits, position in the low 33 bits), write that once to the shared
 folder so the tags are fixed, count rows per partition (one row per
-partition comes back), and add each partition's offset.
+partition comes back), and add each partition's offset.  The offsets form a
+table of one row per partition - bounded by the partition count, not the
+data - joined back by broadcast.
 
 The order key must be unique (e.g. distinct points ordered by ``x, y``), so
 the result does not depend on the partitioning.
@@ -45,10 +47,16 @@ def with_sequential_id(
     starts = [0, *accumulate(r["count"] for r in counts)][:-1]
     if not counts:
         return tagged.drop("_mid").withColumn(id_col, F.lit(None).cast("bigint"))
-    offset = F.create_map(
-        *[x for r, s in zip(counts, starts) for x in (F.lit(r["_part"]), F.lit(s))]
+    offsets = spark.createDataFrame(
+        [(int(r["_part"]), int(s)) for r, s in zip(counts, starts)],
+        "_part BIGINT, _start BIGINT",
+    )
+    return (
+        tagged.withColumn("_part", part)
+        .join(F.broadcast(offsets), "_part")
+        .withColumn(
+            id_col,
+            (F.col("_start") + F.col("_mid").bitwiseAND(F.lit(_LOW_BITS)) + 1).cast("bigint"),
+        )
+        .drop("_mid", "_part", "_start")
     )
-    return tagged.withColumn(
-        id_col,
-        (offset[part] + F.col("_mid").bitwiseAND(F.lit(_LOW_BITS)) + 1).cast("bigint"),
-    ).drop("_mid")
