@@ -38,13 +38,14 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "node",
         nbr = (und.join(labels.withColumnRenamed("v", "b"), "b")
                .groupBy(F.col("a").alias("v")).agg(F.min("l").alias("nl")))
         m = (labels.join(nbr, "v", "left")
-             .select("v", F.least("l", F.coalesce("nl", "l")).alias("m")))
+             .select("v", F.col("l").alias("old"), F.least("l", F.coalesce("nl", "l")).alias("m")))
         jumped = (m.join(m.select(F.col("v").alias("m"), F.col("m").alias("mm")), "m", "left")
-                  .select("v", F.least("m", F.coalesce("mm", "m")).alias("l")))
+                  .select("v", "old", F.least("m", F.coalesce("mm", "m")).alias("l")))
+        # The old label rides along, so the test below is a scan of the
+        # written round, not another join.
         jumped = materialize(jumped, "cc-labels")
-        changed = (jumped.join(labels.withColumnRenamed("l", "old"), "v")
-                   .filter(F.col("l") != F.col("old")).limit(1).count())
-        labels = jumped
+        changed = jumped.filter(F.col("l") != F.col("old")).limit(1).count()
+        labels = jumped.select("v", "l")
         if changed == 0:
             break
     else:

@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from locus.operators.components import connected_components
 from locus.operators.ids import with_sequential_id
+from locus.operators.joins import join_small
 from locus.runtime import materialize
 
 MODES = ("order", "canonical")
@@ -222,7 +223,9 @@ def dbscan_parts(points: DataFrame, eps: float, min_pts: int, id_col: str = "poi
     pts = with_cells(points.select(F.col(id_col).alias("point_id"), F.col(x).alias("x"),
                                    F.col(y).alias("y")), eps)
     cell_n = pts.groupBy("gx", "gy").agg(F.count("*").alias("n_cell"))
-    pts = materialize(pts.join(cell_n, ["gx", "gy"]), "db-points")
+    # Per-cell tables join back by a checked broadcast: a hot cell (a third of
+    # the points) must not become one sort-merge key in one task.
+    pts = materialize(join_small(pts, cell_n, ["gx", "gy"]), "db-points")
 
     # Cross-cell neighbours of points in sparse cells (dense cells need none).
     sparse = pts.filter(F.col("n_cell") < min_pts)
@@ -241,11 +244,11 @@ def dbscan_parts(points: DataFrame, eps: float, min_pts: int, id_col: str = "poi
 
     # Core cells are graph nodes, named by their least core point id.
     cells = core.groupBy("gx", "gy").agg(F.min("point_id").alias("node"))
-    core_n = core.join(cells, ["gx", "gy"])
+    core_n = join_small(core, cells, ["gx", "gy"])
     edges = core_links(core_n, eps)
     comp = connected_components(cells.select("node"), edges, "node", "src", "dst")
     core_seed = materialize(
-        core_n.join(comp, "node").select("point_id", "n_nbrs", F.col("label").alias("seed")),
+        join_small(core_n, comp, "node").select("point_id", "n_nbrs", F.col("label").alias("seed")),
         "db-core")
 
     seeds = core_seed.select("seed").distinct()
@@ -254,7 +257,8 @@ def dbscan_parts(points: DataFrame, eps: float, min_pts: int, id_col: str = "poi
     # Border candidates: non-core points (all in sparse cells) next to a core point,
     # in their own cell (always within eps) or across cells (tested pairs).
     noncore = counts.filter(~F.col("core")).select("point_id", "gx", "gy")
-    same_cell = (noncore.join(core.select("gx", "gy", F.col("point_id").alias("qid")), ["gx", "gy"])
+    sparse_core = counts.filter(F.col("core") & (F.col("n_cell") < F.lit(min_pts)))
+    same_cell = (noncore.join(sparse_core.select("gx", "gy", F.col("point_id").alias("qid")), ["gx", "gy"])
                  .select("point_id", "qid"))
     cross_core = (cand.join(noncore.select(F.col("point_id").alias("pid")), "pid")
                   .select(F.col("pid").alias("point_id"), "qid"))
@@ -273,7 +277,7 @@ def labels(parts: DbscanParts, mode: str = "order") -> DataFrame:
         b = b.filter(F.col("seed") < F.col("point_id"))
     core = parts.core.select("point_id", "seed", F.lit("core").alias("role"))
     border = b.select("point_id", "seed", F.lit("border").alias("role"))
-    return (core.unionByName(border).join(parts.clusters, "seed")
+    return (join_small(core.unionByName(border), parts.clusters, "seed")
             .select("point_id", F.col("cluster_id").cast("int").alias("cluster_id"), "role"))
 
 
