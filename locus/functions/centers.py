@@ -229,13 +229,16 @@ def farthest_candidates(points: DataFrame, centers: Sequence[Center], id_col: st
     cx = np.array([c[1] for c in centers], dtype=np.float64)
     cy = np.array([c[2] for c in centers], dtype=np.float64)
 
+    far_arrow = pa.schema([("i", pa.int64()), ("x", pa.float64()), ("y", pa.float64()),
+                           ("d2", pa.float64())])
+
     def part(batches):
         best = None
-        for pdf in batches:
-            if pdf.empty:
+        for rb in batches:
+            if rb.num_rows == 0:
                 continue
-            xs, ys, _ = _cols(pdf, x, y, None)
-            ids = pdf[id_col].to_numpy(dtype=np.int64)
+            xs, ys, _ = _arrow_cols(rb, x, y, None)
+            ids = rb.column(id_col).to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
             d2 = np_d2(xs, ys, cx, cy).min(axis=1)
             top = d2.max()
             i = int(np.argmin(np.where(d2 == top, ids, np.iinfo(np.int64).max)))
@@ -243,9 +246,10 @@ def farthest_candidates(points: DataFrame, centers: Sequence[Center], id_col: st
             if best is None or cand[:2] > best[:2]:
                 best = cand
         if best is not None:
-            yield pd.DataFrame([best[2:] + (best[0],)], columns=["i", "x", "y", "d2"])
+            yield pa.RecordBatch.from_pylist(
+                [{"i": best[2], "x": best[3], "y": best[4], "d2": best[0]}], schema=far_arrow)
 
-    return points.select(id_col, x, y).mapInPandas(part, "i BIGINT, x DOUBLE, y DOUBLE, d2 DOUBLE")
+    return points.select(id_col, x, y).mapInArrow(part, "i BIGINT, x DOUBLE, y DOUBLE, d2 DOUBLE")
 
 
 def label_all(points: DataFrame, centers_by_k: Mapping[int, Sequence[Center]],

@@ -36,15 +36,16 @@ def origin_shift(points: DataFrame, lon: str = "longitude", lat: str = "latitude
                  group: Sequence[str] = ()) -> DataFrame:
     """x = lon - min(lon), y = lat - min(lat), over all rows or per group.
 
-    The minimum is a partial/final aggregate (skew-safe) joined back; the
-    per-group table has one row per group and is broadcast only after its
-    size is checked.
+    The minimum is a partial/final aggregate (skew-safe).  Over all rows it is
+    one row, read back and applied as two literals; per group it is joined
+    back, broadcast only after its size is checked.
     """
     mins = points.groupBy(*group).agg(F.min(lon).alias("_min_lon"), F.min(lat).alias("_min_lat"))
     if group:
         joined = join_small(points, mins, list(group))
     else:
-        joined = points.crossJoin(F.broadcast(mins))   # exactly one row
+        m = mins.first()
+        joined = points.withColumns({"_min_lon": F.lit(m["_min_lon"]), "_min_lat": F.lit(m["_min_lat"])})
     return (joined.withColumn("x", F.col(lon) - F.col("_min_lon"))
             .withColumn("y", F.col(lat) - F.col("_min_lat"))
             .drop("_min_lon", "_min_lat"))

@@ -77,9 +77,10 @@ def distance_to_centers(spark, sf_dir):
     """Every point's distance to each of the k=5 spread centres."""
     pt = _pt(spark, sf_dir)
     cs = km.init_spread(pt, K_FIXED)
-    centers = spark.createDataFrame(cs, "center_id INT, cx DOUBLE, cy DOUBLE")
-    # The centre table has k rows by construction: a bounded broadcast.
-    return (pt.crossJoin(F.broadcast(centers))
+    # k literal centres expanded per point by a generator: a projection, no join.
+    centers = F.array(*[F.struct(F.lit(int(c)).alias("center_id"), F.lit(float(cx)).alias("cx"),
+                                 F.lit(float(cy)).alias("cy")) for c, cx, cy in cs])
+    return (pt.select("point_id", "x", "y", F.inline(centers))
             .select("point_id", "center_id",
                     D.dist(F.col("x"), F.col("y"), F.col("cx"), F.col("cy")).alias("dist")))
 
