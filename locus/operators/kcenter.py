@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from locus.functions.centers import farthest_candidates
 from locus.operators.kmeans import DRIVER_COMBINE_MAX_ROWS
 from locus.functions.distance import Center
+from locus.functions.sampling import seeded_rank
 
 
 @dataclass
@@ -53,7 +54,7 @@ def first_center(points: DataFrame, first_id: int | None = 1, seed: int | None =
                  id_col: str = "point_id", x: str = "x", y: str = "y") -> tuple[int, float, float] | None:
     """The starting point: a given id, or the seeded smallest hash."""
     if seed is not None:
-        h = F.xxhash64(F.col(id_col), F.lit(seed))
+        h = seeded_rank(F.col(id_col), seed)
         rows = points.select(id_col, x, y).orderBy(h, id_col).limit(1).collect()
     else:
         rows = points.filter(F.col(id_col) == first_id).select(id_col, x, y).limit(1).collect()

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from locus.functions.centers import label_all, partial_update_sums, update_sums
 from locus.functions.distance import Center, nearest
+from locus.functions.sampling import seeded_rank
 
 DEFAULT_MAX_ITER = 100
 DEFAULT_TOL = 1e-6
@@ -62,18 +63,23 @@ def init_first(points: DataFrame, k: int, order: Sequence[str] = ("point_id",),
 
 def init_random(points: DataFrame, k: int, seed: int, key: Sequence[str] = ("point_id",),
                 x: str = "x", y: str = "y") -> list[Center]:
-    """k distinct rows, seeded: the k smallest ``xxhash64(key, seed)``.
+    """k distinct rows, seeded: the k smallest ``seeded_rank(key, seed)``.
 
-    Stable under repartitioning (a hash of the row, not of its position);
-    ties on the hash fall back to the key.  Prefixes nest: the first k of the
-    order for kMax are the draw for k.
+    Stable under repartitioning (a function of the row's key, not of its
+    position); ties fall back to the key.  Prefixes nest: the first k of the
+    order for kMax are the draw for k.  A distributed top-k: k rows per task.
     """
-    h = F.xxhash64(*[F.col(c) for c in key], F.lit(seed))
-    rows = (points.select(*key, x, y).withColumn("_h", h)
-            .orderBy("_h", *key).limit(k).collect())
+    rows = sample_frame(points, k, seed, key[0], x, y).collect()
     return _rows_to_centers(rows, x, y)
 
 
+def sample_frame(points: DataFrame, k: int, seed: int, id_col: str = "point_id",
+                 x: str = "x", y: str = "y") -> DataFrame:
+    """The seeded draw as a DataFrame (id_col, x, y), in draw order."""
+    return (points.select(id_col, x, y).withColumn("_h", seeded_rank(F.col(id_col), seed))
+            .orderBy("_h", id_col).limit(k).drop("_h"))
+
+
 def spread_ids(n: int, k: int) -> list[int]:
     """Ids 1 + floor(i * n / k), i = 0..k-1: k ids spread over 1..n."""
     return [1 + (i * n) // k for i in range(min(k, n))]

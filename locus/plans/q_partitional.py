@@ -14,9 +14,10 @@ any IEEE engine; no rounding is applied to it.  Only the WCSS of fitted
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from locus.functions import distance as D
+from locus.functions.sampling import seeded_rank, seeded_rank_sql
 from locus.operators import elbow, kcenter as kc, kmeans as km
 from locus.plans import fixtures as fx
 from locus.plans import sqlparts as S
@@ -186,10 +187,15 @@ def elbow_best_k(spark, sf_dir):
     return elbow.best_k(kmc.unionByName(kcc), ["algorithm"]).select("algorithm", "best_k")
 
 
+SAMPLE_SEED = 42
+
+
 def sample_init(spark, sf_dir):
-    """Seeded draw of kMax distinct LTW points (no SQL oracle)."""
-    cs = km.init_random(_ltw(spark, sf_dir), S.K_MAX, seed=42)
-    return spark.createDataFrame(cs, "center_id INT, x DOUBLE, y DOUBLE")
+    """Seeded draw of kMax distinct LTW points; center_id = draw order."""
+    draw = km.sample_frame(_ltw(spark, sf_dir), S.K_MAX, SAMPLE_SEED)
+    # kMax rows after the top-k: numbering them is a window over 20 rows.
+    w = Window.orderBy(seeded_rank(F.col("point_id"), SAMPLE_SEED), "point_id")
+    return draw.select(F.row_number().over(w).cast("int").alias("center_id"), "x", "y")
 
 
 QUERIES = {
@@ -220,6 +226,10 @@ _KC = [S.PT, S.kcenter_rec("pt", S.K_MAX)]
 _NEAR_P = S.nearest("i.cs")
 
 ORACLE = {
+    "sample_init": S.with_recursive(S.LTW) + f"""
+SELECT CAST(row_number() OVER (ORDER BY h, point_id) AS INTEGER) AS center_id, x, y
+FROM (SELECT point_id, x, y, {seeded_rank_sql("point_id", SAMPLE_SEED)} AS h
+      FROM ltw ORDER BY h, point_id LIMIT {S.K_MAX}) d""",
     "points_scan": _W(S.PT) + "SELECT point_id, x, y FROM pt",
     "lineitem_points": _W(S.LTW) + "SELECT point_id, x, y, CAST(w AS BIGINT) AS w FROM ltw",
     "distance_to_centers": _W(S.PT, S.spread_init("pt", K_FIXED, K_FIXED)) + """
