@@ -251,10 +251,13 @@ def dbscan_parts(points: DataFrame, eps: float, min_pts: int, id_col: str = "poi
         join_small(core_n, comp, "node").select("point_id", "n_nbrs", F.col("label").alias("seed")),
         "db-core")
 
+    # Clusters numbered 1, 2, ... in ascending seed order.  No seed is ever
+    # sampled from the unvisited points (J7): the least id of a component is
+    # the seed the visiting order would reach first.
     seeds = core_seed.select("seed").distinct()
     clusters = with_sequential_id(seeds, ["seed"], "cluster_id")
 
-    # Border candidates: non-core points (all in sparse cells) next to a core point,
+    # D5 border candidates: non-core points (all in sparse cells) next to a core point,
     # in their own cell (always within eps) or across cells (tested pairs).
     noncore = counts.filter(~F.col("core")).select("point_id", "gx", "gy")
     sparse_core = counts.filter(F.col("core") & (F.col("n_cell") < F.lit(min_pts)))

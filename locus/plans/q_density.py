@@ -51,6 +51,7 @@ def dbscan_noise(spark, sf_dir):
 
 
 def dbscan_summary(spark, sf_dir):
+    """D8 + A9: point, core, border, noise and cluster counts per mode."""
     p = _parts(spark, sf_dir)
     n_points = p.counts.count()
     out = None

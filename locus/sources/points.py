@@ -59,7 +59,7 @@ def read_points(
     extra: list[str] | None = None,
     schema: T.StructType | None = None,
 ) -> DataFrame:
-    """Read points and keep ``x``, ``y`` (plus ``extra``) as doubles."""
+    """S1/S3 + P1: read points and keep ``x``, ``y`` (plus ``extra``) as doubles."""
     reader = spark.read
     if fmt == "csv":
         reader = reader.option("header", True).schema(schema or PREPARED_SCHEMA)
@@ -76,6 +76,11 @@ def read_raw_places(spark: SparkSession, path: str) -> DataFrame:
     return valid_points(df, "longitude", "latitude")
 
 
+def preview(df: DataFrame, n: int = 5) -> DataFrame:
+    """The first ``n`` rows (a peek; the limit is the feature)."""
+    return df.limit(n)
+
+
 def cache_points(df: DataFrame) -> DataFrame:
     """Columnar cache that spills to disk rather than failing."""
     return df.persist(StorageLevel.MEMORY_AND_DISK)
