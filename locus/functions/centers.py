@@ -252,6 +252,52 @@ def farthest_candidates(points: DataFrame, centers: Sequence[Center], id_col: st
     return points.select(id_col, x, y).mapInArrow(part, "i BIGINT, x DOUBLE, y DOUBLE, d2 DOUBLE")
 
 
+CELL_SCHEMA = ("cell INT, i BIGINT, x DOUBLE, y DOUBLE, d2 DOUBLE, "
+               "x0 DOUBLE, x1 DOUBLE, y0 DOUBLE, y1 DOUBLE")
+
+
+def cell_farthest_partials(points: DataFrame, centers: Sequence[Center], grid: tuple,
+                           id_col: str = "point_id", x: str = "x", y: str = "y") -> DataFrame:
+    """Per task and grid cell: the point farthest from its nearest centre
+    (lowest id on ties) and the bounding box of the cell's points.
+
+    ``grid`` = (gx0, gy0, width, height, n): an n x n grid over the data's box;
+    at most n*n rows per task, whatever the data size.
+    """
+    cx = np.array([c[1] for c in centers], dtype=np.float64)
+    cy = np.array([c[2] for c in centers], dtype=np.float64)
+    gx0, gy0, gw, gh, n = grid
+    out_schema = pa.schema([("cell", pa.int32()), ("i", pa.int64()), ("x", pa.float64()),
+                            ("y", pa.float64()), ("d2", pa.float64()), ("x0", pa.float64()),
+                            ("x1", pa.float64()), ("y0", pa.float64()), ("y1", pa.float64())])
+
+    def part(batches):
+        frames = []
+        for rb in batches:
+            if rb.num_rows == 0:
+                continue
+            xs, ys, _ = _arrow_cols(rb, x, y, None)
+            ids = rb.column(id_col).to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
+            d2 = np_d2(xs, ys, cx, cy).min(axis=1)
+            ci = np.clip(((xs - gx0) / gw * n).astype(np.int64), 0, n - 1)
+            cj = np.clip(((ys - gy0) / gh * n).astype(np.int64), 0, n - 1)
+            frames.append(pd.DataFrame({"cell": (ci * n + cj).astype(np.int32), "i": ids,
+                                        "x": xs, "y": ys, "d2": d2}))
+        if not frames:
+            return
+        df = pd.concat(frames, ignore_index=True)
+        # Farthest first, lowest id on ties: the first row of each cell.
+        df = df.sort_values(["cell", "d2", "i"], ascending=[True, False, True], kind="mergesort")
+        g = df.groupby("cell", sort=True)
+        top = g.head(1).set_index("cell")
+        box = g.agg(x0=("x", "min"), x1=("x", "max"), y0=("y", "min"), y1=("y", "max"))
+        res = top.join(box).reset_index()
+        yield pa.RecordBatch.from_pandas(res[["cell", "i", "x", "y", "d2", "x0", "x1", "y0", "y1"]],
+                                         schema=out_schema, preserve_index=False)
+
+    return points.select(id_col, x, y).mapInArrow(part, CELL_SCHEMA)
+
+
 def label_all(points: DataFrame, centers_by_k: Mapping[int, Sequence[Center]],
               x: str = "x", y: str = "y") -> DataFrame:
     """Every input row once per k, with ``k, center_id, cx, cy, d2`` added."""

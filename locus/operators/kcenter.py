@@ -1,23 +1,31 @@
 """K-Center by farthest-first traversal.
 
-One job per added centre: every task finds its own point farthest from the
-chosen centres (vectorised, ``functions.centers``) and a global ``max_by``
-picks the winner, so one row per task crosses the shuffle and one row comes
-back.  Ties on distance go to the lowest ``point_id``.
+Traversal with certified steps: one Spark job summarises the points per
+cell of a fixed grid (GRID x GRID cells, whatever the data size): the cell's
+point farthest from the current centres (lowest ``point_id`` on ties) and
+the bounding box of its points.  The driver then takes further steps from
+those summaries alone for as long as each pick is provably the global one
+(per-cell upper bounds from the boxes); only when a pick is uncertain does
+it run the next job.  The answer is exactly the one-job-per-step traversal,
+in fewer jobs.  Rows to the driver per job: at most tasks x GRID^2 when that
+is under the driver bound, else GRID^2 after a Spark aggregate by cell.
 
 With one seeded first centre the traversal for kMax contains the traversal
-for every smaller k as a prefix, so a whole sweep k = kMin..kMax costs
-kMax - 1 jobs plus one job for all the WCSS sums (``elbow.prefix_curve``).
+for every smaller k as a prefix, so a whole sweep k = kMin..kMax costs the
+traversal plus one job for all the WCSS sums (``elbow.prefix_curve``).
 The traversal stops early when every point is already a centre (distance 0).
+``farthest_point`` (A5) is the single step, one job.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from locus.functions.centers import farthest_candidates
+from locus.functions.centers import cell_farthest_partials, farthest_candidates
 from locus.operators.kmeans import DRIVER_COMBINE_MAX_ROWS
 from locus.functions.distance import Center
 from locus.functions.sampling import seeded_rank
@@ -73,20 +81,100 @@ class TraversalStep:
     d2: float          # squared distance to the nearest earlier centre (0 for rank 1)
 
 
+GRID = 128  # cells per side of the summary grid: at most GRID^2 rows per job
+
+
+def cell_summaries(points: DataFrame, centers: list[Center], grid: tuple, n_tasks: int,
+                   id_col: str = "point_id", x: str = "x", y: str = "y") -> dict[str, np.ndarray]:
+    """One job: per grid cell, its farthest point from ``centers`` (lowest id
+    on ties) and the box of its points, as numpy columns."""
+    parts = cell_farthest_partials(points, centers, grid, id_col, x, y)
+    if n_tasks * grid[4] ** 2 > DRIVER_COMBINE_MAX_ROWS:
+        parts = parts.groupBy("cell").agg(
+            F.max_by(F.struct("i", "x", "y", "d2"), F.struct(F.col("d2"), -F.col("i"))).alias("t"),
+            F.min("x0").alias("x0"), F.max("x1").alias("x1"),
+            F.min("y0").alias("y0"), F.max("y1").alias("y1"))
+        parts = parts.select("cell", "t.i", "t.x", "t.y", "t.d2", "x0", "x1", "y0", "y1")
+    # At most n_tasks * GRID^2 rows (checked above) or GRID^2 rows, via Arrow.
+    df = parts.toArrow().to_pandas()
+    if df.empty:
+        return {}
+    df = df.sort_values(["cell", "d2", "i"], ascending=[True, False, True], kind="mergesort")
+    g = df.groupby("cell", sort=True)
+    top = g.head(1).set_index("cell")
+    box = g.agg(x0=("x0", "min"), x1=("x1", "max"), y0=("y0", "min"), y1=("y1", "max"))
+    res = top[["i", "x", "y", "d2"]].join(box)
+    return {c: res[c].to_numpy() for c in ("i", "x", "y", "d2", "x0", "x1", "y0", "y1")}
+
+
+def _certified_steps(cells: dict[str, np.ndarray], base: list[Center], want: int) -> list[TraversalStep]:
+    """Continue the traversal on the driver from per-cell summaries taken
+    against ``base``, as long as each pick is provably the global one.
+
+    For a cell, every point's distance to (base + new centres) is at most
+    ub = min(rep's distance to base, farthest-corner distance to each new
+    centre) - float-monotone, so it bounds the computed distances too.  A
+    pick (value v, id i) is certain when every other cell either has ub < v,
+    or has a representative that is provably its own maximum (unchanged by
+    the new centres, and ub equal to it), so that the (distance, -id) order
+    over representatives covers that cell; the picked cell's representative
+    must itself be unchanged.
+    """
+    out: list[TraversalStep] = []
+    ids, rx, ry, d2 = cells["i"], cells["x"], cells["y"], cells["d2"]
+    x0, x1, y0, y1 = cells["x0"], cells["x1"], cells["y0"], cells["y1"]
+    val = d2.copy()   # representative's exact distance to all centres so far
+    ub = d2.copy()    # bound for every point of the cell
+    while len(out) < want:
+        j = int(np.lexsort((ids, -val))[0])           # max value, lowest id
+        v = float(val[j])
+        ok = (ub < v) | ((val == d2) & (d2 == ub))
+        ok[j] = val[j] == d2[j]
+        if not ok.all() or v <= 0.0:
+            return out
+        sx, sy = float(rx[j]), float(ry[j])
+        out.append(TraversalStep(len(base) + len(out) + 1, int(ids[j]), sx, sy, v))
+        dx, dy = rx - sx, ry - sy
+        val = np.minimum(val, dx * dx + dy * dy)
+        fx = np.maximum(x1 - sx, sx - x0)
+        fy = np.maximum(y1 - sy, sy - y0)
+        ub = np.minimum(ub, fx * fx + fy * fy)
+    return out
+
+
 def kcenter_traversal(points: DataFrame, k: int, first_id: int | None = 1,
                       seed: int | None = None, id_col: str = "point_id",
                       x: str = "x", y: str = "y") -> list[TraversalStep]:
-    """Farthest-first traversal to ``k`` centres (fewer if points run out)."""
+    """Farthest-first traversal to ``k`` centres (fewer if points run out).
+
+    Each Spark job summarises the points per grid cell (farthest point from
+    the current centres, bounding box); the driver then takes as many
+    further steps as the summaries certify (``_certified_steps``) before the
+    next job.  Exact: a step that cannot be certified is never guessed.
+    """
     start = first_center(points, first_id, seed, id_col, x, y)
     if start is None:
         return []
     steps = [TraversalStep(1, start[0], start[1], start[2], 0.0)]
+    if k <= 1:
+        return steps
+    box = points.agg(F.min(x), F.max(x), F.min(y), F.max(y)).first()
+    gw = max(float(box[1]) - float(box[0]), 1e-300)
+    gh = max(float(box[3]) - float(box[2]), 1e-300)
+    grid = (float(box[0]), float(box[2]), gw, gh, GRID)
+    n_tasks = points.rdd.getNumPartitions()
     while len(steps) < k:
-        centers = [(s.rank, s.x, s.y) for s in steps]
-        far = farthest_point(points, centers, id_col, x, y)
-        if far is None or far.d2 <= 0.0:
-            break  # every point already coincides with a centre
-        steps.append(TraversalStep(len(steps) + 1, far.point_id, far.x, far.y, far.d2))
+        base = [(s.rank, s.x, s.y) for s in steps]
+        cells = cell_summaries(points, base, grid, n_tasks, id_col, x, y)
+        if not cells:
+            break
+        more = _certified_steps(cells, base, k - len(steps))
+        if not more:
+            # Not even the first pick certified: cannot happen (the first
+            # pick after a refresh is the exact maximum) unless every point
+            # coincides with a centre.
+            break
+        steps.extend(more)
     return steps
 
 

@@ -1,3 +1,7 @@
+import random
+
+import pytest
+
 from conftest import points_df
 from locus.operators import elbow, kcenter as kc, kmeans as km
 
@@ -90,3 +94,29 @@ def test_best_k_rule(spark):
                                   "k INT, wcss DOUBLE")
     # diffs: -40, -10, -5, -1 -> largest is -1 -> k = 9
     assert elbow.best_k(curve).first()[0] == 9
+
+
+def _brute_traversal(pts, k, first=1):
+    """Farthest-first on a list, lowest id on ties; stops at distance 0."""
+    chosen = [first]
+    while len(chosen) < k:
+        best = None
+        for i, (x, y) in enumerate(pts, start=1):
+            d = min((x - pts[c - 1][0]) * (x - pts[c - 1][0]) + (y - pts[c - 1][1]) * (y - pts[c - 1][1])
+                    for c in chosen)
+            if best is None or (d, -i) > best:
+                best = (d, -i)
+        if best[0] <= 0:
+            break
+        chosen.append(-best[1])
+    return chosen
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_certified_traversal_matches_brute_force(spark, seed):
+    rnd = random.Random(seed)
+    spread = rnd.choice([5, 40, 1000])
+    pts = [(rnd.randint(0, spread), rnd.randint(0, spread)) for _ in range(300)]
+    df = points_df(spark, pts).repartition(3)
+    got = [s.point_id for s in kc.kcenter_traversal(df, 25)]
+    assert got == _brute_traversal(pts, 25)
