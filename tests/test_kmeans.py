@@ -120,3 +120,20 @@ def test_certified_traversal_matches_brute_force(spark, seed):
     df = points_df(spark, pts).repartition(3)
     got = [s.point_id for s in kc.kcenter_traversal(df, 25)]
     assert got == _brute_traversal(pts, 25)
+
+
+def test_spark_aggregate_path_equals_driver_combine(spark, monkeypatch):
+    # Above the driver bound the per-task partials are combined by a Spark
+    # aggregate instead; both paths must give the same fits and traversal.
+    rnd = random.Random(3)
+    pts = [(rnd.randint(0, 300), rnd.randint(0, 300)) for _ in range(400)]
+    df = points_df(spark, pts).repartition(4).cache()
+    inits = km.sweep_inits(df, [3, 6])
+    a_fit = km.kmeans_sweep(df, inits)
+    a_kc = kc.kcenter_traversal(df, 12)
+    monkeypatch.setattr(km, "DRIVER_COMBINE_MAX_ROWS", 0)
+    monkeypatch.setattr(kc, "DRIVER_COMBINE_MAX_ROWS", 0)
+    b_fit = km.kmeans_sweep(df, inits)
+    b_kc = kc.kcenter_traversal(df, 12)
+    assert {k: f.centers for k, f in a_fit.items()} == {k: f.centers for k, f in b_fit.items()}
+    assert a_kc == b_kc
