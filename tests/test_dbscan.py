@@ -104,3 +104,24 @@ def test_core_links_tiers_agree_with_pairs(spark):
             if a["node"] != b["node"]
             and math.sqrt((a["x"] - b["x"]) ** 2 + (a["y"] - b["y"]) ** 2) <= eps}
     assert got == want
+
+
+def test_no_all_pairs_join_in_any_stage(spark, monkeypatch):
+    # Every intermediate table DBSCAN writes (cells, tiers, component rounds)
+    # is planned with equi-joins only.
+    import locus.runtime as rt
+    from locus.operators import components, ids
+    seen = []
+
+    def checked(df, name="stage"):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+        seen.append(name)
+        return rt.materialize(df, name)
+
+    for mod in (db, components, ids):
+        monkeypatch.setattr(mod, "materialize", checked)
+    rnd = random.Random(2)
+    pts = list({(rnd.randint(0, 50), rnd.randint(0, 50)) for _ in range(300)})
+    assert db.dbscan(points_df(spark, pts), 4.0, 4).count() > 0
+    assert {"db-cell-pairs", "db-sub-pairs", "db-point-box", "cc-labels"} <= set(seen)
