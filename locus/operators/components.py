@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from locus.operators.joins import BROADCAST_MAX_ROWS
 from locus.runtime import materialize
 
 MAX_ROUNDS = 200
@@ -34,12 +35,17 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "node",
         .filter(F.col("a") != F.col("b")).distinct()
     und = materialize(und, "cc-edges")
     labels = materialize(nodes.select(F.col(node).alias("v"), F.col(node).alias("l")), "cc-labels")
+    # Every per-node table below has exactly one row per node, a count fixed
+    # before the first round: checked once, then broadcast in every round
+    # when under the bound (no shuffle of the edges' side, no hot label key).
+    small = labels.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS
+    per_node = F.broadcast if small else (lambda d: d)
     for _ in range(max_rounds):
-        nbr = (und.join(labels.withColumnRenamed("v", "b"), "b")
+        nbr = (und.join(per_node(labels.withColumnRenamed("v", "b")), "b")
                .groupBy(F.col("a").alias("v")).agg(F.min("l").alias("nl")))
-        m = (labels.join(nbr, "v", "left")
+        m = (labels.join(per_node(nbr), "v", "left")
              .select("v", F.col("l").alias("old"), F.least("l", F.coalesce("nl", "l")).alias("m")))
-        jumped = (m.join(m.select(F.col("v").alias("m"), F.col("m").alias("mm")), "m", "left")
+        jumped = (m.join(per_node(m.select(F.col("v").alias("m"), F.col("m").alias("mm"))), "m", "left")
                   .select("v", "old", F.least("m", F.coalesce("mm", "m")).alias("l")))
         # The old label rides along, so the test below is a scan of the
         # written round, not another join.
