@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from locus.operators.joins import BROADCAST_MAX_ROWS
-from locus.runtime import materialize
+from locus.runtime import materialize, scratch_path
 
 MAX_ROUNDS = 200
 
@@ -40,7 +40,11 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "node",
     # when under the bound (no shuffle of the edges' side, no hot label key).
     small = labels.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS
     per_node = F.broadcast if small else (lambda d: d)
-    for _ in range(max_rounds):
+    # Rounds alternate between two folders: round r overwrites round r-2,
+    # which nothing reads any more, so storage does not grow with rounds.
+    spark = nodes.sparkSession
+    slots = [scratch_path(spark, "cc-labels-a"), scratch_path(spark, "cc-labels-b")]
+    for r in range(max_rounds):
         nbr = (und.join(per_node(labels.withColumnRenamed("v", "b")), "b")
                .groupBy(F.col("a").alias("v")).agg(F.min("l").alias("nl")))
         m = (labels.join(per_node(nbr), "v", "left")
@@ -49,7 +53,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "node",
                   .select("v", "old", F.least("m", F.coalesce("mm", "m")).alias("l")))
         # The old label rides along, so the test below is a scan of the
         # written round, not another join.
-        jumped = materialize(jumped, "cc-labels")
+        jumped = materialize(jumped, "cc-labels", slots[r % 2])
         changed = jumped.filter(F.col("l") != F.col("old")).limit(1).count()
         labels = jumped.select("v", "l")
         if changed == 0:

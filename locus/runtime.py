@@ -37,15 +37,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/locus/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+def materialize(df: DataFrame, name: str = "stage", path: str | None = None) -> DataFrame:
     """Write ``df`` as parquet in the shared folder and read it back.
 
     Cuts lineage (iterative jobs stay small; a lost executor re-reads the
     table instead of recomputing rounds) and fixes non-deterministic columns
     such as ``monotonically_increasing_id`` so later jobs see one value.
+    ``path`` reuses a folder (overwritten): iterative callers alternate two
+    so storage stays bounded however many rounds run.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = path or scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 

@@ -113,11 +113,11 @@ def test_no_all_pairs_join_in_any_stage(spark, monkeypatch):
     from locus.operators import components, ids
     seen = []
 
-    def checked(df, name="stage"):
+    def checked(df, name="stage", path=None):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
         seen.append(name)
-        return rt.materialize(df, name)
+        return rt.materialize(df, name, path)
 
     for mod in (db, components, ids):
         monkeypatch.setattr(mod, "materialize", checked)
