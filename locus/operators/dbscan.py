@@ -228,13 +228,29 @@ def dbscan_parts(points: DataFrame, eps: float, min_pts: int, id_col: str = "poi
     pts = materialize(join_small(pts, cell_n, ["gx", "gy"]), "db-points")
 
     # Cross-cell neighbours of points in sparse cells (dense cells need none).
+    # A dense neighbour cell whose box lies wholly within eps of the point
+    # counts in full, with no pair tests: next to a hot cell a sparse point
+    # costs one row, not one row per point of the hot cell.
     sparse = pts.filter(F.col("n_cell") < min_pts)
-    cand = (_explode_offsets(_probe(sparse), offsets(eps))
+    probe = _explode_offsets(_probe(sparse), offsets(eps))
+    dbox = (_box(pts.filter(F.col("n_cell") >= min_pts), ["gx", "gy", "n_cell"])
+            .select(F.col("gx").alias("ngx"), F.col("gy").alias("ngy"), F.col("n_cell").alias("n_b"),
+                    *[F.col(k).alias("b" + k) for k in _BOX]))
+    pb = (join_small(probe, dbox, ["ngx", "ngy"], "left")
+          .withColumns({"ax0": F.col("px"), "ax1": F.col("px"), "ay0": F.col("py"), "ay1": F.col("py")})
+          # 1: the whole dense cell is within eps; -1: none of it; 0: test pairs.
+          .withColumn("v", F.when(F.col("n_b").isNotNull(), _verdict("a", "b", eps)).otherwise(F.lit(0))))
+    pb = materialize(pb.filter(F.col("v") >= 0).select("pid", "px", "py", "ngx", "ngy", "n_b", "v"),
+                     "db-probes")
+    whole = pb.filter(F.col("v") == 1).select("pid", "ngx", "ngy", "n_b")
+    cand = (pb.filter(F.col("v") == 0).select("pid", "px", "py", "ngx", "ngy")
             .join(_target(pts), ["ngx", "ngy"])
             .filter(_within(eps))
             .select("pid", "qid"))
     cand = materialize(cand, "db-sparse-pairs")
-    cross = cand.groupBy("pid").agg(F.count("*").alias("n_cross"))
+    cross = (cand.groupBy("pid").agg(F.count("*").alias("n_cross"))
+             .unionByName(whole.groupBy("pid").agg(F.sum("n_b").alias("n_cross")))
+             .groupBy("pid").agg(F.sum("n_cross").alias("n_cross")))
     counts = (pts.join(cross, pts.point_id == cross.pid, "left")
               .withColumn("n_nbrs", F.col("n_cell") + F.coalesce(F.col("n_cross"), F.lit(0)))
               .withColumn("core", F.col("n_nbrs") >= F.lit(min_pts))
@@ -265,8 +281,16 @@ def dbscan_parts(points: DataFrame, eps: float, min_pts: int, id_col: str = "poi
                  .select("point_id", "qid"))
     cross_core = (cand.join(noncore.select(F.col("point_id").alias("pid")), "pid")
                   .select(F.col("pid").alias("point_id"), "qid"))
-    border = (same_cell.unionByName(cross_core)
-              .join(core_seed.select(F.col("point_id").alias("qid"), "seed"), "qid")
+    via_points = (same_cell.unionByName(cross_core)
+                  .join(core_seed.select(F.col("point_id").alias("qid"), "seed"), "qid")
+                  .select("point_id", "seed"))
+    # Whole dense cells: all core, one component, so one seed per cell.
+    cell_seed = join_small(cells, comp, "node").select(
+        F.col("gx").alias("ngx"), F.col("gy").alias("ngy"), F.col("label").alias("seed"))
+    via_cells = (whole.join(noncore.select(F.col("point_id").alias("pid")), "pid")
+                 .join(cell_seed, ["ngx", "ngy"])
+                 .select(F.col("pid").alias("point_id"), "seed"))
+    border = (via_points.unionByName(via_cells)
               .groupBy("point_id").agg(F.min("seed").alias("seed")))
     return DbscanParts(counts, core_seed, materialize(border, "db-border"), clusters)
 

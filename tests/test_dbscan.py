@@ -125,3 +125,17 @@ def test_no_all_pairs_join_in_any_stage(spark, monkeypatch):
     pts = list({(rnd.randint(0, 50), rnd.randint(0, 50)) for _ in range(300)})
     assert db.dbscan(points_df(spark, pts), 4.0, 4).count() > 0
     assert {"db-cell-pairs", "db-sub-pairs", "db-point-box", "cc-labels"} <= set(seen)
+
+
+@pytest.mark.parametrize("mode", db.MODES)
+def test_sparse_points_next_to_whole_dense_cell(spark, mode):
+    # A tight dense clump (one cell) and sparse points around it: some see the
+    # whole clump within eps (counted and seeded per cell, no pair tests),
+    # some only part of it, some none.  Ids interleave so border order matters.
+    clump = [(50 + i % 3, 50 + i // 3) for i in range(9)]
+    sparse = [(58, 50), (50, 59), (60, 60), (42, 44), (70, 50), (50, 38), (61, 52)]
+    pts = sparse[:3] + clump + sparse[3:]
+    got = {r["point_id"]: r["cluster_id"]
+           for r in db.dbscan(points_df(spark, pts), 10.0, 4, mode).collect()}
+    assert got == traversal(pts, 10.0, 4, mode)
+    assert len(got) > len(clump)
