@@ -7,7 +7,7 @@ pick a folder ourselves.
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -22,9 +22,10 @@ def work_dir(spark: SparkSession) -> str:
         return current
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        # Unset: only allowed for a local test session.  A machine-local
-        # folder is useless on a cluster (other executors cannot read it).
-        if not sc.master.startswith("local"):
+        # Unset: only allowed for a single-process test session ("local" or
+        # "local[...]", not "local-cluster").  A machine-local folder is
+        # useless on a cluster (other executors cannot read it).
+        if not re.match(r"local(\[|$)", sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         named = tempfile.mkdtemp(prefix="locus-ckpt-")
     sc.setCheckpointDir(named)
@@ -43,23 +44,29 @@ def materialize(df: DataFrame, name: str = "stage", path: str | None = None) ->
     Cuts lineage (iterative jobs stay small; a lost executor re-reads the
     table instead of recomputing rounds) and fixes non-deterministic columns
     such as ``monotonically_increasing_id`` so later jobs see one value.
-    ``path`` reuses a folder (overwritten): iterative callers alternate two
-    so storage stays bounded however many rounds run.
+    The known schema is passed to the reader, so no job infers it.
+    ``path`` names the folder (overwritten) for callers that later ``discard``
+    it; by default it is a fresh one.
     """
     spark = df.sparkSession
     path = path or scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete finished stages (folders that ``scratch_path`` named).
 
+    Only for tables that no returned DataFrame reads any more.
+    """
+    sc = spark.sparkContext
+    for path in paths:
+        if "/locus/" not in path:
+            raise ValueError(f"not a scratch path: {path}")
+        hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+        hpath.getFileSystem(sc._jsc.hadoopConfiguration()).delete(hpath, True)
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme (for tests that list written files)."""
-    return path[5:] if path.startswith("file:") else path
 
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
-def path_exists(path: str) -> bool:
-    return os.path.exists(local_path(path))

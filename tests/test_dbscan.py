@@ -124,7 +124,7 @@ def test_no_all_pairs_join_in_any_stage(spark, monkeypatch):
     rnd = random.Random(2)
     pts = list({(rnd.randint(0, 50), rnd.randint(0, 50)) for _ in range(300)})
     assert db.dbscan(points_df(spark, pts), 4.0, 4).count() > 0
-    assert {"db-cell-pairs", "db-sub-pairs", "db-point-box", "cc-labels"} <= set(seen)
+    assert {"db-cell-pairs", "db-sub-pairs", "db-point-box", "cc-edges"} <= set(seen)
 
 
 @pytest.mark.parametrize("mode", db.MODES)
