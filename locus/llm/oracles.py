@@ -2,6 +2,25 @@
 
 from __future__ import annotations
 
+#: Lines and their keys; the document's id, the line's number from 0.
+LINES = r"""
+lines AS (
+    SELECT doc_id, i, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line,
+                 generate_subscripts(string_split(t, chr(10)), 1) AS i
+          FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents))
+)"""
+
+OP10 = rf"""
+WITH {LINES},
+hot AS (SELECT key FROM lines WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10),
+marked AS (SELECT l.*, h.key IS NOT NULL AS gone FROM lines l LEFT JOIN hot h ON l.key = h.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_line_dedup": OP10}

@@ -9,10 +9,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from locus.llm import byte_bpe, token_counts
+from locus.llm import byte_bpe, line_dedup, simhash, token_counts
 from locus.llm.columns import hex_digest
 
 TOKEN_LIMIT = 2048
+#: Words of a shingle, and bits by which linked fingerprints differ at most.
+SIMHASH_SHINGLE, SIMHASH_RADIUS = 3, 3
+#: Documents from which a line is dropped.
+LINE_DOCS = 10
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -37,5 +41,18 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=SIMHASH_SHINGLE, radius=SIMHASH_RADIUS)
+    return out.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"),
+                      F.col("component").alias("component_id"))
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    index = line_dedup.LineIndex(spark, min_chars=1).insert(docs)
+    return index.drop(docs, min_docs=LINE_DOCS).select(
+        "doc_id", "n_lines", "n_dropped", hex_digest(F.col("kept")).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
