@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from locus.llm import byte_bpe, line_dedup, simhash, token_counts
+from locus.llm import byte_bpe, line_dedup, packing, simhash, token_counts
 from locus.llm.columns import hex_digest
 
 TOKEN_LIMIT = 2048
@@ -23,6 +23,12 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as vocab
+
+    return packing.pack(read(spark, sf_dir, "documents"), vocab.path("byte_bpe_50k.json"), vocab.PATTERN, TOKEN_LIMIT)
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as vocab
 
