@@ -7,6 +7,7 @@ pick a folder ourselves.
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import uuid
@@ -67,6 +68,17 @@ def discard(spark: SparkSession, *paths: str) -> None:
         hpath.getFileSystem(sc._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
+def sweep(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of finished stages now.
+
+    It does so once the driver has collected the plans that made them, which a driver
+    with little to do may put off for half an hour; a chain of written stages would
+    hold the shuffles of all of them on disk until then.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
