@@ -9,12 +9,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from locus.llm import byte_bpe, line_dedup, packing, simhash, token_counts
+from locus.llm import byte_bpe, line_dedup, packing, simhash, substring_dedup, token_counts
 from locus.llm.columns import hex_digest
 
 TOKEN_LIMIT = 2048
 #: Words of a shingle, and bits by which linked fingerprints differ at most.
 SIMHASH_SHINGLE, SIMHASH_RADIUS = 3, 3
+#: Words of a window that is removed where it repeats.
+WINDOW_WORDS = 50
 #: Documents from which a line is dropped.
 LINE_DOCS = 10
 
@@ -53,6 +55,11 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("component").alias("component_id"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.dedup(read(spark, sf_dir, "documents"), length=WINDOW_WORDS)
+    return out.select("doc_id", "n_words", "n_removed", hex_digest(F.col("kept")).alias("kept_sha256"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     index = line_dedup.LineIndex(spark, min_chars=1).insert(docs)
