@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from locus.llm import byte_bpe, line_dedup, packing, simhash, substring_dedup, token_counts
+from locus.llm import byte_bpe, line_dedup, packing, simhash, substring_dedup, token_counts, toxicity
 from locus.llm.columns import hex_digest
 
 TOKEN_LIMIT = 2048
@@ -25,6 +25,14 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.train(docs, read(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as vocab
 
