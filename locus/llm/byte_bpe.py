@@ -124,6 +124,9 @@ class ByteBpe:
         self.specials = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.runs: dict[str, bytes] = {}
+        self.older_runs: dict[str, bytes] = {}
+        self.unsafe = regex.compile(r"\s ")
 
     def merge(self, data: bytes) -> list[int]:
         """Ids of one pre-token: always the leftmost pair of least rank is merged."""
@@ -195,6 +198,28 @@ class ByteBpe:
         piece = self.piece
         return b"".join([self.memo.get(w) or piece(w) for w in pre_tokens(text, self.pattern)])
 
+    def encode_runs(self, text: str) -> bytes:
+        """``encode``, for callers with many texts: runs between spaces are remembered whole.
+
+        White space after anything else always starts a pre-token, and no match looks back, so a
+        text can be cut before each such space and every run be split on its own.
+        """
+        if self.specials and self.specials.search(text) or self.unsafe.search(text):
+            return self.encode(text)
+        first, *rest = text.split(" ")
+        get, run = self.runs.get, self.run
+        return b"".join([self.plain(first), *[get(r) or run(r) for r in rest]])
+
+    def run(self, run: str) -> bytes:
+        got = self.older_runs.get(run)
+        if got is None:
+            got = b"".join([self.memo.get(w) or self.piece(w) for w in self.pattern.findall(" " + run)])
+        if len(run) < 256:
+            if len(self.runs) >= MEMO:
+                self.older_runs, self.runs = self.runs, {}
+            self.runs[run] = got
+        return got
+
     def decode(self, ids) -> bytes:
         return b"".join(map(self.bytes.__getitem__, ids))
 

@@ -57,3 +57,40 @@ def map_rows(df: DataFrame, rows: Callable[[tuple], Iterator[tuple]], schema: st
             yield flush()
 
     return df.mapInArrow(run, schema)
+
+
+def map_groups(df: DataFrame, keys: list[str], group: Callable[[pa.Table], pa.Table | None], schema: str) -> DataFrame:
+    """Apply ``group`` to the rows of each value of ``keys``, many groups to a task.
+
+    A task holds one Arrow batch and one group at a time, so groups must be bounded.
+    """
+    def run(batches):
+        rest: pa.Table | None = None
+
+        def done(table: pa.Table, last: bool) -> tuple[list[pa.Table], pa.Table]:
+            n = table.num_rows
+            new = [False] * max(n - 1, 0)
+            if n > 1:
+                import numpy as np
+                new = np.zeros(n - 1, bool)
+                for k in keys:
+                    col = table[k].to_numpy()
+                    new |= col[1:] != col[:-1]
+                new = np.flatnonzero(new) + 1
+            starts = [0, *(int(i) for i in new)] if n > 1 else [0] * min(n, 1)
+            ends = [*starts[1:], n]
+            outs = [group(table.slice(a, b - a)) for a, b in zip(starts, ends) if last or b < n]
+            return [x for x in outs if x is not None], table if last or not starts else table.slice(starts[-1])
+
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = pa.concat_tables([rest, table]).combine_chunks() if rest is not None and rest.num_rows else table
+            outs, rest = done(table, False)
+            if outs:
+                yield from pa.concat_tables(outs).to_batches()
+        if rest is not None and rest.num_rows:
+            outs, _ = done(rest, True)
+            if outs:
+                yield from pa.concat_tables(outs).to_batches()
+
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)

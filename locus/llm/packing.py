@@ -45,7 +45,7 @@ def pieces(docs: DataFrame, path: str, pattern: str, capacity: int, end_id: int
     closing = int(end_id).to_bytes(4, "little")
 
     def rows(row):
-        ids = codec(path, pattern, True).encode(row[1]) + closing
+        ids = codec(path, pattern, True).encode_runs(row[1]) + closing
         n = len(ids) // 4
         cuts = [0, *range(n % capacity or capacity, n + 1, capacity)]
         for i, (a, b) in enumerate(zip(cuts, cuts[1:])):

@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from locus.llm import byte_bpe, line_dedup, packing, simhash, substring_dedup, token_counts, toxicity
+from locus.llm import byte_bpe, embedding_dedup, line_dedup, packing, simhash, substring_dedup, token_counts, toxicity
 from locus.llm.columns import hex_digest
 
 TOKEN_LIMIT = 2048
@@ -17,6 +17,8 @@ TOKEN_LIMIT = 2048
 SIMHASH_SHINGLE, SIMHASH_RADIUS = 3, 3
 #: Words of a window that is removed where it repeats.
 WINDOW_WORDS = 50
+#: Least cosine of linked vectors.
+COSINE = 0.95
 #: Documents from which a line is dropped.
 LINE_DOCS = 10
 
@@ -57,6 +59,12 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = embedding_dedup.near_duplicates(read(spark, sf_dir, "embeddings"), threshold=COSINE)
+    return out.select("vec_id", "n_links", F.col("component").alias("component_id"),
+                      (F.col("vec_id") == F.col("component")).alias("kept"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=SIMHASH_SHINGLE, radius=SIMHASH_RADIUS)
     return out.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"),
