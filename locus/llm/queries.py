@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from locus.llm import byte_bpe, embedding_dedup, line_dedup, packing, pii, simhash, substring_dedup, token_counts, toxicity
+from locus.llm import byte_bpe, embedding_dedup, line_dedup, order_minhash, packing, pii, simhash, substring_dedup, token_counts, toxicity
 from locus.llm.columns import hex_digest
 
 TOKEN_LIMIT = 2048
@@ -47,6 +47,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents"), vocab.path("word_bpe_49k.json"), TOKEN_LIMIT)
 
 
+def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.fingerprints(read(spark, sf_dir, "documents"))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pii.sanitise(read(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
