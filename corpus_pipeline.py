@@ -1,11 +1,67 @@
-"""A corpus pipeline from the operators of ``locus.llm``; see STAGES."""
+"""A corpus pipeline from the operators of ``locus.llm``; see STAGES.
+
+Every stage takes all documents that the stage before it kept.  All but the last return the columns of
+``documents`` (and any further ones), with ``n_chars`` as long as the text now is; the last returns token
+pieces with their places in sequences.  Nulls, empty texts and repeated rows are treated as the operators say; of
+repeated rows the near-duplicate stage keeps one.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from locus.llm import line_dedup, packing, pii, simhash, toxicity
+from locus.llm.queries import LINE_DOCS, SIMHASH_RADIUS, SIMHASH_SHINGLE, TOKEN_LIMIT, read
+from locus.runtime import materialize
+
+
+def others(docs: DataFrame) -> list[str]:
+    return [c for c in docs.columns if c not in ("doc_id", "text")]
+
+
+def like(docs: DataFrame, out: DataFrame, text: str) -> DataFrame:
+    """The columns of ``docs`` from ``out``, with the text in its column ``text``."""
+    new = {"text": F.col(text), "n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)}
+    return out.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier scores below one half."""
+    model = toxicity.train(docs, read(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, carry=others(docs)).filter("score < 0.5").select(*docs.columns)
+
+
+def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines that many of them have."""
+    index = line_dedup.LineIndex(spark, min_chars=1).insert(docs)
+    return like(docs, index.drop(docs, min_docs=LINE_DOCS, carry=others(docs)), "kept")
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return simhash.representatives(docs, shingle=SIMHASH_SHINGLE, radius=SIMHASH_RADIUS).select(*docs.columns)
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data masked and what gives it away generalised or removed."""
+    return like(docs, pii.sanitise(docs, carry=others(docs)), "sanitised")
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of all documents in sequences."""
+    import public_tokenizers as vocab
+
+    return packing.pack(docs, vocab.path("byte_bpe_50k.json"), vocab.PATTERN, TOKEN_LIMIT)
+
 
 #: (name, function) in order; each function takes (spark, docs, sf_dir).
-STAGES: list = []
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", drop_lines),
+    ("simhash", drop_near_duplicates),
+    ("pii", mask_personal_data),
+    ("packing", pack),
+]
 
 #: SQL can't express these stages; tests hold the rows against brute force.
 ORACLE_SQL = None
@@ -13,9 +69,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every stage in turn over ``documents``, each written and read again."""
-    from locus.runtime import materialize
-
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = read(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):

@@ -64,14 +64,14 @@ def fingerprint(text: str, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp): the 64 bits as a signed long."""
+    """(id, fp, hash): the 64 bits as a signed long, and a hash of the text."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def rows(row):
-        fp = fingerprint(row[1], shingle)
-        yield row[0], fp - (1 << 64) if fp >> 63 else fp
+        yield row[0], signed(fingerprint(row[1], shingle)), row[2]
 
-    return map_rows(texts(docs, id_col, text_col), rows, f"id {kind}, fp bigint")
+    hashed = texts(docs, id_col, text_col).withColumn("hash", F.xxhash64("text"))
+    return map_rows(hashed, rows, f"id {kind}, fp bigint, hash bigint")
 
 
 def covering_masks(radius: int, bits: int = BITS, skip: int = 0) -> list[int]:
@@ -184,7 +184,10 @@ def block_edges(rows: DataFrame, keys: list[str], radius: int, bucket: int) -> D
 
 def near_duplicates(docs: DataFrame, shingle: int, radius: int, id_col: str = "doc_id",
                     text_col: str = "text", bucket: int = BUCKET) -> DataFrame:
-    """(id, fp, component) for every row of ``docs``; component: the least id reachable by links."""
+    """(id, fp, component, hash, root) for every row of ``docs``.
+
+    component: the least id reachable by links; hash: of the text; root: the same for all rows that links connect.
+    """
     rows = materialize(fingerprints(docs, shingle, id_col, text_col), "simhash-fps")
     nodes = materialize(rows.groupBy("fp").agg(F.min("id").alias("least")), "simhash-nodes")
     stars, _ = contract(links(nodes, radius, bucket))
@@ -192,9 +195,21 @@ def near_duplicates(docs: DataFrame, shingle: int, radius: int, id_col: str = "d
         nodes.join(stars, nodes["fp"] == stars["a"], "left")
         .select("fp", "least", F.coalesce("b", "fp").alias("root")), "simhash-groups")
     least = materialize(groups.groupBy("root").agg(F.min("least").alias("component")), "simhash-least")
-    named = materialize(groups.join(least, "root").select("fp", "component"), "simhash-named")
+    named = materialize(groups.join(least, "root").select("fp", "component", "root"), "simhash-named")
     return (rows.join(named, "fp")
-            .select(F.col("id").alias(id_col), "fp", "component"))
+            .select(F.col("id").alias(id_col), "fp", "component", "hash", "root"))
+
+
+def representatives(docs: DataFrame, shingle: int, radius: int, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """One row of ``docs`` for each group that links connect: one with the least id, whole and unchanged."""
+    found = near_duplicates(docs, shingle, radius, id_col, text_col)
+    kept = (found.filter(F.col(id_col).eqNullSafe(F.col("component"))).groupBy("root")
+            .agg(F.any_value(id_col).alias("_id"), F.min("hash").alias("_hash")).select("_id", "_hash"))
+    kept = materialize(kept, "simhash-kept")
+    own = docs.withColumn("_text_hash", F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))))
+    return (own.join(kept, own[id_col].eqNullSafe(kept["_id"]) & (F.col("_text_hash") == F.col("_hash")), "left_semi")
+            .dropDuplicates([id_col, "_text_hash"]).drop("_text_hash"))
 
 
 def hex_fingerprint(fp: Column) -> Column:

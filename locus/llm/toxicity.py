@@ -265,12 +265,13 @@ def surprise(pos: np.ndarray, neg: np.ndarray, n1: float, n0: float) -> np.ndarr
 
 def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text",
           carry: list[str] | None = None) -> DataFrame:
-    """(id, score, *carry) for every row of ``docs``, from the whole text alone."""
+    """(id, score, text, *carry) for every row of ``docs``; the score is from the whole text alone."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(  # MAX_WEIGHTS weights at most
         (model["bias"], np.asarray(model["ids"], np.int32), np.asarray(model["weights"], np.float32)))
-    rows = docs.select(F.struct(F.col(f"`{id_col}`").alias("id"), *[F.col(f"`{c}`") for c in carry or []]).alias("row"),
-                       F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
+    row = F.struct(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"),
+                   *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry or [])])
+    rows = docs.select(row.alias("row"))
 
     def run(batches):
         bias, ids, weights = shared.value
@@ -285,15 +286,16 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
 
         for batch in batches:
             out = []
-            for text in batch.column(1):
-                words = WORD.findall(text.as_py().lower())
+            for text in batch.column(0).field("text"):
+                words = WORD.findall((text.as_py() or "").lower())
                 total = sum([w if (w := memo.get(word)) is not None else weigh(word) for word in words])
                 odds = bias + SCALE * total / (len(words) + PAD)
                 out.append(1 / (1 + math.exp(-max(-50.0, min(50.0, odds)))))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], ["row", "score"])
 
     out = rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, score double")
-    return out.select(F.col("row.id").alias(id_col), "score", *[F.col("row")[c].alias(c) for c in carry or []])
+    return out.select(F.col("row.id").alias(id_col), "score", F.col("row.text").alias(text_col),
+                      *[F.col("row")[f"c{i}"].alias(c) for i, c in enumerate(carry or [])])
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
