@@ -116,7 +116,7 @@ class LineIndex:
         min_chars = self.min_chars
         kind = docs.schema[id_col].dataType.simpleString()
         rows = docs.select(
-            F.struct(F.col(f"`{id_col}`").alias("id"), *[F.col(f"`{c}`") for c in carry or []]).alias("row"),
+            F.struct(F.col(f"`{id_col}`").alias("id"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry or [])]).alias("row"),
             F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text")) \
             .withColumn("id", F.col("row.id")).withColumn("hash", F.xxhash64("text"))
 
@@ -138,7 +138,7 @@ class LineIndex:
             without_lines, f"row {rows.schema['row'].dataType.simpleString()}, "
                            "n_lines bigint, n_dropped bigint, kept string")
         return out.select(F.col("row.id").alias(id_col), "n_lines", "n_dropped", "kept",
-                          *[F.col("row")[c].alias(c) for c in carry or []])
+                          *[F.col("row")[f"c{i}"].alias(c) for i, c in enumerate(carry or [])])
 
 
 def without_lines(batches):

@@ -150,7 +150,7 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ca
     base and terms are arrays of spans (s, e, kind: code points, e exclusive); a term's kind is
     ``term`` if it is generalised and ``gone`` if it is removed.
     """
-    rows = docs.select(F.struct(F.col(f"`{id_col}`").alias("id"), *[F.col(f"`{c}`") for c in carry or []]).alias("row"),
+    rows = docs.select(F.struct(F.col(f"`{id_col}`").alias("id"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry or [])]).alias("row"),
                        F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("h1", F.xxhash64("text")).withColumn("h2", F.xxhash64(F.lit(2), "text"))
     marked = rows.withColumn("base", base_spans(F.col("text")))
@@ -172,7 +172,7 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ca
            .withColumn("terms", F.coalesce("terms", F.array().cast("array<struct<s:int,e:int,kind:string>>"))))
     return out.select(F.col("row.id").alias(id_col), "base", "terms",
                       masked(F.col("text"), ordered(F.concat("base", "terms"))).alias("sanitised"),
-                      *[F.col("row")[c].alias(c) for c in carry or []])
+                      *[F.col("row")[f"c{i}"].alias(c) for i, c in enumerate(carry or [])])
 
 
 def masked(text: Column, spans: Column) -> Column:
