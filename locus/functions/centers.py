@@ -17,6 +17,7 @@ argmin takes the first minimum, i.e. the lowest ``center_id``.
 
 from __future__ import annotations
 
+import math
 import sys
 from collections.abc import Mapping, Sequence
 
@@ -117,59 +118,97 @@ class Flat:
 
 # ----------------------------------------------------- Spark operators on top
 
+# Sums do not depend on how points are split over tasks: every term is cut into
+# LIMBS whole numbers of LIMB_BITS bits on grids fixed by the largest term, and whole
+# numbers are added.  Terms down to 2^-60 of the largest keep every bit.
+LIMBS, LIMB_BITS = 3, 20
+_SUMMED = ("x", "y", "w")
+
 SUMS_SCHEMA = T.StructType([
     T.StructField("k", T.IntegerType()),
     T.StructField("center_id", T.IntegerType()),
-    T.StructField("sx", T.DoubleType()),
-    T.StructField("sy", T.DoubleType()),
-    T.StructField("sw", T.DoubleType()),
+    *[T.StructField(f"{c}{i}", T.LongType()) for c in _SUMMED for i in range(LIMBS)],
 ])
 
 
-def partial_update_sums(points: DataFrame, centers_by_k: Mapping[int, Sequence[Center]],
+def exponents(points: DataFrame, x: str = "x", y: str = "y", weight: str | None = None) -> tuple[int, int, int]:
+    """For the terms x * w, y * w and w: e with every |term| below 2^e (one aggregate)."""
+    w = F.col(weight).cast("double") if weight else F.lit(1.0)
+    tops = points.agg(*[F.max(F.abs(t)) for t in (F.col(x) * w, F.col(y) * w, w)]).first()
+    return tuple(math.frexp(t)[1] if t else 0 for t in tops)
+
+
+def limbs(terms: np.ndarray, e: int) -> list[np.ndarray]:
+    """``terms`` as whole numbers on the grids 2^(e - 20), 2^(e - 40), 2^(e - 60)."""
+    out = []
+    for i in range(1, LIMBS + 1):
+        grid = math.ldexp(1.0, e - LIMB_BITS * i)
+        part = np.rint(terms / grid) if i < LIMBS else np.trunc(terms / grid)
+        out.append(part)
+        terms = terms - part * grid
+    return out
+
+
+def partial_update_sums(points: DataFrame, centers_by_k: Mapping[int, Sequence[Center]], exps: tuple[int, int, int],
                         x: str = "x", y: str = "y", weight: str | None = None) -> DataFrame:
-    """Per task: (k, center_id, sx, sy, sw) sums of its own points - at most
-    sum(k) rows per task, before any shuffle."""
+    """Per task: the limbs of sum(x w), sum(y w), sum(w) of its own points by (k, center_id) - at
+    most sum(k) rows per task, before any shuffle."""
     flat = Flat(centers_by_k)
     cols = [x, y] + ([weight] if weight else [])
     kk = len(flat.ks)
     set_of = np.repeat(np.arange(kk), [b - a for a, b in flat.bounds])
 
-    sums_arrow = pa.schema([("k", pa.int32()), ("center_id", pa.int32()), ("sx", pa.float64()),
-                            ("sy", pa.float64()), ("sw", pa.float64())])
+    sums_arrow = pa.schema([("k", pa.int32()), ("center_id", pa.int32()),
+                            *[(f"{c}{i}", pa.int64()) for c in _SUMMED for i in range(LIMBS)]])
 
     def part(batches):
         # Arrow in, Arrow out: this runs once per Lloyd round, so it skips
         # the pandas conversion.
         m = flat.size
-        acc = np.zeros((4, m))
+        acc = np.zeros((LIMBS * len(_SUMMED), m), np.int64)
+        hits = np.zeros(m, np.int64)
         for rb in batches:
             if rb.num_rows == 0:
                 continue
             xs, ys, ws = _arrow_cols(rb, x, y, weight)
             ws = np.ones_like(xs) if ws is None else ws
             g = flat.nearest(xs, ys)[0].ravel()
-            acc[0] += np.bincount(g, weights=np.repeat(xs * ws, kk), minlength=m)
-            acc[1] += np.bincount(g, weights=np.repeat(ys * ws, kk), minlength=m)
-            acc[2] += np.bincount(g, weights=np.repeat(ws, kk), minlength=m)
-            acc[3] += np.bincount(g, minlength=m)
-        hit = np.nonzero(acc[3] > 0)[0]
+            row = 0
+            for terms, e in zip((xs * ws, ys * ws, ws), exps):
+                for part in limbs(terms, e):
+                    # A batch's sums of whole numbers below 2^20 are exact in doubles.
+                    acc[row] += np.bincount(g, weights=np.repeat(part, kk), minlength=m).astype(np.int64)
+                    row += 1
+            hits += np.bincount(g, minlength=m)
+        hit = np.nonzero(hits > 0)[0]
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.array(flat.ks, dtype=np.int32)[set_of[hit]]),
              pa.array(flat.ids[hit].astype(np.int32)),
-             pa.array(acc[0][hit]), pa.array(acc[1][hit]), pa.array(acc[2][hit])],
+             *[pa.array(a[hit]) for a in acc]],
             schema=sums_arrow)
 
     return points.select(*cols).mapInArrow(part, SUMS_SCHEMA)
 
 
 def update_sums(points: DataFrame, centers_by_k: Mapping[int, Sequence[Center]],
-                x: str = "x", y: str = "y", weight: str | None = None) -> DataFrame:
+                x: str = "x", y: str = "y", weight: str | None = None,
+                exps: tuple[int, int, int] | None = None) -> DataFrame:
     """(k, center_id, sx, sy, sw): weighted coordinate sums of each centre's
-    members, for every k, from one scan.  Empty centres produce no row."""
-    return (partial_update_sums(points, centers_by_k, x, y, weight)
-            .groupBy("k", "center_id")
-            .agg(F.sum("sx").alias("sx"), F.sum("sy").alias("sy"), F.sum("sw").alias("sw")))
+    members, for every k, from one scan.  Empty centres produce no row.  The
+    sums are the same however the points are partitioned."""
+    exps = exps or exponents(points, x, y, weight)
+    names = [f"{c}{i}" for c in _SUMMED for i in range(LIMBS)]
+    sums = (partial_update_sums(points, centers_by_k, exps, x, y, weight)
+            .groupBy("k", "center_id").agg(*[F.sum(c).alias(c) for c in names]))
+
+    def joined(c: str, e: int):
+        whole = F.lit(0).cast("decimal(38,0)")
+        for i in range(LIMBS):
+            shift = F.lit(str(1 << LIMB_BITS * (LIMBS - 1 - i))).cast("decimal(13,0)")
+            whole = whole + (F.col(f"{c}{i}").cast("decimal(19,0)") * shift)
+        return (whole.cast("double") * F.lit(math.ldexp(1.0, e - LIMB_BITS * LIMBS))).alias(f"s{c}")
+
+    return sums.select("k", "center_id", *[joined(c, e) for c, e in zip(_SUMMED, exps)])
 
 
 def wcss_sums(points: DataFrame, centers_by_k: Mapping[int, Sequence[Center]],
@@ -273,7 +312,12 @@ def cell_farthest_partials(points: DataFrame, centers: Sequence[Center], grid: t
                             ("x1", pa.float64()), ("y0", pa.float64()), ("y1", pa.float64())])
 
     def part(batches):
-        frames = []
+        # One slot per grid cell, whatever the number of batches.
+        m = n * n
+        far = np.full(m, -1.0)
+        who = np.full(m, np.iinfo(np.int64).max)
+        at = np.zeros((2, m))
+        box = np.array([np.full(m, np.inf), np.full(m, -np.inf), np.full(m, np.inf), np.full(m, -np.inf)])
         for rb in batches:
             if rb.num_rows == 0:
                 continue
@@ -282,19 +326,21 @@ def cell_farthest_partials(points: DataFrame, centers: Sequence[Center], grid: t
             d2 = np_d2(xs, ys, cx, cy).min(axis=1)
             ci = np.clip(((xs - gx0) / gw * n).astype(np.int64), 0, n - 1)
             cj = np.clip(((ys - gy0) / gh * n).astype(np.int64), 0, n - 1)
-            frames.append(pd.DataFrame({"cell": (ci * n + cj).astype(np.int32), "i": ids,
-                                        "x": xs, "y": ys, "d2": d2}))
-        if not frames:
-            return
-        df = pd.concat(frames, ignore_index=True)
-        # Farthest first, lowest id on ties: the first row of each cell.
-        df = df.sort_values(["cell", "d2", "i"], ascending=[True, False, True], kind="mergesort")
-        g = df.groupby("cell", sort=True)
-        top = g.head(1).set_index("cell")
-        box = g.agg(x0=("x", "min"), x1=("x", "max"), y0=("y", "min"), y1=("y", "max"))
-        res = top.join(box).reset_index()
-        yield pa.RecordBatch.from_pandas(res[["cell", "i", "x", "y", "d2", "x0", "x1", "y0", "y1"]],
-                                         schema=out_schema, preserve_index=False)
+            cell = ci * n + cj
+            for slot, fold, v in ((0, np.minimum, xs), (1, np.maximum, xs), (2, np.minimum, ys), (3, np.maximum, ys)):
+                fold.at(box[slot], cell, v)
+            # Farthest first, lowest id on ties: the first row of each cell in this batch.
+            order = np.lexsort((ids, -d2, cell))
+            lead = order[np.append(True, cell[order][1:] != cell[order][:-1])]
+            c = cell[lead]
+            better = (d2[lead] > far[c]) | ((d2[lead] == far[c]) & (ids[lead] < who[c]))
+            lead, c = lead[better], c[better]
+            far[c], who[c], at[0, c], at[1, c] = d2[lead], ids[lead], xs[lead], ys[lead]
+        seen = np.flatnonzero(far >= 0)
+        if len(seen):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(seen.astype(np.int32)), pa.array(who[seen]), pa.array(at[0, seen]), pa.array(at[1, seen]),
+                 pa.array(far[seen]), *[pa.array(b[seen]) for b in box]], schema=out_schema)
 
     return points.select(id_col, x, y).mapInArrow(part, CELL_SCHEMA)
 

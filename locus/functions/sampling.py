@@ -1,35 +1,14 @@
 """Seeded pseudo-random order of rows by key.
 
-``rank = ((id mod P) * A + B) mod P`` with ``P = 2^31 - 1`` (prime) and
-``A``, ``B`` derived from the seed.  For ids below P this is a permutation,
-so a draw has no ties; beyond P ties fall back to the id.  It depends only on
-the row's key, never on partitioning, and every intermediate value stays
-below 2^62, so Spark and any SQL engine compute it identically in BIGINT.
-The k smallest ranks are a draw of k distinct rows; draws for smaller k are
-prefixes of it.
+Rows are ordered by ``md5("<key>:<seed>")``, then by key.  It depends on the row's key only, never on
+partitioning, and any engine with MD5 computes the same order.  The first k rows are a draw of k
+distinct rows; draws for smaller k are prefixes of it.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-P = 2_147_483_647
-# Fixed multipliers for the seed (Park-Miller and a prime).
-_MA, _MB = 16_807, 7_919
-
-
-def _coefficients(seed: int) -> tuple[int, int]:
-    a = (_MA * ((seed % P) + 1)) % P or _MA
-    b = (_MB * (seed % P)) % P
-    return a, b
-
 
 def seeded_rank(key: Column, seed: int) -> Column:
-    a, b = _coefficients(seed)
-    k = F.pmod(key.cast("bigint"), F.lit(P))
-    return F.pmod(k * F.lit(a) + F.lit(b), F.lit(P))
-
-
-def seeded_rank_sql(key: str, seed: int) -> str:
-    a, b = _coefficients(seed)
-    return f"((({key}) % {P}) * {a} + {b}) % {P}"
+    return F.md5(F.concat(key.cast("string"), F.lit(f":{int(seed)}")).cast("binary"))

@@ -34,7 +34,7 @@ def contract(edges: DataFrame, src: str = "src", dst: str = "dst") -> tuple[Data
 
     def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
         path = scratch_path(spark, name)
-        return materialize(df, path=path), path
+        return materialize(df, name, path), path
 
     x, y = F.col(src), F.col(dst)
     e, e_path = written(edges.filter(x != y).select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b")).distinct(),

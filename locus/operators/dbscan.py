@@ -98,12 +98,14 @@ def eps_neighbors(points: DataFrame, eps: float, id_col: str = "point_id",
                   x: str = "x", y: str = "y") -> DataFrame:
     """Every ordered pair (point_id, nbr_id) within eps, self included.
 
+    Rows at one place are one point (their least id).
+
     The output is the neighbour relation itself, so its size is inherent;
     the plan is a cell equi-join (each point probes its own and the 24
     surrounding cells) with a residual distance filter.
     """
-    pts = with_cells(points.select(F.col(id_col).alias("point_id"), F.col(x).alias("x"),
-                                   F.col(y).alias("y")), eps)
+    pts = with_cells(points.groupBy(F.col(x).alias("x"), F.col(y).alias("y"))
+                     .agg(F.min(id_col).alias("point_id")), eps)
     probe = _explode_offsets(_probe(pts), offsets(eps, include_self=True))
     pairs = probe.join(_target(pts), ["ngx", "ngy"]).filter(_within(eps))
     return pairs.select(F.col("pid").alias("point_id"), F.col("qid").alias("nbr_id"))
@@ -211,17 +213,21 @@ def core_links(core_n: DataFrame, eps: float) -> DataFrame:
 
 @dataclass
 class DbscanParts:
-    counts: DataFrame      # point_id, x, y, gx, gy, n_cell, n_nbrs, core
-    core: DataFrame        # point_id, n_nbrs, seed
+    counts: DataFrame      # point_id, x, y, gx, gy, n_cell, core
+    core: DataFrame        # point_id, seed
     border: DataFrame      # point_id, seed  (least seed among core neighbours)
     clusters: DataFrame    # seed, cluster_id
 
 
 def dbscan_parts(points: DataFrame, eps: float, min_pts: int, id_col: str = "point_id",
                  x: str = "x", y: str = "y") -> DbscanParts:
-    """Everything both border modes share.  ``points`` must be distinct."""
-    pts = with_cells(points.select(F.col(id_col).alias("point_id"), F.col(x).alias("x"),
-                                   F.col(y).alias("y")), eps)
+    """Everything both border modes share.
+
+    A neighbourhood is a set of coordinates, so rows at one place are one point, named by their
+    least id; ``labels_of_rows`` gives every row its point's label.
+    """
+    pts = with_cells(points.groupBy(F.col(x).alias("x"), F.col(y).alias("y"))
+                     .agg(F.min(id_col).alias("point_id")), eps)
     cell_n = pts.groupBy("gx", "gy").agg(F.count("*").alias("n_cell"))
     # Per-cell tables join back by a checked broadcast: a hot cell (a third of
     # the points) must not become one sort-merge key in one task.
@@ -252,11 +258,11 @@ def dbscan_parts(points: DataFrame, eps: float, min_pts: int, id_col: str = "poi
              .unionByName(whole.groupBy("pid").agg(F.sum("n_b").alias("n_cross")))
              .groupBy("pid").agg(F.sum("n_cross").alias("n_cross")))
     counts = (pts.join(cross, pts.point_id == cross.pid, "left")
-              .withColumn("n_nbrs", F.col("n_cell") + F.coalesce(F.col("n_cross"), F.lit(0)))
-              .withColumn("core", F.col("n_nbrs") >= F.lit(min_pts))
+              # Points of dense cells are core whatever stands across their cell.
+              .withColumn("core", F.col("n_cell") + F.coalesce(F.col("n_cross"), F.lit(0)) >= F.lit(min_pts))
               .drop("pid", "n_cross"))
     counts = materialize(counts, "db-counts")
-    core = counts.filter("core").select("point_id", "x", "y", "gx", "gy", "n_nbrs")
+    core = counts.filter("core").select("point_id", "x", "y", "gx", "gy")
 
     # Core cells are graph nodes, named by their least core point id.
     cells = core.groupBy("gx", "gy").agg(F.min("point_id").alias("node"))
@@ -264,7 +270,7 @@ def dbscan_parts(points: DataFrame, eps: float, min_pts: int, id_col: str = "poi
     edges = core_links(core_n, eps)
     comp = connected_components(cells.select("node"), edges, "node", "src", "dst")
     core_seed = materialize(
-        join_small(core_n, comp, "node").select("point_id", "n_nbrs", F.col("label").alias("seed")),
+        join_small(core_n, comp, "node").select("point_id", F.col("label").alias("seed")),
         "db-core")
 
     # Clusters numbered 1, 2, ... in ascending seed order.  No seed is ever
@@ -314,6 +320,19 @@ def noise(parts: DbscanParts, mode: str = "order") -> DataFrame:
     return parts.counts.select("point_id").join(lab, "point_id", "left_anti")
 
 
+def labels_of_rows(points: DataFrame, parts: DbscanParts, mode: str = "order", id_col: str = "point_id",
+                   x: str = "x", y: str = "y") -> DataFrame:
+    """(id, cluster_id, role) for every row of ``points``; noise has no cluster.
+
+    Joins on the place: rows at a place that very many share are a skewed partition
+    of a plain scan, which adaptive execution splits.
+    """
+    named = materialize(parts.counts.select("x", "y", "point_id").join(labels(parts, mode), "point_id", "left")
+                        .select("x", "y", "cluster_id", F.coalesce("role", F.lit("noise")).alias("role")), "db-places")
+    return (points.select(F.col(id_col), F.col(x).alias("x"), F.col(y).alias("y")).join(named, ["x", "y"])
+            .select(id_col, "cluster_id", "role"))
+
+
 def dbscan(points: DataFrame, eps: float, min_pts: int, mode: str = "order",
            id_col: str = "point_id", x: str = "x", y: str = "y") -> DataFrame:
     """(point_id, cluster_id, role) - the whole operator."""

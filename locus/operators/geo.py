@@ -3,20 +3,20 @@ point in polygon (J3), region tagging (J6, A7) and region union (U1).
 
 Point in polygon, at scale:
 
-1. candidates - each province's bounding box is spread over a coarse grid
-   (cell side = the largest bbox extent, so a box covers at most 2 x 2
-   cells); a point probes its one cell; equi-join on the cell plus the bbox
-   test gives (point, province) pairs;
+1. candidates - each province's bounding box is spread over a grid (cell
+   side = the mean bbox extent); a point probes its one cell; equi-join on
+   the cell plus the bbox test gives (point, province) pairs;
 2. crossings - polygon edges (hole rings included) are spread over
-   horizontal bands; each candidate joins the edges of its province in its
-   own band (equi-join on province and band) and counts the edges a ray to
+   horizontal bands; each candidate meets the edges of its province in its
+   own band, one array per (province, band), and counts those that a ray to
    +x crosses, with the half-open rule ``(y1 > py) <> (y2 > py)``;
 3. inside = an odd count and not on any edge (``contains`` excludes the
    boundary).
 
 The crossing test is exact for integer coordinates: the intersection is
-compared by cross-multiplication, with no division.  A hot province (a third
-of the points) is spread over its bands, so no single key carries it.
+compared by cross-multiplication, with no division.  Points are never
+shuffled by province or cell while the shapes fit a byte-checked broadcast; past it
+both joins are salted.
 """
 
 from __future__ import annotations
@@ -25,7 +25,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from locus.operators.joins import join_small
+from locus.operators.joins import checked_broadcast, join_small
+from locus.runtime import materialize
 
 BANDS_PER_CELL = 64
 
@@ -54,9 +55,9 @@ def origin_shift(points: DataFrame, lon: str = "longitude", lat: str = "latitude
 # ------------------------------------------------------------- polygon rows
 
 def first_per_province(regions: DataFrame) -> DataFrame:
-    """The first feature (least ``feature_id``) of every province name."""
+    """The first feature (by ``feature_order``) of every province name."""
     return (regions.groupBy("prov_name")
-            .agg(F.min_by(F.struct("feature_id", "reg_name", "geometry"), F.col("feature_id")).alias("f"))
+            .agg(F.min_by(F.struct("feature_id", "reg_name", "geometry"), F.col("feature_order")).alias("f"))
             .select("prov_name", "f.feature_id", "f.reg_name", "f.geometry"))
 
 
@@ -87,8 +88,8 @@ def edges(regions: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------- point in polygon
 
-def _crossing(px: Column, py: Column) -> Column:
-    x1, y1, x2, y2 = (F.col(c) for c in ("x1", "y1", "x2", "y2"))
+def _crossing(px: Column, py: Column, edge: Column) -> Column:
+    x1, y1, x2, y2 = (edge[c] for c in ("x1", "y1", "x2", "y2"))
     straddles = (y1 > py) != (y2 > py)
     lhs = (px - x1) * (y2 - y1)
     rhs = (py - y1) * (x2 - x1)
@@ -96,46 +97,66 @@ def _crossing(px: Column, py: Column) -> Column:
     return straddles & left_of
 
 
-def _on_edge(px: Column, py: Column) -> Column:
-    x1, y1, x2, y2 = (F.col(c) for c in ("x1", "y1", "x2", "y2"))
+def _on_edge(px: Column, py: Column, edge: Column) -> Column:
+    x1, y1, x2, y2 = (edge[c] for c in ("x1", "y1", "x2", "y2"))
     cross = (x2 - x1) * (py - y1) - (y2 - y1) * (px - x1)
     return ((cross == 0) & (px >= F.least(x1, x2)) & (px <= F.greatest(x1, x2))
             & (py >= F.least(y1, y2)) & (py <= F.greatest(y1, y2)))
 
 
 def points_in_polygons(points: DataFrame, regions: DataFrame, id_col: str = "point_id",
-                       lon: str = "lon", lat: str = "lat") -> DataFrame:
-    """(prov_name, point id) for every point strictly inside a province.
+                       lon: str = "lon", lat: str = "lat", carry: Sequence[str] = ()) -> DataFrame:
+    """(prov_name, point id, *carry) for every point strictly inside a province.
 
-    ``regions`` holds one geometry per province (after ``first_per_province``).
+    ``regions`` holds one geometry per province (after ``first_per_province``); ``carry`` names
+    columns of ``regions`` to keep.  With ``carry`` the coordinates come along too.
     """
-    e = edges(regions)
+    e = materialize(edges(regions), "geo-edges")
     bbox = e.groupBy("prov_name").agg(
         F.least(F.min("x1"), F.min("x2")).alias("bx0"), F.greatest(F.max("x1"), F.max("x2")).alias("bx1"),
         F.least(F.min("y1"), F.min("y2")).alias("by0"), F.greatest(F.max("y1"), F.max("y2")).alias("by1"))
-    ext = bbox.agg(F.max(F.greatest(F.col("bx1") - F.col("bx0"), F.col("by1") - F.col("by0")))).first()[0]
-    if ext is None:
-        return points.sparkSession.createDataFrame([], f"prov_name STRING, {id_col} BIGINT")
-    cell = max(float(ext), 1.0)
+    if carry:
+        bbox = bbox.join(regions.select("prov_name", *carry), "prov_name")
+    # Cells as wide as the average province, so that boxes cover few of them whatever the units.
+    ext = bbox.agg(F.avg(F.greatest(F.col("bx1") - F.col("bx0"), F.col("by1") - F.col("by0")))).first()[0]
+    out = [F.col("pid").alias(id_col), *carry, *([F.col("px").alias(lon), F.col("py").alias(lat)] if carry else [])]
+    cell = float(ext) if ext else 1.0
     band = cell / BANDS_PER_CELL
 
     boxes = (bbox.withColumn("cx", F.explode(F.sequence(F.floor(F.col("bx0") / cell), F.floor(F.col("bx1") / cell))))
              .withColumn("cy", F.explode(F.sequence(F.floor(F.col("by0") / cell), F.floor(F.col("by1") / cell)))))
     pts = points.select(F.col(id_col).alias("pid"), F.col(lon).alias("px"), F.col(lat).alias("py"))
-    cand = (pts.withColumn("cx", F.floor(F.col("px") / cell)).withColumn("cy", F.floor(F.col("py") / cell))
-            .join(boxes, ["cx", "cy"])
+    # Boxes and edges are copied to the points while they are small (measured in bytes), so no
+    # point is moved; past that their keys are salted over SALTS and the points dealt among the copies.
+    boxes, e = materialize(boxes, "geo-boxes"), e.withColumn("band", F.explode(F.sequence(
+        F.floor(F.least("y1", "y2") / band), F.floor(F.greatest("y1", "y2") / band))))
+    cand = (join_salted(pts.withColumn("cx", F.floor(F.col("px") / cell)).withColumn("cy", F.floor(F.col("py") / cell)),
+                        boxes, ["cx", "cy"], "pid")
             .filter((F.col("px") >= F.col("bx0")) & (F.col("px") <= F.col("bx1"))
                     & (F.col("py") >= F.col("by0")) & (F.col("py") <= F.col("by1")))
-            .select("pid", "px", "py", "prov_name", F.floor(F.col("py") / band).alias("band")))
+            .select("pid", "px", "py", "prov_name", *carry, F.floor(F.col("py") / band).alias("band")))
+    # All edges of a point's band in its province as one array: the crossings are counted in the
+    # row, so points are not grouped (and so not shuffled) again.
+    bands = materialize(e.groupBy("prov_name", "band").agg(
+        F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("es")), "geo-bands")
+    tested = join_salted(cand, bands, ["prov_name", "band"], "pid")
+    px, py = F.col("px"), F.col("py")
+    crossed = F.size(F.filter("es", lambda g: _crossing(px, py, g)))
+    touched = F.exists("es", lambda g: _on_edge(px, py, g))
+    return tested.filter((crossed % 2 == 1) & ~touched).select("prov_name", *out)
 
-    eb = e.withColumn("band", F.explode(F.sequence(F.floor(F.least("y1", "y2") / band),
-                                                   F.floor(F.greatest("y1", "y2") / band))))
-    tested = (cand.join(eb, ["prov_name", "band"])
-              .groupBy("prov_name", "pid")
-              .agg(F.sum(F.when(_crossing(F.col("px"), F.col("py")), 1).otherwise(0)).alias("n_cross"),
-                   F.max(F.when(_on_edge(F.col("px"), F.col("py")), 1).otherwise(0)).alias("on_edge")))
-    return (tested.filter((F.col("n_cross") % 2 == 1) & (F.col("on_edge") == 0))
-            .select("prov_name", F.col("pid").alias(id_col)))
+
+SALTS = 16
+
+
+def join_salted(points: DataFrame, small: DataFrame, on: list[str], key: str) -> DataFrame:
+    """Inner join of many points with a table of shapes: a broadcast under the byte bound, else salted."""
+    shapes = checked_broadcast(small)
+    if shapes is not small:
+        return points.join(shapes, on)
+    salted = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return (points.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int"))
+            .join(salted, [*on, "_salt"]).drop("_salt"))
 
 
 # ---------------------------------------------------------- regions
@@ -149,10 +170,8 @@ def region_points(points: DataFrame, regions: DataFrame, id_col: str = "point_id
                   lon: str = "lon", lat: str = "lat") -> DataFrame:
     """J6 + P8: all provinces at once; each province's points shifted to the
     province's own origin.  (reg_name, prov_name, id, lon, lat, x, y)."""
-    inside = points_in_polygons(points, regions, id_col, lon, lat)
-    provs = regions.select("prov_name", "reg_name")
-    tagged = (join_small(inside, provs, "prov_name")
-              .join(points.select(id_col, lon, lat), id_col))
+    # Evaluated once: the minimum and the shift both read the written table.
+    tagged = materialize(points_in_polygons(points, regions, id_col, lon, lat, carry=["reg_name"]), "geo-tagged")
     return origin_shift(tagged, lon, lat, ["prov_name"]).select(
         "reg_name", "prov_name", id_col, lon, lat, "x", "y")
 
@@ -161,5 +180,6 @@ def region_union(province_points: DataFrame, id_col: str = "point_id",
                  lon: str = "lon", lat: str = "lat") -> DataFrame:
     """The union of a region's province sets (a point once per region),
     shifted to the region's origin.  (reg_name, id, lon, lat, x, y)."""
-    pts = province_points.select("reg_name", id_col, lon, lat).dropDuplicates(["reg_name", id_col])
+    pts = materialize(province_points.select("reg_name", id_col, lon, lat).dropDuplicates(["reg_name", id_col]),
+                      "geo-union")
     return origin_shift(pts, lon, lat, ["reg_name"]).select("reg_name", id_col, lon, lat, "x", "y")

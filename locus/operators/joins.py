@@ -1,24 +1,38 @@
 """Joins against a side that is small only if we check it.
 
-``broadcast()`` is used only after counting the small side (a cheap,
-partial-aggregated action) and only under a row bound.  Past the bound the
-join is left to the planner: a shuffle join, which AQE may still turn into a
-broadcast from runtime statistics or split on skewed keys.
+``broadcast()`` is used only after measuring the small side (one job, which
+stops at the bound) and only under a bound in bytes.  Past it the join is left to the
+planner: a shuffle join, which adaptive execution may still turn into a broadcast from
+its own statistics or split on skewed keys.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-# Rows we are willing to copy to every executor.
-BROADCAST_MAX_ROWS = 1_000_000
+#: Bytes we are willing to copy to every executor, and the least that a row takes there.
+BROADCAST_MAX_BYTES = 32 << 20
+ROW_BYTES = 32
 
 
-def checked_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(small)`` if it has at most ``max_rows`` rows, else ``small``."""
-    if small.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(small)
-    return small
+def row_bytes(df: DataFrame) -> Column:
+    """About the bytes of a row: 8 for a number, the real length of strings, the text form of nested columns."""
+    out = F.lit(ROW_BYTES)
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            out = out + F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            out = out + F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`")))), F.lit(0))
+        else:
+            out = out + F.lit(8)
+    return out
+
+
+def checked_broadcast(small: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """``broadcast(small)`` if it takes at most ``max_bytes``, else ``small``."""
+    size = (small.limit(max_bytes // ROW_BYTES + 1).select(row_bytes(small).cast("bigint").alias("b"))
+            .agg(F.sum("b")).first()[0])
+    return F.broadcast(small) if (size or 0) <= max_bytes else small
 
 
 def join_small(
@@ -26,6 +40,6 @@ def join_small(
     small: DataFrame,
     on: str | list[str] | Column,
     how: str = "inner",
-    max_rows: int = BROADCAST_MAX_ROWS,
+    max_bytes: int = BROADCAST_MAX_BYTES,
 ) -> DataFrame:
-    return big.join(checked_broadcast(small, max_rows), on, how)
+    return big.join(checked_broadcast(small, max_bytes), on, how)

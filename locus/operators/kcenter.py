@@ -7,8 +7,8 @@ the bounding box of its points.  The driver then takes further steps from
 those summaries alone for as long as each pick is provably the global one
 (per-cell upper bounds from the boxes); only when a pick is uncertain does
 it run the next job.  The answer is exactly the one-job-per-step traversal,
-in fewer jobs.  Rows to the driver per job: at most tasks x GRID^2 when that
-is under the driver bound, else GRID^2 after a Spark aggregate by cell.
+in fewer jobs.  Rows to the driver per job: at most GRID^2, after an aggregate
+by cell.
 
 With one seeded first centre the traversal for kMax contains the traversal
 for every smaller k as a prefix, so a whole sweep k = kMin..kMax costs the
@@ -26,7 +26,6 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from locus.functions.centers import cell_farthest_partials, farthest_candidates
-from locus.operators.kmeans import DRIVER_COMBINE_MAX_ROWS
 from locus.functions.distance import Center
 from locus.functions.sampling import seeded_rank
 
@@ -42,19 +41,11 @@ class Farthest:
 def farthest_point(points: DataFrame, centers: list[Center], id_col: str = "point_id",
                    x: str = "x", y: str = "y") -> Farthest | None:
     """A5: the point farthest from its nearest centre (lowest id on ties)."""
-    cands = farthest_candidates(points, centers, id_col, x, y)
-    if points.rdd.getNumPartitions() <= DRIVER_COMBINE_MAX_ROWS:
-        # One candidate row per task: pick the winner on the driver.
-        rows = cands.collect()
-        if not rows:
-            return None
-        row = max(rows, key=lambda r: (r["d2"], -r["i"]))
-    else:
-        row = (cands.agg(F.max_by(F.struct("i", "x", "y", "d2"),
-                                  F.struct(F.col("d2"), -F.col("i"))).alias("far"))
-               .collect()[0]["far"])
-        if row is None:
-            return None
+    row = (farthest_candidates(points, centers, id_col, x, y)
+           .agg(F.max_by(F.struct("i", "x", "y", "d2"), F.struct(F.col("d2"), -F.col("i"))).alias("far"))
+           .first()["far"])
+    if row is None:
+        return None
     return Farthest(int(row["i"]), float(row["x"]), float(row["y"]), float(row["d2"]))
 
 
@@ -84,27 +75,17 @@ class TraversalStep:
 GRID = 128  # cells per side of the summary grid: at most GRID^2 rows per job
 
 
-def cell_summaries(points: DataFrame, centers: list[Center], grid: tuple, n_tasks: int,
+def cell_summaries(points: DataFrame, centers: list[Center], grid: tuple,
                    id_col: str = "point_id", x: str = "x", y: str = "y") -> dict[str, np.ndarray]:
     """One job: per grid cell, its farthest point from ``centers`` (lowest id
     on ties) and the box of its points, as numpy columns."""
-    parts = cell_farthest_partials(points, centers, grid, id_col, x, y)
-    if n_tasks * grid[4] ** 2 > DRIVER_COMBINE_MAX_ROWS:
-        parts = parts.groupBy("cell").agg(
-            F.max_by(F.struct("i", "x", "y", "d2"), F.struct(F.col("d2"), -F.col("i"))).alias("t"),
-            F.min("x0").alias("x0"), F.max("x1").alias("x1"),
-            F.min("y0").alias("y0"), F.max("y1").alias("y1"))
-        parts = parts.select("cell", "t.i", "t.x", "t.y", "t.d2", "x0", "x1", "y0", "y1")
-    # At most n_tasks * GRID^2 rows (checked above) or GRID^2 rows, via Arrow.
-    df = parts.toArrow().to_pandas()
-    if df.empty:
-        return {}
-    df = df.sort_values(["cell", "d2", "i"], ascending=[True, False, True], kind="mergesort")
-    g = df.groupby("cell", sort=True)
-    top = g.head(1).set_index("cell")
-    box = g.agg(x0=("x0", "min"), x1=("x1", "max"), y0=("y0", "min"), y1=("y1", "max"))
-    res = top[["i", "x", "y", "d2"]].join(box)
-    return {c: res[c].to_numpy() for c in ("i", "x", "y", "d2", "x0", "x1", "y0", "y1")}
+    parts = cell_farthest_partials(points, centers, grid, id_col, x, y).groupBy("cell").agg(
+        F.max_by(F.struct("i", "x", "y", "d2"), F.struct(F.col("d2"), -F.col("i"))).alias("t"),
+        F.min("x0").alias("x0"), F.max("x1").alias("x1"),
+        F.min("y0").alias("y0"), F.max("y1").alias("y1"))
+    # At most GRID^2 rows, via Arrow.
+    got = parts.select("cell", "t.i", "t.x", "t.y", "t.d2", "x0", "x1", "y0", "y1").toArrow().sort_by("cell")
+    return {c: got[c].to_numpy() for c in ("i", "x", "y", "d2", "x0", "x1", "y0", "y1")} if got.num_rows else {}
 
 
 def _certified_steps(cells: dict[str, np.ndarray], base: list[Center], want: int) -> list[TraversalStep]:
@@ -162,10 +143,9 @@ def kcenter_traversal(points: DataFrame, k: int, first_id: int | None = 1,
     gw = max(float(box[1]) - float(box[0]), 1e-300)
     gh = max(float(box[3]) - float(box[2]), 1e-300)
     grid = (float(box[0]), float(box[2]), gw, gh, GRID)
-    n_tasks = points.rdd.getNumPartitions()
     while len(steps) < k:
         base = [(s.rank, s.x, s.y) for s in steps]
-        cells = cell_summaries(points, base, grid, n_tasks, id_col, x, y)
+        cells = cell_summaries(points, base, grid, id_col, x, y)
         if not cells:
             break
         more = _certified_steps(cells, base, k - len(steps))

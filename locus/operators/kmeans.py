@@ -23,16 +23,12 @@ from math import sqrt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from locus.functions.centers import label_all, partial_update_sums, update_sums
+from locus.functions.centers import exponents, label_all, update_sums
 from locus.functions.distance import Center, nearest
 from locus.functions.sampling import seeded_rank
 
 DEFAULT_MAX_ITER = 100
 DEFAULT_TOL = 1e-6
-# Per-task partial sums (at most sum(k) rows per task) are combined on the
-# driver when tasks x sum(k) stays under this many rows; above it, by a
-# Spark aggregate.  Skips one stage per Lloyd round on moderate inputs.
-DRIVER_COMBINE_MAX_ROWS = 200_000
 
 
 @dataclass
@@ -143,13 +139,14 @@ def assign_all_k(points: DataFrame, centers_by_k: Mapping[int, Sequence[Center]]
 # ------------------------------------------------------------ update (A1, A2)
 
 def update_centers(points: DataFrame, centers_by_k: Mapping[int, Sequence[Center]],
-                   x: str = "x", y: str = "y", weight: str | None = None) -> DataFrame:
+                   x: str = "x", y: str = "y", weight: str | None = None,
+                   exps: tuple[int, int, int] | None = None) -> DataFrame:
     """A1 + A2: new centre = weighted mean of its members; empty centres vanish.
 
     Each task sums its points per (k, center_id) before the shuffle, so at
     most sum(k) rows per task are exchanged, however skewed the clusters are.
     """
-    return (update_sums(points, centers_by_k, x, y, weight)
+    return (update_sums(points, centers_by_k, x, y, weight, exps)
             .select("k", "center_id", (F.col("sx") / F.col("sw")).alias("cx"),
                     (F.col("sy") / F.col("sw")).alias("cy"),
                     F.col("sw").alias("weight")))
@@ -184,10 +181,10 @@ def kmeans_sweep(points: DataFrame, inits: Mapping[int, Sequence[Center]],
     """
     fits = {int(k): KMeansFit(int(k), [tuple(c) for c in cs]) for k, cs in inits.items()}
     active = {k for k, f in fits.items() if f.centers and max_iter > 0}
-    n_tasks = points.rdd.getNumPartitions() if active else 0
+    exps = exponents(points, x, y, weight) if active else None
     while active:
         centers = {k: fits[k].centers for k in active}
-        new = _round(points, centers, n_tasks, x, y, weight)
+        new = _round(points, centers, exps, x, y, weight)
         for k in list(active):
             fit = fits[k]
             nxt = sorted(new.get(k, []))
@@ -201,22 +198,14 @@ def kmeans_sweep(points: DataFrame, inits: Mapping[int, Sequence[Center]],
     return fits
 
 
-def _round(points: DataFrame, centers: Mapping[int, Sequence[Center]], n_tasks: int,
+def _round(points: DataFrame, centers: Mapping[int, Sequence[Center]], exps: tuple[int, int, int],
            x: str, y: str, weight: str | None) -> dict[int, list[Center]]:
-    """One Lloyd update for every k: new centres by id (empty ones absent)."""
+    """One Lloyd update for every k: new centres by id (empty ones absent); sum(k) rows come back."""
     new: dict[int, list[Center]] = {}
-    if n_tasks * sum(len(c) for c in centers.values()) <= DRIVER_COMBINE_MAX_ROWS:
-        acc: dict[tuple[int, int], list[float]] = {}
-        for r in partial_update_sums(points, centers, x, y, weight).collect():
-            a = acc.setdefault((r["k"], r["center_id"]), [0.0, 0.0, 0.0])
-            a[0] += r["sx"]
-            a[1] += r["sy"]
-            a[2] += r["sw"]
-        for (k, cid), (sx, sy, sw) in sorted(acc.items()):
-            new.setdefault(k, []).append((cid, sx / sw, sy / sw))
-        return new
-    for r in update_centers(points, centers, x, y, weight).collect():
-        new.setdefault(r["k"], []).append((int(r["center_id"]), float(r["cx"]), float(r["cy"])))
+    got = update_centers(points, centers, x, y, weight, exps).toArrow()
+    cols = (got[c].to_pylist() for c in ("k", "center_id", "cx", "cy"))
+    for k, cid, cx, cy in sorted(zip(*cols)):
+        new.setdefault(k, []).append((cid, cx, cy))
     return new
 
 

@@ -4,11 +4,10 @@ Inputs are run logs (one row per run) or results tables (one row per
 configuration); every step is an aggregate or a window over the
 *aggregated* table, whose size is the number of configurations, not of runs.
 
-Mean and population standard deviation can be computed in fixed point
-(``scale``: run times in hundredths of a second, as in the results file):
-sums of integers are exact in any order, so the mean is one division and
-the deviation one square root - the same bits on every engine and every
-partitioning.  Without ``scale`` the built-in ``avg``/``stddev_pop`` are used.
+Mean and population standard deviation are taken of the values as they are.
+On request (``scale``, e.g. 100 for hundredths of a second) values are first rounded to fixed
+point: sums of integers are exact in any order, so the mean is one division and
+the deviation one square root - the same bits on every engine.
 """
 
 from __future__ import annotations
@@ -29,7 +28,7 @@ Z_95 = 1.96
 
 
 def mean_std(runs: DataFrame, group: Sequence[str], value: str = "seconds",
-             scale: int | None = 100) -> DataFrame:
+             scale: int | None = None) -> DataFrame:
     """Per group ``n``, ``mean`` and population ``std`` of ``value``."""
     if scale is None:
         return runs.groupBy(*group).agg(F.count("*").alias("n"), F.avg(value).alias("mean"),

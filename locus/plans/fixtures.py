@@ -1,7 +1,9 @@
 """Point sets derived from the input tables (FIXTURES.md section 3).
 
-* PT  - distinct ``(p_size*1000, round((p_retailprice-900)*500))`` of ``part``,
-        with ``point_id`` = rank over (x, y).
+* PT  - ``(p_size*1000, round((p_retailprice-900)*500))`` of every ``part`` row,
+        with ``point_id`` = rank over (x, y, p_partkey); rows at one place stay.
+* PTD - the distinct points of PT, with ``point_id`` = rank over (x, y): the set that
+        neighbourhoods are defined on.
 * LT  - ``(l_quantity*1000, floor(l_extendedprice))`` of every ``lineitem`` row.
 * LTW - LT collapsed to distinct points with a weight (row count) and an id:
         duplicates cost one row however many copies there are, so a point
@@ -32,7 +34,13 @@ def _part_xy() -> list:
 
 
 def part_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """PT: (point_id BIGINT, x DOUBLE, y DOUBLE), distinct points, ids by (x, y)."""
+    """PT: (point_id BIGINT, x DOUBLE, y DOUBLE) for every part row, ids by (x, y, p_partkey)."""
+    pts = table(spark, sf_dir, "part").select("p_partkey", *_part_xy())
+    return with_sequential_id(pts, ["x", "y", "p_partkey"]).select("point_id", "x", "y")
+
+
+def distinct_part_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PTD: (point_id BIGINT, x DOUBLE, y DOUBLE), distinct points, ids by (x, y)."""
     pts = table(spark, sf_dir, "part").select(*_part_xy()).distinct()
     return with_sequential_id(pts, ["x", "y"]).select("point_id", "x", "y")
 
@@ -61,6 +69,6 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 __all__ = [
-    "table", "part_points", "brand_points", "lineitem_points", "lineitem_weighted",
+    "table", "part_points", "distinct_part_points", "brand_points", "lineitem_points", "lineitem_weighted",
     "events", "materialize",
 ]

@@ -1,4 +1,4 @@
-"""Queries for the eps-range join and DBSCAN on PT (eps 1200, minPts 5).
+"""Queries for the eps-range join and DBSCAN on PTD and PT (eps 1200, minPts 5).
 
 The oracle is brute force: an all-pairs distance filter, then the
 transitive closure of core-core edges as a recursive CTE, then the closed
@@ -11,21 +11,24 @@ from pyspark.sql import functions as F
 
 from locus.operators import dbscan as db
 from locus.plans import sqlparts as S
-from locus.plans.q_partitional import _key, _memo, _pt
+from locus.plans import fixtures as fx
+from locus.plans.q_partitional import _pt
+from locus.runtime import materialize
 
 EPS = 1200.0
 MIN_PTS = 5
 
 
+def _ptd(spark, sf_dir):
+    return materialize(fx.distinct_part_points(spark, sf_dir), "ptd")
+
+
 def _parts(spark, sf_dir):
-    key = _key(spark, "dbscan", sf_dir, EPS, MIN_PTS)
-    if key not in _memo:
-        _memo[key] = db.dbscan_parts(_pt(spark, sf_dir), EPS, MIN_PTS)
-    return _memo[key]
+    return db.dbscan_parts(_ptd(spark, sf_dir), EPS, MIN_PTS)
 
 
 def eps_neighbors(spark, sf_dir):
-    return db.eps_neighbors(_pt(spark, sf_dir), EPS)
+    return db.eps_neighbors(_ptd(spark, sf_dir), EPS)
 
 
 def dbscan_core_points(spark, sf_dir):
@@ -44,6 +47,12 @@ def dbscan_clusters(spark, sf_dir):
             .unionByName(db.labels(p, "canonical").withColumn("mode", F.lit("canonical"))))
 
 
+def dbscan_all_rows(spark, sf_dir):
+    """D7 on PT: every row's label, rows at one place alike."""
+    pt = _pt(spark, sf_dir)
+    return db.labels_of_rows(pt, db.dbscan_parts(pt, EPS, MIN_PTS))
+
+
 def dbscan_noise(spark, sf_dir):
     p = _parts(spark, sf_dir)
     return (db.noise(p, "order").withColumn("mode", F.lit("order"))
@@ -73,12 +82,13 @@ QUERIES = {
     "dbscan_core_points": dbscan_core_points,
     "dbscan_core_components": dbscan_core_components,
     "dbscan_clusters": dbscan_clusters,
+    "dbscan_all_rows": dbscan_all_rows,
     "dbscan_noise": dbscan_noise,
     "dbscan_summary": dbscan_summary,
 }
 
 _BASE = S.with_recursive(
-    S.PT,
+    S.PTD,
     f"""nb AS (SELECT a.point_id AS p, b.point_id AS q FROM pt a, pt b
   WHERE sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) <= {EPS})""",
     "cnt AS (SELECT p, count(*) AS n FROM nb GROUP BY p)",
@@ -106,6 +116,10 @@ ORACLE = {
     "dbscan_core_points": _BASE + "SELECT p AS point_id FROM core",
     "dbscan_core_components": _BASE + "SELECT p AS point_id, seed FROM seed",
     "dbscan_clusters": _BASE + "SELECT mode, point_id, cluster_id, role FROM lab",
+    "dbscan_all_rows": _BASE.rstrip() + ", " + S.PT.replace("pt AS", "pa AS", 1) + """
+SELECT a.point_id, l.cluster_id, coalesce(l.role, 'noise') AS role
+FROM pa a JOIN pt p ON a.x = p.x AND a.y = p.y
+LEFT JOIN lab l ON l.point_id = p.point_id AND l.mode = 'order'""",
     "dbscan_noise": _BASE + "SELECT mode, point_id FROM noi",
     "dbscan_summary": _BASE + """
 SELECT m.mode, (SELECT count(*) FROM pt) AS n_points,

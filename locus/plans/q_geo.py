@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from locus.operators import elbow, geo, kcenter as kc, kmeans as km
 from locus.plans import fixtures as fx
-from locus.plans.q_partitional import _key, _memo, _pt, _sweep, _traversal
+from locus.plans.q_partitional import _pt, _sweep, _traversal
 from locus.plans import sqlparts as S
 from locus.runtime import scratch_path
 from locus.sources import geojson, points as P
@@ -82,12 +82,9 @@ def build_features(vertices):
 
 def regions(spark, sf_dir):
     """RG written as GeoJSON features and scanned back (S4): all features."""
-    key = _key(spark, "regions", sf_dir)
-    if key not in _memo:
-        path = scratch_path(spark, "regions")
-        geojson.write_features(build_features(feature_vertices(spark, sf_dir)), path)
-        _memo[key] = geojson.read_regions(spark, path).cache()
-    return _memo[key]
+    path = scratch_path(spark, "regions")
+    geojson.write_features(build_features(feature_vertices(spark, sf_dir)), path)
+    return geojson.read_regions(spark, path)
 
 
 def provinces(spark, sf_dir):
@@ -133,6 +130,26 @@ def geo_region_union(spark, sf_dir):
     return geo.region_union(rp)
 
 
+def csv_points_scan(spark, sf_dir):
+    """Part points as a prepared file, where parts over size 45 have no usable x; bad rows are left out."""
+    bp = fx.brand_points(spark, sf_dir)
+    bad = F.element_at(F.array(F.lit("n/a"), F.lit("NaN"), F.lit("Infinity"), F.lit("")), (F.col("p_partkey") % 4 + 1).cast("int"))
+    path = scratch_path(spark, "prepared")
+    P.write_points(bp.select(F.col("x").alias("longitude"), F.col("y").alias("latitude"),
+                             F.when(F.col("x") > 45000, bad).otherwise(F.col("x").cast("string")).alias("x"), "y"), path)
+    return P.read_points(spark, path)
+
+
+def raw_places_prepared(spark, sf_dir):
+    """Raw places written as CSV, read, shifted to their origin, written and read as a prepared file."""
+    raw, prepared = scratch_path(spark, "raw"), scratch_path(spark, "prepared")
+    P.write_points(fx.lineitem_points(spark, sf_dir).select(
+        F.col("x").alias("longitude"), F.col("y").alias("latitude"), F.lit(1.0).alias("ita_general_2020")), raw)
+    shifted = geo.origin_shift(P.read_raw_places(spark, raw))
+    P.write_points(shifted.select("longitude", "latitude", "x", "y"), prepared)
+    return P.read_points(spark, prepared, extra=["longitude", "latitude"])
+
+
 def points_sink_roundtrip(spark, sf_dir):
     """Points written as header CSV, one folder per brand, read back."""
     bp = fx.brand_points(spark, sf_dir)
@@ -145,8 +162,9 @@ def points_sink_roundtrip(spark, sf_dir):
 
 def assignment_sink_roundtrip(spark, sf_dir):
     """X,y,cx,cy lines per k (no header), read back with k from folders."""
-    fits = _sweep(spark, sf_dir)
-    lab = km.assign_all_k(_pt(spark, sf_dir), {k: f.centers for k, f in fits.items()})
+    pt = _pt(spark, sf_dir)
+    fits = _sweep(pt)
+    lab = km.assign_all_k(pt, {k: f.centers for k, f in fits.items()})
     path = scratch_path(spark, "assign")
     P.write_assignments(lab, path)
     return P.read_assignments(spark, path).select("k", "x", "y", "cx", "cy")
@@ -154,8 +172,8 @@ def assignment_sink_roundtrip(spark, sf_dir):
 
 def wcss_sink_roundtrip(spark, sf_dir):
     """The K-Center curve as k,wcss lines, read back."""
-    curve = elbow.prefix_curve(_pt(spark, sf_dir), kc.centers_of(_traversal(spark, sf_dir)),
-                               S.K_MIN, S.K_MAX)
+    pt = _pt(spark, sf_dir)
+    curve = elbow.prefix_curve(pt, kc.centers_of(_traversal(pt)), S.K_MIN, S.K_MAX)
     path = scratch_path(spark, "wcss")
     P.write_wcss(curve, path)
     return P.read_wcss(spark, path)
@@ -169,6 +187,8 @@ QUERIES = {
     "geo_point_in_polygon": geo_point_in_polygon,
     "geo_region_points": geo_region_points,
     "geo_region_union": geo_region_union,
+    "csv_points_scan": csv_points_scan,
+    "raw_places_prepared": raw_places_prepared,
     "points_sink_roundtrip": points_sink_roundtrip,
     "assignment_sink_roundtrip": assignment_sink_roundtrip,
     "wcss_sink_roundtrip": wcss_sink_roundtrip,
@@ -233,6 +253,14 @@ FROM (SELECT p_partkey, p_brand, CAST(CAST(p_size * 1000 AS BIGINT) AS DOUBLE) A
 SELECT reg_name, point_id, lon, lat, lon - min(lon) OVER (PARTITION BY reg_name) AS x,
        lat - min(lat) OVER (PARTITION BY reg_name) AS y
 FROM (SELECT DISTINCT reg_name, point_id, lon, lat FROM rp) d""",
+    "csv_points_scan": """
+SELECT x, y FROM (SELECT CAST(CAST(p_size * 1000 AS BIGINT) AS DOUBLE) AS x,
+                         CAST(CAST(round((p_retailprice - 900) * 500) AS BIGINT) AS DOUBLE) AS y FROM part) t
+WHERE x <= 45000""",
+    "raw_places_prepared": """
+SELECT longitude, latitude, longitude - min(longitude) OVER () AS x, latitude - min(latitude) OVER () AS y
+FROM (SELECT CAST(CAST(l_quantity * 1000 AS BIGINT) AS DOUBLE) AS longitude,
+             CAST(CAST(floor(l_extendedprice) AS BIGINT) AS DOUBLE) AS latitude FROM lineitem) t""",
     "points_sink_roundtrip": """
 SELECT p_partkey, p_brand, CAST(CAST(p_size * 1000 AS BIGINT) AS DOUBLE) AS x,
        CAST(CAST(round((p_retailprice - 900) * 500) AS BIGINT) AS DOUBLE) AS y FROM part""",

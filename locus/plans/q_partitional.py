@@ -17,49 +17,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from locus.functions import distance as D
-from locus.functions.sampling import seeded_rank, seeded_rank_sql
+from locus.functions.sampling import seeded_rank
 from locus.operators import elbow, kcenter as kc, kmeans as km
 from locus.plans import fixtures as fx
 from locus.plans import sqlparts as S
+from locus.runtime import materialize
+from locus.sources.points import cache_points, preview
 
 KS = list(range(S.K_MIN, S.K_MAX + 1))
 K_FIXED = 5          # single-k queries
 FIXED_ITERS = 3      # kmeans_fixed_iters
 
-_memo: dict[tuple, object] = {}
-
-
-def _key(spark: SparkSession, *parts) -> tuple:
-    return (spark.sparkContext.applicationId, *parts)
+RANDOM_SEED = 42
 
 
 def _pt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = _key(spark, "pt", sf_dir)
-    if key not in _memo:
-        _memo[key] = fx.part_points(spark, sf_dir).cache()
-    return _memo[key]
+    """PT, written once for the query that asks for it."""
+    return materialize(fx.part_points(spark, sf_dir), "pt")
 
 
 def _ltw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = _key(spark, "ltw", sf_dir)
-    if key not in _memo:
-        _memo[key] = fx.lineitem_weighted(spark, sf_dir).cache()
-    return _memo[key]
+    return materialize(fx.lineitem_weighted(spark, sf_dir), "ltw")
 
 
-def _sweep(spark: SparkSession, sf_dir: str, max_iter: int = km.DEFAULT_MAX_ITER):
-    key = _key(spark, "sweep", sf_dir, max_iter)
-    if key not in _memo:
-        pt = _pt(spark, sf_dir)
-        _memo[key] = km.kmeans_sweep(pt, km.sweep_inits(pt, KS), max_iter=max_iter)
-    return _memo[key]
+def _sweep(pt: DataFrame, max_iter: int = km.DEFAULT_MAX_ITER, mode: str = "spread"):
+    """The fits of every k; the points are held in memory for the rounds only."""
+    held = cache_points(pt)
+    fits = km.kmeans_sweep(held, km.sweep_inits(held, KS, mode, RANDOM_SEED), max_iter=max_iter)
+    held.unpersist()
+    return fits
 
 
-def _traversal(spark: SparkSession, sf_dir: str):
-    key = _key(spark, "kc", sf_dir)
-    if key not in _memo:
-        _memo[key] = kc.kcenter_traversal(_pt(spark, sf_dir), S.K_MAX, first_id=1)
-    return _memo[key]
+def _traversal(pt: DataFrame, **start):
+    held = cache_points(pt)
+    steps = kc.kcenter_traversal(held, S.K_MAX, **(start or {"first_id": 1}))
+    held.unpersist()
+    return steps
 
 
 # ------------------------------------------------------------------ scans
@@ -95,8 +88,9 @@ def nearest_center_assign(spark, sf_dir):
 
 def assign_all_k(spark, sf_dir):
     """Label every point for every k with its fitted K-Means centre."""
-    fits = _sweep(spark, sf_dir)
-    out = km.assign_all_k(_pt(spark, sf_dir), {k: f.centers for k, f in fits.items()})
+    pt = _pt(spark, sf_dir)
+    fits = _sweep(pt)
+    out = km.assign_all_k(pt, {k: f.centers for k, f in fits.items()})
     return out.select("k", "point_id", "center_id", "cx", "cy")
 
 
@@ -132,17 +126,17 @@ def _centers_rows(fits):
 
 
 def kmeans_fixed_iters(spark, sf_dir):
-    fits = _sweep(spark, sf_dir, FIXED_ITERS)
+    fits = _sweep(_pt(spark, sf_dir), FIXED_ITERS)
     return (km.centers_frame(spark, _centers_rows(fits))
             .select("k", "center_id", "cx", "cy"))
 
 
 def kmeans_converged(spark, sf_dir):
-    return km.fits_frame(spark, _sweep(spark, sf_dir))
+    return km.fits_frame(spark, _sweep(_pt(spark, sf_dir)))
 
 
 def kmeans_sweep_centers(spark, sf_dir):
-    return (km.centers_frame(spark, _centers_rows(_sweep(spark, sf_dir)))
+    return (km.centers_frame(spark, _centers_rows(_sweep(_pt(spark, sf_dir))))
             .select("k", "center_id", "cx", "cy"))
 
 
@@ -153,8 +147,8 @@ def wcss_by_k(spark, sf_dir):
 
 
 def kmeans_wcss_curve(spark, sf_dir):
-    fits = _sweep(spark, sf_dir)
-    curve = elbow.wcss_curve(_pt(spark, sf_dir), _centers_rows(fits))
+    pt = _pt(spark, sf_dir)
+    curve = elbow.wcss_curve(pt, _centers_rows(_sweep(pt)))
     return curve.select("k", F.round("wcss", -1).alias("wcss"))
 
 
@@ -170,31 +164,45 @@ def farthest_point(spark, sf_dir):
 
 
 def kcenter_traversal(spark, sf_dir):
-    return kc.traversal_frame(spark, _traversal(spark, sf_dir))
+    return kc.traversal_frame(spark, _traversal(_pt(spark, sf_dir)))
 
 
 def kcenter_wcss_curve(spark, sf_dir):
-    steps = _traversal(spark, sf_dir)
-    return elbow.prefix_curve(_pt(spark, sf_dir), kc.centers_of(steps), S.K_MIN, S.K_MAX)
+    pt = _pt(spark, sf_dir)
+    steps = _traversal(pt)
+    return elbow.prefix_curve(pt, kc.centers_of(steps), S.K_MIN, S.K_MAX)
 
 
 def elbow_best_k(spark, sf_dir):
-    fits = _sweep(spark, sf_dir)
     pt = _pt(spark, sf_dir)
+    fits = _sweep(pt)
     kmc = elbow.wcss_curve(pt, _centers_rows(fits)).withColumn("algorithm", F.lit("kmeans"))
-    kcc = (elbow.prefix_curve(pt, kc.centers_of(_traversal(spark, sf_dir)), S.K_MIN, S.K_MAX)
+    kcc = (elbow.prefix_curve(pt, kc.centers_of(_traversal(pt)), S.K_MIN, S.K_MAX)
            .select("k", "wcss").withColumn("algorithm", F.lit("kcenter")))
     return elbow.best_k(kmc.unionByName(kcc), ["algorithm"]).select("algorithm", "best_k")
 
 
-SAMPLE_SEED = 42
+def kmeans_random_start(spark, sf_dir):
+    """C1 in a fit: every k starts from the seeded draw; the fitted centres."""
+    return (km.centers_frame(spark, _centers_rows(_sweep(_pt(spark, sf_dir), mode="random")))
+            .select("k", "center_id", "cx", "cy"))
+
+
+def kcenter_random_start(spark, sf_dir):
+    """C2 in a traversal: the first centre is the first of the seeded draw."""
+    return kc.traversal_frame(spark, _traversal(_pt(spark, sf_dir), seed=RANDOM_SEED))
+
+
+def points_preview(spark, sf_dir):
+    """The first ten points by id (a top-k report)."""
+    return preview(_pt(spark, sf_dir).orderBy("point_id"), 10)
 
 
 def sample_init(spark, sf_dir):
     """Seeded draw of kMax distinct LTW points; center_id = draw order."""
-    draw = km.sample_frame(_ltw(spark, sf_dir), S.K_MAX, SAMPLE_SEED)
+    draw = km.sample_frame(_ltw(spark, sf_dir), S.K_MAX, RANDOM_SEED)
     # kMax rows after the top-k: numbering them is a window over 20 rows.
-    w = Window.orderBy(seeded_rank(F.col("point_id"), SAMPLE_SEED), "point_id")
+    w = Window.orderBy(seeded_rank(F.col("point_id"), RANDOM_SEED), "point_id")
     return draw.select(F.row_number().over(w).cast("int").alias("center_id"), "x", "y")
 
 
@@ -216,6 +224,9 @@ QUERIES = {
     "kcenter_wcss_curve": kcenter_wcss_curve,
     "elbow_best_k": elbow_best_k,
     "sample_init": sample_init,
+    "kmeans_random_start": kmeans_random_start,
+    "kcenter_random_start": kcenter_random_start,
+    "points_preview": points_preview,
 }
 
 # ---------------------------------------------------------------- oracle SQL
@@ -228,8 +239,17 @@ _NEAR_P = S.nearest("i.cs")
 ORACLE = {
     "sample_init": S.with_recursive(S.LTW) + f"""
 SELECT CAST(row_number() OVER (ORDER BY h, point_id) AS INTEGER) AS center_id, x, y
-FROM (SELECT point_id, x, y, {seeded_rank_sql("point_id", SAMPLE_SEED)} AS h
+FROM (SELECT point_id, x, y, md5(CAST(point_id AS VARCHAR) || ':{RANDOM_SEED}') AS h
       FROM ltw ORDER BY h, point_id LIMIT {S.K_MAX}) d""",
+    "kmeans_random_start": _W(S.PT, S.random_init("pt", S.K_MIN, S.K_MAX, RANDOM_SEED),
+                              S.kmeans_rec("pt", "init"), S.kmeans_final()) + """
+SELECT CAST(k AS INTEGER) AS k, CAST(u.c AS INTEGER) AS center_id,
+       u.x AS cx, u.y AS cy
+FROM (SELECT k, unnest(cs) AS u FROM kmf)""",
+    "kcenter_random_start": _W(S.PT, S.kcenter_rec("pt", S.K_MAX, first_sql=(
+        f"(SELECT point_id FROM pt ORDER BY md5(CAST(point_id AS VARCHAR) || ':{RANDOM_SEED}'), point_id LIMIT 1)"))) + """
+SELECT CAST(i AS INTEGER) AS center_id, pid AS point_id, x, y, d2 FROM kc""",
+    "points_preview": _W(S.PT) + "SELECT point_id, x, y FROM pt ORDER BY point_id LIMIT 10",
     "points_scan": _W(S.PT) + "SELECT point_id, x, y FROM pt",
     "lineitem_points": _W(S.LTW) + "SELECT point_id, x, y, CAST(w AS BIGINT) AS w FROM ltw",
     "distance_to_centers": _W(S.PT, S.spread_init("pt", K_FIXED, K_FIXED)) + """

@@ -41,7 +41,8 @@ def run_log(spark, sf_dir):
 
 
 def _stats(spark, sf_dir):
-    return R.mean_std(run_log(spark, sf_dir), GROUP)
+    """In hundredths of a second, as the results file has them: exact in any order."""
+    return R.mean_std(run_log(spark, sf_dir), GROUP, scale=100)
 
 
 def _clean(spark, sf_dir):
@@ -52,7 +53,31 @@ def _clean(spark, sf_dir):
 
 
 def runlog_mean_std(spark, sf_dir):
-    return _stats(spark, sf_dir)
+    """A8 on run times in minutes as they are; shown to 9 places."""
+    runs = run_log(spark, sf_dir).withColumn("minutes", F.col("seconds") / 60)
+    return R.mean_std(runs, GROUP, "minutes").select(
+        *GROUP, "n", F.round("mean", 9).alias("mean"), F.round("std", 9).alias("std"))
+
+
+def results_rounded(spark, sf_dir):
+    """The long table with times to 2 places, from times that have more."""
+    third = run_log(spark, sf_dir).withColumn("seconds", F.col("seconds") / 3)
+    path = scratch_path(spark, "results")
+    runlog.write_results(R.results_wide(R.mean_std(third, GROUP)), path)
+    return R.results_long(R.clean_results(runlog.read_results(spark, path)), round_to=2)
+
+
+def run_records_mean(spark, sf_dir):
+    """S11 into A8: run records appended in two batches, read back and averaged per best k."""
+    ev = fx.events(spark, sf_dir)
+    k = F.get_json_object("props", "$.k").cast("int")
+    runs = ev.select(F.lit(5).alias("minK"), F.lit(20).alias("maxK"), (F.lit(5) + k % 16).alias("bestK"),
+                     F.col("value").alias("time"), k.alias("k"))
+    path = scratch_path(spark, "runs")
+    for batch in (runs.filter("k < 50"), runs.filter("k >= 50")):
+        runlog.append_runs(batch, path)
+    return R.mean_std(runlog.read_runs(spark, path), ["bestK"], "time").select(
+        F.col("bestK").alias("best_k"), "n", F.round("mean", 9).alias("mean"), F.round("std", 9).alias("std"))
 
 
 def results_clean(spark, sf_dir):
@@ -86,6 +111,8 @@ def ci_half_width(spark, sf_dir):
 
 QUERIES = {
     "runlog_mean_std": runlog_mean_std,
+    "results_rounded": results_rounded,
+    "run_records_mean": run_records_mean,
     "results_clean": results_clean,
     "results_long": results_long,
     "distinct_sorted": distinct_sorted,
@@ -142,7 +169,19 @@ sp AS (
 """
 
 ORACLE = {
-    "runlog_mean_std": _RL + "SELECT * FROM st",
+    "runlog_mean_std": _RL + """
+SELECT dataset, algorithm, scenario, managers, workers, cores, count(*) AS n,
+       round(avg(seconds / 60), 9) AS mean, round(stddev_pop(seconds / 60), 9) AS std
+FROM rl GROUP BY ALL""",
+    "results_rounded": _RL + """
+SELECT dataset, algorithm, scenario, managers, workers,
+       CAST(CASE WHEN scenario = 'Sequenziale' THEN 1 ELSE cores END AS INTEGER) AS cores,
+       round_even(avg(seconds / 3), 2) AS mean, round_even(stddev_pop(seconds / 3), 2) AS std
+FROM rl GROUP BY dataset, algorithm, scenario, managers, workers, cores""",
+    "run_records_mean": """
+SELECT 5 + CAST(json_extract(props, '$.k') AS INTEGER) % 16 AS best_k, count(*) AS n,
+       round(avg(value), 9) AS mean, round(stddev_pop(value), 9) AS std
+FROM events GROUP BY 1""",
     "results_clean": _RL + "SELECT * FROM clean",
     "results_long": _RL + "SELECT * FROM lng",
     "distinct_sorted": _RL + """

@@ -11,6 +11,13 @@ K_MIN, K_MAX = 5, 20
 MAX_ITER = 100
 
 PT = """pt AS (
+  SELECT CAST(row_number() OVER (ORDER BY x, y, p_partkey) AS BIGINT) AS point_id, x, y
+  FROM (SELECT p_partkey, CAST(CAST(p_size * 1000 AS BIGINT) AS DOUBLE) AS x,
+               CAST(CAST(round((p_retailprice - 900) * 500) AS BIGINT) AS DOUBLE) AS y
+        FROM part) d)"""
+
+# The distinct points, under the same name.
+PTD = """pt AS (
   SELECT CAST(row_number() OVER (ORDER BY x, y) AS BIGINT) AS point_id, x, y
   FROM (SELECT DISTINCT CAST(CAST(p_size * 1000 AS BIGINT) AS DOUBLE) AS x,
                CAST(CAST(round((p_retailprice - 900) * 500) AS BIGINT) AS DOUBLE) AS y
@@ -35,6 +42,17 @@ def spread_init(src: str, k_min: int, k_max: int, name: str = "init") -> str:
   GROUP BY g.k)"""
 
 
+def random_init(src: str, k_min: int, k_max: int, seed: int, name: str = "init") -> str:
+    """For every k the first k points in the order of md5('<id>:<seed>'), as lists {c, x, y}."""
+    return f"""{name} AS (
+  SELECT g.k, list({{'c': d.c, 'x': d.x, 'y': d.y}} ORDER BY d.c) AS cs
+  FROM range({k_min}, {k_max + 1}) g(k),
+       (SELECT row_number() OVER (ORDER BY md5(CAST(point_id AS VARCHAR) || ':{seed}'), point_id) AS c, x, y
+        FROM {src}) d
+  WHERE d.c <= g.k
+  GROUP BY g.k)"""
+
+
 NEAREST = ("list_sort(list_transform({cs}, lambda u: {{'d': (p.x - u.x) * (p.x - u.x) "
            "+ (p.y - u.y) * (p.y - u.y), 'c': u.c, 'x': u.x, 'y': u.y}}))[1]")
 
@@ -74,10 +92,10 @@ def kmeans_final(rec: str = "km", name: str = "kmf") -> str:
   JOIN (SELECT k, max(it) AS it FROM {rec} GROUP BY k) m ON s.k = m.k AND s.it = m.it)"""
 
 
-def kcenter_rec(src: str, k_max: int, first_id: int = 1, name: str = "kc") -> str:
+def kcenter_rec(src: str, k_max: int, first_sql: str = "1", name: str = "kc") -> str:
     """Recursive CTE ``name(i, pid, x, y, d2, used)``: farthest-first traversal."""
     return f"""{name}(i, pid, x, y, d2, used) AS (
-  SELECT 1, point_id, x, y, 0.0::DOUBLE, [{{'x': x, 'y': y}}] FROM {src} WHERE point_id = {first_id}
+  SELECT 1, point_id, x, y, 0.0::DOUBLE, [{{'x': x, 'y': y}}] FROM {src} WHERE point_id = {first_sql}
   UNION ALL
   SELECT i + 1, nx.pid, nx.x, nx.y, nx.d2, list_append(used, {{'x': nx.x, 'y': nx.y}})
   FROM (

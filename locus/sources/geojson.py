@@ -3,10 +3,12 @@
 Two layouts are read:
 
 * a FeatureCollection document per file (``multiLine``; a file is one task,
-  as a JSON document cannot be split) - features are exploded with their
-  position, which is the feature order J5 relies on;
-* newline-delimited features (one Feature per line; splittable, what the
-  sink writes), ordered by the Feature's ``id``.
+  as a JSON document cannot be split) - features are exploded with their position;
+* newline-delimited features (one Feature per line; splittable, what the sink writes).
+
+``id`` is optional in GeoJSON and may be a number or a string.  Features are ordered (J5) by
+``feature_order``: first those whose id is a whole number, by it; then by file and by place in the
+file (position in the collection, or start of the block and row in it).
 
 Geometry coordinates are read as raw JSON text and parsed by geometry type,
 since a Polygon is 3 arrays deep and a MultiPolygon 4; both come out as a
@@ -30,7 +32,7 @@ _PROPS = T.StructType([
 ])
 FEATURE_SCHEMA = T.StructType([
     T.StructField("type", T.StringType()),
-    T.StructField("id", T.LongType()),
+    T.StructField("id", T.StringType()),   # number or string, or absent
     T.StructField("properties", _PROPS),
     T.StructField("geometry", _GEOMETRY),
 ])
@@ -46,22 +48,32 @@ def as_multipolygon(geom_type: F.Column, coords_json: F.Column) -> F.Column:
             .when(geom_type == "MultiPolygon", F.from_json(coords_json, MULTIPOLYGON)))
 
 
-def _regions(features: DataFrame, order: F.Column) -> DataFrame:
+def _regions(features: DataFrame) -> DataFrame:
+    """``features``: f, and its place: file, pos."""
+    number = F.when(F.col("f.id").rlike("^-?[0-9]{1,18}$"), F.col("f.id").cast("long"))
     return features.select(
-        order.alias("feature_id"),
+        number.alias("feature_id"),
+        F.struct(number.isNull().alias("unnumbered"), F.coalesce(number, F.lit(0)).alias("number"),
+                 "file", "pos").alias("feature_order"),
         F.col("f.properties.prov_name").alias("prov_name"),
         F.col("f.properties.reg_name").alias("reg_name"),
         as_multipolygon(F.col("f.geometry.type"), F.col("f.geometry.coordinates")).alias("geometry"))
 
 
 def read_regions(spark: SparkSession, path: str, collection: bool = False) -> DataFrame:
-    """(feature_id, prov_name, reg_name, geometry MULTIPOLYGON array)."""
+    """(feature_id, feature_order, prov_name, reg_name, geometry MULTIPOLYGON array).
+
+    feature_id is null where the feature has no whole number as its id.
+    """
     if collection:
         docs = spark.read.option("multiLine", True).schema(COLLECTION_SCHEMA).json(path)
-        feats = docs.select(F.posexplode("features").alias("pos", "f"))
-        return _regions(feats, F.coalesce(F.col("f.id"), F.col("pos").cast("long")))
-    feats = spark.read.schema(FEATURE_SCHEMA).json(path).select(F.struct("*").alias("f"))
-    return _regions(feats, F.col("f.id"))
+        feats = docs.select(F.input_file_name().alias("file"), F.posexplode("features").alias("pos", "f"))
+        return _regions(feats.withColumn("pos", F.col("pos").cast("long")))
+    # Rows of a block come in file order, so the running number in a partition orders them.
+    feats = spark.read.schema(FEATURE_SCHEMA).json(path).select(
+        F.struct("type", "id", "properties", "geometry").alias("f"), F.input_file_name().alias("file"),
+        (F.input_file_block_start() * (1 << 20) + F.monotonically_increasing_id() % (1 << 33)).alias("pos"))
+    return _regions(feats)
 
 
 def write_features(regions: DataFrame, path: str) -> None:

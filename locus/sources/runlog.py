@@ -48,11 +48,16 @@ def write_results(df: DataFrame, path: str) -> None:
      .option("sep", ";").option("nullValue", "-").csv(path))
 
 
+def append_runs(runs: DataFrame, path: str) -> None:
+    """Append ``minK,maxK,bestK,time`` records (no header) to a run log."""
+    (runs.select(*[f.name for f in RUN_RECORD_SCHEMA.fields])
+     .write.mode("append").option("header", False).csv(path))
+
+
 def append_run(spark: SparkSession, path: str, min_k: int, max_k: int, best_k: int,
                seconds: float) -> None:
-    """Append one ``minK,maxK,bestK,time`` record to a run-log table."""
-    row = spark.createDataFrame([(min_k, max_k, best_k, float(seconds))], RUN_RECORD_SCHEMA)
-    row.write.mode("append").option("header", False).csv(path)
+    """S11 for one run."""
+    append_runs(spark.createDataFrame([(min_k, max_k, best_k, float(seconds))], RUN_RECORD_SCHEMA), path)
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:

@@ -139,3 +139,22 @@ def test_sparse_points_next_to_whole_dense_cell(spark, mode):
            for r in db.dbscan(points_df(spark, pts), 10.0, 4, mode).collect()}
     assert got == traversal(pts, 10.0, 4, mode)
     assert len(got) > len(clump)
+
+
+def test_rows_at_one_place_are_one_point(spark):
+    # Five copies are one neighbour, not five: no core; every row gets its point's label.
+    df = points_df(spark, [(0, 0)] * 5)
+    parts = db.dbscan_parts(df, 1.0, 5)
+    assert parts.core.count() == 0
+    rows = db.labels_of_rows(df, parts).collect()
+    assert len(rows) == 5 and all(r["role"] == "noise" and r["cluster_id"] is None for r in rows)
+
+
+def test_horseshoe_is_one_cluster(spark):
+    # Two long arms joined at the far end: the chain is longer than any fixed number of rounds.
+    n = 260
+    pts = [(0.6 * i, 0) for i in range(n)] + [(0.6 * n, 0.6 * j) for j in range(6)] + [(0.6 * i, 3) for i in range(n, -1, -1)]
+    df = spark.createDataFrame([(i + 1, float(x), float(y)) for i, (x, y) in enumerate(pts)],
+                               "point_id BIGINT, x DOUBLE, y DOUBLE")
+    got = db.dbscan(df, 1.0, 2).select("cluster_id").distinct().collect()
+    assert [r["cluster_id"] for r in got] == [1]

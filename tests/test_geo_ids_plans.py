@@ -40,6 +40,33 @@ def test_polygon_normalised_to_multipolygon(spark):
     assert {r["poly_id"] for r in v} == {1} and len(v) == 4
 
 
+def test_features_without_ids_keep_file_order(spark):
+    square = lambda x: [[[x, 0], [x + 4, 0], [x + 4, 4], [x, 4], [x, 0]]]
+    lines = [{**feature("A", "Polygon", square(0), "first")}, {**feature("A", "Polygon", square(10), "second")},
+             {**feature("B", "Polygon", square(20), "b"), "id": "b-17"},
+             {**feature("C", "Polygon", square(30), "unnumbered")},
+             {**feature("C", "Polygon", square(40), "numbered"), "id": 5}]
+    path = scratch_path(spark, "test-geo-lines")
+    spark.sparkContext.parallelize([json.dumps(x) for x in lines], 1).saveAsTextFile(path)
+    provs = geo.first_per_province(geojson.read_regions(spark, path))
+    assert {(r["prov_name"], r["reg_name"]) for r in provs.collect()} == {("A", "first"), ("B", "b"), ("C", "numbered")}
+    df = points_df(spark, [(1, 1), (11, 1), (21, 1), (41, 1)]).selectExpr("point_id", "x AS lon", "y AS lat")
+    got = geo.region_points(df, provs).select("reg_name", "point_id").collect()
+    assert {tuple(r) for r in got} == {("first", 1), ("b", 3), ("numbered", 4)}
+
+
+def test_polygons_in_degrees_and_salted(spark, monkeypatch):
+    # Shapes far smaller than one unit, with and without the broadcast.
+    regs = _regions(spark, [feature(f"P{i}", "Polygon", [[[i * .01, 0], [i * .01 + .008, 0], [i * .01 + .008, .008],
+                                                          [i * .01, .008], [i * .01, 0]]]) for i in range(20)])
+    provs = geo.first_per_province(regs)
+    df = points_df(spark, [(i * .01 + .004, .004) for i in range(20)]).selectExpr("point_id", "x AS lon", "y AS lat")
+    want = {(f"P{i}", i + 1) for i in range(20)}
+    assert {tuple(r) for r in geo.points_in_polygons(df, provs).collect()} == want
+    monkeypatch.setattr(geo, "checked_broadcast", lambda small: small)
+    assert {tuple(r) for r in geo.points_in_polygons(df, provs).collect()} == want
+
+
 def test_sequential_ids_dense_and_ordered(spark):
     rows = [(float(x), float(y)) for x in range(30, 0, -1) for y in (2, 1)]
     df = spark.createDataFrame(rows, "x DOUBLE, y DOUBLE").repartition(5)

@@ -122,18 +122,53 @@ def test_certified_traversal_matches_brute_force(spark, seed):
     assert got == _brute_traversal(pts, 25)
 
 
-def test_spark_aggregate_path_equals_driver_combine(spark, monkeypatch):
-    # Above the driver bound the per-task partials are combined by a Spark
-    # aggregate instead; both paths must give the same fits and traversal.
-    rnd = random.Random(3)
-    pts = [(rnd.randint(0, 300), rnd.randint(0, 300)) for _ in range(400)]
-    df = points_df(spark, pts).repartition(4).cache()
+def test_sums_do_not_depend_on_partitions(spark):
+    # Random doubles of very different size, weighted: the same bits however the rows are split.
+    rnd = random.Random(11)
+    rows = [(i + 1, rnd.uniform(-1e6, 1e6) * 10 ** rnd.randint(-6, 0), rnd.random(), rnd.uniform(0.1, 3))
+            for i in range(3000)]
+    df = spark.createDataFrame(rows, "point_id BIGINT, x DOUBLE, y DOUBLE, w DOUBLE")
     inits = km.sweep_inits(df, [3, 6])
-    a_fit = km.kmeans_sweep(df, inits)
-    a_kc = kc.kcenter_traversal(df, 12)
-    monkeypatch.setattr(km, "DRIVER_COMBINE_MAX_ROWS", 0)
-    monkeypatch.setattr(kc, "DRIVER_COMBINE_MAX_ROWS", 0)
-    b_fit = km.kmeans_sweep(df, inits)
-    b_kc = kc.kcenter_traversal(df, 12)
-    assert {k: f.centers for k, f in a_fit.items()} == {k: f.centers for k, f in b_fit.items()}
-    assert a_kc == b_kc
+    fits = []
+    for n in (1, 7, 17):
+        fits.append({k: (f.centers, f.iterations) for k, f in
+                     km.kmeans_sweep(df.repartition(n), inits, weight="w", max_iter=15).items()})
+    assert fits[0] == fits[1] == fits[2]
+
+
+def test_update_is_the_exact_mean(spark):
+    from fractions import Fraction
+    rnd = random.Random(4)
+    pts = [(rnd.uniform(-1, 1), rnd.uniform(0, 1e3)) for _ in range(500)]
+    got = km.update_centers(points_df(spark, pts).repartition(5), {1: [(1, 0.0, 0.0)]}).first()
+    for c, i in (("cx", 0), ("cy", 1)):
+        want = float(sum(Fraction(p[i]) for p in pts) / len(pts))
+        assert abs(got[c] - want) <= 2 ** -50 * abs(want) + 2 ** -58
+
+
+def test_farthest_cells_fold_over_many_batches(spark):
+    # One partition, many Arrow batches: at most one row per grid cell comes out.
+    from locus.functions.centers import cell_farthest_partials
+    rnd = random.Random(9)
+    pts = [(rnd.randint(0, 1000), rnd.randint(0, 1000)) for _ in range(5000)]
+    df = points_df(spark, pts).coalesce(1)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        rows = cell_farthest_partials(df, [(1, 0.0, 0.0)], (0.0, 0.0, 1000.0, 1000.0, 8)).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    best = {}
+    for i, (x, y) in enumerate(pts, 1):
+        cell = min(int(x / 1000 * 8), 7) * 8 + min(int(y / 1000 * 8), 7)
+        best[cell] = max(best.get(cell, (-1, 0)), (float(x * x + y * y), -i))
+    assert {r["cell"]: (r["d2"], -r["i"]) for r in rows} == best
+    assert len(rows) == len(best)
+
+
+def test_seeded_draw_has_uneven_gaps(spark):
+    df = spark.range(1, 20001).selectExpr("id AS point_id", "CAST(id AS DOUBLE) AS x", "0.0D AS y")
+    for seed in (1, 42):
+        ids = sorted(r["point_id"] for r in km.sample_frame(df, 20, seed).collect())
+        gaps = [b - a for a, b in zip(ids, ids[1:])]
+        assert len(set(gaps)) > 15 and max(gaps) > 3 * min(gaps)
