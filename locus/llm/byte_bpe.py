@@ -234,7 +234,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        bpe = codec(path, pattern)
+        bpe = codec(path, pattern, True)  # tiktoken merges pre-tokens that are not yet remembered
         for batch in batches:
             packed, first, size = [], 0, 0
             for i, text in enumerate(batch.column(1)):
