@@ -18,6 +18,8 @@ partitions are bounded and pieces are dealt by hash, no task grows with the
 data; only one row per partition (count and bound) and the histogram of lengths (one row for
 each length up to the capacity) reach the driver.
 
+Token ids come from ``byte_bpe``, where a worker remembers whole runs between spaces.
+
 A null or empty text is one piece with the closing id only.  Every row is a
 document of its own, also if its id repeats or is null; extra columns are ignored.
 """
