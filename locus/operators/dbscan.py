@@ -248,14 +248,17 @@ def dbscan_parts(points: DataFrame, eps: float, min_pts: int, id_col: str = "poi
           .withColumn("v", F.when(F.col("n_b").isNotNull(), _verdict("a", "b", eps)).otherwise(F.lit(0))))
     pb = materialize(pb.filter(F.col("v") >= 0).select("pid", "px", "py", "ngx", "ngy", "n_b", "v"),
                      "db-probes")
-    whole = pb.filter(F.col("v") == 1).select("pid", "ngx", "ngy", "n_b")
-    cand = (pb.filter(F.col("v") == 0).select("pid", "px", "py", "ngx", "ngy")
-            .join(_target(pts), ["ngx", "ngy"])
-            .filter(_within(eps))
-            .select("pid", "qid"))
-    cand = materialize(cand, "db-sparse-pairs")
+    tested = (pb.filter(F.col("v") == 0).select("pid", "px", "py", "ngx", "ngy", "n_b")
+              .join(_target(pts), ["ngx", "ngy"]).filter(_within(eps)))
+    # Sparse cells hold fewer than minPts points each: their pairs are listed.
+    cand = materialize(tested.filter(F.col("n_b").isNull()).select("pid", "qid"), "db-sparse-pairs")
+    # Of a partly covered dense cell only the number of points within eps is kept, summed before
+    # anything moves: a hot cell gives one row per sparse point beside it.
+    dense = materialize(tested.filter(F.col("n_b").isNotNull()).groupBy("pid", "ngx", "ngy")
+                        .agg(F.count("*").alias("n")), "db-dense-counts")
+    dense = dense.unionByName(pb.filter(F.col("v") == 1).select("pid", "ngx", "ngy", F.col("n_b").alias("n")))
     cross = (cand.groupBy("pid").agg(F.count("*").alias("n_cross"))
-             .unionByName(whole.groupBy("pid").agg(F.sum("n_b").alias("n_cross")))
+             .unionByName(dense.groupBy("pid").agg(F.sum("n").alias("n_cross")))
              .groupBy("pid").agg(F.sum("n_cross").alias("n_cross")))
     counts = (pts.join(cross, pts.point_id == cross.pid, "left")
               # Points of dense cells are core whatever stands across their cell.
@@ -290,10 +293,10 @@ def dbscan_parts(points: DataFrame, eps: float, min_pts: int, id_col: str = "poi
     via_points = (same_cell.unionByName(cross_core)
                   .join(core_seed.select(F.col("point_id").alias("qid"), "seed"), "qid")
                   .select("point_id", "seed"))
-    # Whole dense cells: all core, one component, so one seed per cell.
+    # Dense cells with a point within eps: all core, one component, so one seed per cell.
     cell_seed = join_small(cells, comp, "node").select(
         F.col("gx").alias("ngx"), F.col("gy").alias("ngy"), F.col("label").alias("seed"))
-    via_cells = (whole.join(noncore.select(F.col("point_id").alias("pid")), "pid")
+    via_cells = (dense.join(noncore.select(F.col("point_id").alias("pid")), "pid")
                  .join(cell_seed, ["ngx", "ngy"])
                  .select(F.col("pid").alias("point_id"), "seed"))
     border = (via_points.unionByName(via_cells)

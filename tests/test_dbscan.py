@@ -158,3 +158,28 @@ def test_horseshoe_is_one_cluster(spark):
                                "point_id BIGINT, x DOUBLE, y DOUBLE")
     got = db.dbscan(df, 1.0, 2).select("cluster_id").distinct().collect()
     assert [r["cluster_id"] for r in got] == [1]
+
+
+def test_hot_cell_beside_sparse_points(spark, monkeypatch):
+    # A third of the points in one cell, sparse points all around it at the edge of eps.
+    rnd = random.Random(21)
+    hot = {(round(rnd.uniform(0, 6.9), 4), round(rnd.uniform(0, 6.9), 4)) for _ in range(500)}
+    ring = {(round(3.5 + r * math.cos(a), 4), round(3.5 + r * math.sin(a), 4))
+            for a in [rnd.uniform(0, 6.28) for _ in range(400)] for r in [rnd.uniform(10, 60)]}
+    pts = sorted(hot | ring)
+    rows = {}
+
+    def counted(df, name="stage", path=None):
+        out = real(df, name, path)
+        rows[name] = max(rows.get(name, 0), out.count())
+        return out
+
+    real = db.materialize
+    monkeypatch.setattr(db, "materialize", counted)
+    got = {(r["point_id"], r["role"]) for r in db.dbscan(points_df(spark, pts), 10.0, 6, "canonical").collect()}
+    assert max(rows.values()) <= 24 * len(pts) and rows["db-dense-counts"] <= 24 * len(ring)
+    near = [[math.dist(p, q) <= 10.0 for q in pts] for p in pts]
+    core = {i for i, n in enumerate(near) if sum(n) >= 6}
+    assert {i - 1 for i, r in got if r == "core"} == core
+    assert {i - 1 for i, r in got if r == "border"} == {i for i in range(len(pts)) if i not in core
+                                                          and any(near[i][j] for j in core)}
