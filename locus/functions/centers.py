@@ -43,20 +43,6 @@ def np_d2(xs: np.ndarray, ys: np.ndarray, cx: np.ndarray, cy: np.ndarray) -> np.
     return dx * dx + dy * dy
 
 
-def np_nearest(xs, ys, cx, cy) -> tuple[np.ndarray, np.ndarray]:
-    """Index of the nearest centre (first on ties) and its squared distance."""
-    d2 = np_d2(xs, ys, cx, cy)
-    idx = d2.argmin(axis=1)
-    return idx, d2[np.arange(len(xs)), idx]
-
-
-def _spec(centers_by_k: Mapping[int, Sequence[Center]]):
-    return {int(k): (np.array([c[0] for c in cs], dtype=np.int64),
-                     np.array([c[1] for c in cs], dtype=np.float64),
-                     np.array([c[2] for c in cs], dtype=np.float64))
-            for k, cs in centers_by_k.items() if len(cs)}
-
-
 def _cols(pdf: pd.DataFrame, x: str, y: str, w: str | None):
     xs = pdf[x].to_numpy(dtype=np.float64)
     ys = pdf[y].to_numpy(dtype=np.float64)

@@ -48,23 +48,3 @@ def nearest(x: Column, y: Column, centers: Sequence[Center], coords: bool = Fals
     terms = [term(cid, cx, cy) for cid, cx, cy in centers]
     return terms[0] if len(terms) == 1 else F.least(*terms)
 
-
-def min_sq_dist(x: Column, y: Column, centers: Sequence[Center]) -> Column:
-    """Squared distance to the nearest centre."""
-    terms = [sq_dist(x, y, cx, cy) for _, cx, cy in centers]
-    return terms[0] if len(terms) == 1 else F.least(*terms)
-
-
-def prefix_min_sq_dists(x: Column, y: Column, centers: Sequence[Center]) -> list[Column]:
-    """Running minimum of squared distance over the first 1..m centres.
-
-    Element ``i`` is the squared distance to the nearest of ``centers[:i+1]``,
-    which is what a prefix-nested traversal needs for every k in one pass.
-    """
-    out: list[Column] = []
-    run: Column | None = None
-    for _, cx, cy in centers:
-        d = sq_dist(x, y, cx, cy)
-        run = d if run is None else F.least(run, d)
-        out.append(run)
-    return out

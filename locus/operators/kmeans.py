@@ -50,13 +50,6 @@ def _rows_to_centers(rows, x: str, y: str) -> list[Center]:
     return [(i + 1, float(r[x]), float(r[y])) for i, r in enumerate(rows)]
 
 
-def init_first(points: DataFrame, k: int, order: Sequence[str] = ("point_id",),
-               x: str = "x", y: str = "y") -> list[Center]:
-    """The first ``k`` points in ``order`` (a distributed top-k, no full sort)."""
-    rows = points.select(*order, x, y).orderBy(*order).limit(k).collect()
-    return _rows_to_centers(rows, x, y)
-
-
 def init_random(points: DataFrame, k: int, seed: int, key: Sequence[str] = ("point_id",),
                 x: str = "x", y: str = "y") -> list[Center]:
     """k distinct rows, seeded: the k smallest ``seeded_rank(key, seed)``.
@@ -91,21 +84,9 @@ def init_spread(points: DataFrame, k: int, n: int | None = None, id_col: str = "
     return _rows_to_centers([rows[i] for i in ids if i in rows], x, y)
 
 
-def init_centers(points: DataFrame, k: int, mode: str = "spread", seed: int = 42,
-                 id_col: str = "point_id", x: str = "x", y: str = "y",
-                 n: int | None = None) -> list[Center]:
-    if mode == "spread":
-        return init_spread(points, k, n, id_col, x, y)
-    if mode == "first":
-        return init_first(points, k, (id_col,), x, y)
-    if mode == "random":
-        return init_random(points, k, seed, (id_col,), x, y)
-    raise ValueError(f"unknown init mode {mode!r}")
-
-
 def sweep_inits(points: DataFrame, ks: Iterable[int], mode: str = "spread", seed: int = 42,
                 id_col: str = "point_id", x: str = "x", y: str = "y") -> dict[int, list[Center]]:
-    """Initial centres for every k; random and first draw once for max(k)."""
+    """Initial centres for every k; ``mode`` is spread, or random: one draw for max(k), whose prefixes serve every k."""
     ks = list(ks)
     if mode == "spread":
         n = points.count()
@@ -115,7 +96,9 @@ def sweep_inits(points: DataFrame, ks: Iterable[int], mode: str = "spread", seed
                 points.filter(F.col(id_col).isin(ids)).select(id_col, x, y).collect()}
         return {k: _rows_to_centers([rows[i] for i in v if i in rows], x, y)
                 for k, v in want.items()}
-    top = init_centers(points, max(ks), mode, seed, id_col, x, y)
+    if mode != "random":
+        raise ValueError(f"unknown init mode {mode!r}")
+    top = init_random(points, max(ks), seed, (id_col,), x, y)
     return {k: top[:k] for k in ks}
 
 
