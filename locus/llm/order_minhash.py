@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from locus.llm.columns import hex_digest, texts
 from locus.operators.ids import with_sequential_id
-from locus.runtime import materialize
+from locus.runtime import materialize, sweep
 
 #: Words of a k-mer, elements that a bin keeps, log2 of the bins, code points of a word at most.
 K, KEPT, BIN_BITS, RUN = 2, 2, 6, 16
@@ -40,7 +40,7 @@ def bin_of(h: Column) -> Column:
 
 
 def signature(text: Column) -> Column:
-    """array<bigint>: for each bin in use, its number in the high half and its entry in the low half."""
+    """array<int>: for each bin in use, its number in the leading bits and its entry in the others."""
     words = F.regexp_extract_all(text, F.lit(rf"[^\x20\x09-\x0D]{{1,{RUN}}}"), F.lit(0))
 
     def kmers(w: Column) -> Column:
@@ -70,27 +70,30 @@ def signature(text: Column) -> Column:
             own = F.filter(F.transform(F.array(*[F.lit(j) for j in range(KEPT)]), lambda j: F.get(e, i + j)),
                            lambda y: y.isNotNull() & (bin_of(y["h"]) == bin_of(x["h"])))
             order = F.transform(F.sort_array(F.transform(own, lambda y: F.struct(y["p"], y["h"].alias("h")))), lambda y: y["h"])
-            low = F.shiftrightunsigned(F.xxhash64(order), 32)
-            return F.when((i == 0) | (bin_of(F.get(e, i - 1)["h"]) != bin_of(x["h"])),
-                          F.shiftleft(bin_of(x["h"]), 32).bitwiseOR(low))
+            # The elements of a bin share its leading bits; the entry's other bits are of their hash.
+            low = F.shiftrightunsigned(F.xxhash64(order), 32 + BIN_BITS)
+            whole = F.shiftleft(bin_of(x["h"]), 32 - BIN_BITS).bitwiseOR(low)
+            signed = F.when(whole >= 1 << 31, whole - (1 << 32)).otherwise(whole).cast("int")
+            return F.when((i == 0) | (bin_of(F.get(e, i - 1)["h"]) != bin_of(x["h"])), signed)
         return F.array_compact(F.transform(e, entry))
 
     return let(let(let(let(words, kmers), elements), least), entries)
 
 
 def likeness(a: Column, b: Column) -> Column:
-    bins = lambda s: F.transform(s, lambda x: F.shiftright(x, 32))
+    bins = lambda s: F.transform(s, lambda x: F.shiftrightunsigned(x, 32 - BIN_BITS))
     union = F.size(F.array_union(bins(a), bins(b)))
     return F.when(union == 0, 1.0).otherwise(F.size(F.array_intersect(a, b)) / union)
 
 
 def text_of(signature_: Column) -> Column:
-    """The fingerprint as text: 2 hex digits of the bin and 8 of its entry, for each bin in use."""
-    return F.array_join(F.transform(F.sort_array(signature_), lambda x: F.lower(F.substring(F.lpad(F.hex(x), 16, "0"), 7, 10))), "")
+    """The fingerprint as text: 8 hex digits for each bin in use."""
+    return F.array_join(F.array_sort(F.transform(signature_, lambda x: F.lower(
+        F.lpad(F.hex(x.cast("bigint").bitwiseAND(F.lit((1 << 32) - 1))), 8, "0")))), "")
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) for every row.
+    """(id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, next_id) for every row.
 
     The edited text has its last third replaced by the beginning of the next document, in descending order of ids.
     """
@@ -104,22 +107,24 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     takers = ranked.select(F.when(F.col("rank") == 1, F.lit(n)).otherwise(F.col("rank") - 1).alias("rank"),
                            F.col("h1").alias("t1"), F.col("h2").alias("t2"), F.floor(F.col("n") / 3).cast("int").alias("need"))
     takers = materialize(ranked.select("h1", "h2", "rank").join(takers, "rank").drop("rank"), "omh-takers")
-    given = (rows.select("h1", "h2", "text").join(takers, ["h1", "h2"])
-             .select("t1", "t2", F.col("h1").alias("n1"), F.col("h2").alias("n2"),
+    # Both uses of the rows need the same columns, dealt out alike: Spark moves the texts once.
+    given = (rows.join(takers, ["h1", "h2"])
+             .select("t1", "t2", F.col("h1").alias("n1"), F.col("h2").alias("n2"), F.col("id").alias("next_id"),
                      F.left("text", F.col("need")).alias("begin"))
              .dropDuplicates(["t1", "t2"]))
     both = rows.join(given, (F.col("h1") == F.col("t1")) & (F.col("h2") == F.col("t2")))
     length = F.length("text")
     edited = F.concat(F.left("text", (length - F.floor(length / 3)).cast("int")), F.col("begin"))
     out = (both.withColumn("edited", edited)
-           .select("id", "h1", "h2", "n1", "n2", length.cast("bigint").alias("n_chars"),
+           .select("id", "h1", "h2", "n1", "n2", "next_id", length.cast("bigint").alias("n_chars"),
                    hex_digest(F.col("edited")).alias("edited_sha256"),
                    signature(F.col("text")).alias("sig"), signature(F.col("edited")).alias("edited_sig")))
     out = materialize(out, "omh-signatures")
+    sweep(docs.sparkSession)
     following = out.select(F.col("h1").alias("n1"), F.col("h2").alias("n2"), F.col("sig").alias("next_sig")) \
         .dropDuplicates(["n1", "n2"])
     return out.join(following, ["n1", "n2"]).select(
         F.col("id").alias(id_col), "n_chars", "edited_sha256", text_of(F.col("sig")).alias("fingerprint"),
         text_of(F.col("edited_sig")).alias("edited_fingerprint"),
         likeness(F.col("sig"), F.col("edited_sig")).alias("near_edited"),
-        likeness(F.col("sig"), F.col("next_sig")).alias("near_next"))
+        likeness(F.col("sig"), F.col("next_sig")).alias("near_next"), "next_id")
