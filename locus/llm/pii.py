@@ -128,19 +128,25 @@ def disclosing(near: DataFrame, texts: DataFrame) -> DataFrame:
                 .filter(F.col("ce") >= SUPPORT))
     both = (near.select("entity", "term", "h1", "h2").distinct().groupBy("entity", "term")
             .agg(F.count("*").alias("cet")).filter(F.col("cet") >= SUPPORT))
-    both = materialize(both, "pii-both")
+    # A term is in at least the texts that have it next to any entity: that alone rules out common words.
+    seen = near.select("term", "h1", "h2").distinct().groupBy("term").agg(F.count("*").alias("seen"))
+
+    def share(texts_with_term: str) -> Column:
+        return (F.log2(F.lit(float(n)) * F.col("cet") / (F.col(texts_with_term) * F.col("ce")))
+                / F.log2(F.lit(float(n)) / F.col("ce")))
+
+    both = materialize(both.join(entities, "entity").join(seen, "term")
+                       .filter((F.col("ce") < n) & (share("seen") > GENERALISE)), "pii-both")
     wanted = materialize(both.select("term").distinct(), "pii-terms")
     bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(BUCKETS))
     # At most BUCKETS rows, whatever the corpus.
     buckets = F.broadcast(wanted.select(bucket("term").alias("bucket")).distinct())
-    words = (texts.filter("first").select(F.explode(F.array_distinct(F.regexp_extract_all(
+    words = (texts.select("h1", "h2", F.explode(F.array_distinct(F.regexp_extract_all(
         F.lower("text"), F.lit(WORD), F.lit(0)))).alias("term"))
-        .withColumn("bucket", bucket("term")).join(buckets, "bucket", "left_semi"))
+        .withColumn("bucket", bucket("term")).join(buckets, "bucket", "left_semi").select("term", "h1", "h2").distinct())
     counts = words.groupBy("term").agg(F.count("*").alias("ct")).join(wanted, "term", "left_semi")
     counts = materialize(counts, "pii-counts")
-    share = F.log2(F.lit(float(n)) * F.col("cet") / (F.col("ct") * F.col("ce"))) / F.log2(F.lit(float(n)) / F.col("ce"))
-    return (both.join(materialize(entities, "pii-entities"), "entity").join(counts, "term")
-            .filter(F.col("ce") < n).withColumn("share", share).filter(F.col("share") > GENERALISE)
+    return (both.join(counts, "term").withColumn("share", share("ct")).filter(F.col("share") > GENERALISE)
             .select("entity", "term", "share"))
 
 
@@ -159,8 +165,7 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ca
     near = (marked.filter(F.size("base") > 0).select("h1", "h2", F.explode(F.flatten(F.transform("base", lambda x: F.concat(
         terms("l", x), terms("r", x))))).alias("t")).select("h1", "h2", "t.*").distinct())
     near = materialize(near, "pii-near")
-    known = rows.select("text", "h1", "h2", F.lit(True).alias("first"))
-    share = materialize(disclosing(near, known), "pii-share")
+    share = materialize(disclosing(near, rows.select("text", "h1", "h2")), "pii-share")
     cuts = (near.join(share, ["entity", "term"]).groupBy("h1", "h2", "s", "e").agg(F.max("share").alias("share"))
             .withColumn("kind", F.when(F.col("share") > REMOVE, "gone").otherwise("term"))
             .groupBy(F.col("h1").alias("k1"), F.col("h2").alias("k2"))

@@ -115,9 +115,11 @@ def test_terms_that_disclose(spark):
     pairs += [(50 + i, f"{prose(rng, 12)} often {prose(rng, 3)} {'mostly' if i < 12 else ''}") for i in range(250)]
     # Copies count once, so a word of a copied text is no evidence.
     pairs += [(400 + i, "quokka carl@mail.example.com wombat") for i in range(9)]
+    # Nor do copies without the address make a word common: "zanzibar" is in one more text, however often.
+    pairs += [(500 + i, "plain zanzibar") for i in range(90)]
     out = {r["doc_id"]: r for r in pii.sanitise(frame(spark, pairs), carry=["h1", "row"]).collect()}
     assert "zanzibar" not in out[0]["sanitised"] and "[EMAIL]" in out[0]["sanitised"] and "often" in out[0]["sanitised"]
-    assert [t["kind"] for t in out[0]["terms"]] == ["gone"]
+    assert len(out[0]["terms"]) == 1
     assert out[10]["sanitised"].count("[TERM]") == 1 and "mostly" not in out[10]["sanitised"]
     assert out[400]["terms"] == [] and out[400]["sanitised"] == "quokka [EMAIL] wombat"
     assert all(out[i]["sanitised"] == dict(pairs)[i] for i in range(50, 300))
@@ -152,12 +154,13 @@ def brute_signature(text):
             h = 42
             for _, e in sorted((p, e) for e, p in least):
                 h = xx(long(e), h)
-            out.append(f"{b:02x}{h >> 32:08x}")
+            out.append(f"{b << 32 - order_minhash.BIN_BITS | h >> 32 + order_minhash.BIN_BITS:08x}")
     return "".join(sorted(out))
 
 
 def brute_likeness(a, b):
-    cut = lambda s: {s[i:i + 2]: s[i:i + 10] for i in range(0, len(s), 10)}
+    words = lambda s: [int(s[i:i + 8], 16) for i in range(0, len(s), 8)]
+    cut = lambda s: {x >> 32 - order_minhash.BIN_BITS: x for x in words(s)}
     a, b = cut(a), cut(b)
     return sum(a.get(k) == b.get(k) for k in a | b) / len(a | b) if a | b else 1.0
 
