@@ -27,7 +27,6 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 import xxhash
@@ -48,7 +47,7 @@ LEAST_GAIN = 25.0
 #: Least share of words that makes a lexicon fire.
 SHARE = 1 / 500
 #: Bits of a hashed feature, toxic texts that a lexicon's entry must be in, and weights at most.
-HASH_BITS, MIN_TEXTS, MAX_WEIGHTS = 22, 3, 1 << 17
+HASH_BITS, MIN_TEXTS, MAX_WEIGHTS = 20, 3, 1 << 17
 #: Least log-likelihood ratio of a feature of the classifier, and the penalty on squared weights.
 TELLING, PENALTY = 25.0, 1e-3
 #: A text's shares are counts over its words plus PAD, times SCALE.
@@ -200,7 +199,7 @@ def fit(table: pa.Table) -> dict:
     col = lambda name: table[name].combine_chunks()
     lists = col("ids")
     ids, counts = lists.values.to_numpy(), col("counts").values.to_numpy().astype(np.float32)
-    row = np.repeat(np.arange(n_rows), np.diff(lists.offsets.to_numpy()))
+    row = np.repeat(np.arange(n_rows, dtype=np.int32), np.diff(lists.offsets.to_numpy()))
     words = table["n"].to_numpy()
     _, same, size = np.unique(table["same"].to_numpy(), return_inverse=True, return_counts=True)
     weight = 1 / size[same]
@@ -233,8 +232,9 @@ def fit(table: pa.Table) -> dict:
     place = np.full(1 << HASH_BITS, -1)
     place[known] = np.arange(len(known))
     use = place[ids] >= 0
-    row, at = row[use], place[ids[use]]
-    x = counts[use] * SCALE / (words[row] + PAD)
+    row, at = row[use], place[ids[use]].astype(np.int32)
+    x = (counts[use] * SCALE / (words[row] + PAD)).astype(np.float32)
+    del ids, counts, use
     # Both classes weigh the same in total, and near copies share one weight.
     balance = np.where(target > .5, .5 / max((weight * target).sum(), 1e-9), .5 / max((weight * (1 - target)).sum(), 1e-9))
     share = weight * balance / (weight * balance).sum()
@@ -279,7 +279,7 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
         memo: dict[str, float] = {}
 
         def weigh(word: str) -> float:
-            if len(memo) > 300_000:
+            if len(memo) > 150_000:
                 memo.clear()
             got = memo[word] = sum([known.get(f, 0.0) for f in features(word)])
             return got
