@@ -35,8 +35,9 @@ from locus.llm.columns import texts
 CHUNK, OVERLAP = 1 << 15, 1 << 10
 #: A match that ends so close to a chunk's end may have been cut short.
 MARGIN = 4
-#: Pre-tokens whose ids a worker remembers, twice: the latest, and those before.
+#: Pre-tokens (or runs) whose ids a worker remembers, twice: the latest, and those before.
 MEMO = 250_000
+RUNS = 150_000
 #: Bytes of a pre-token that is merged by a plain list; and a rank above all others.
 SHORT, NONE = 64, 1 << 62
 #: Bytes of ids or decoded text that a worker hands back to Spark at once.
@@ -93,7 +94,8 @@ class ByteBpe:
     callers that only need the ids (possible if the file's merges are in id order).
     """
 
-    def __init__(self, path: str, pattern: str, library: bool = False):
+    def __init__(self, path: str, pattern: str, library: bool = False, memo: int = MEMO):
+        self.limit = memo
         self.pattern = regex.compile(pattern)
         self.special: dict[str, int] = {}
         if path.endswith(".json"):
@@ -179,7 +181,7 @@ class ByteBpe:
             ids = self.merge(word.encode())
             got = struct.pack(f"<{len(ids)}I", *ids)
         if len(word) < 256:
-            if len(self.memo) >= MEMO:
+            if len(self.memo) >= self.limit:
                 self.older, self.memo = self.memo, {}
             self.memo[word] = got
         return got
@@ -215,7 +217,7 @@ class ByteBpe:
         if got is None:
             got = b"".join([self.memo.get(w) or self.piece(w) for w in self.pattern.findall(" " + run)])
         if len(run) < 256:
-            if len(self.runs) >= MEMO:
+            if len(self.runs) >= RUNS:
                 self.older_runs, self.runs = self.runs, {}
             self.runs[run] = got
         return got
@@ -225,8 +227,8 @@ class ByteBpe:
 
 
 @lru_cache(maxsize=4)
-def codec(path: str, pattern: str, library: bool = False) -> ByteBpe:
-    return ByteBpe(path, pattern, library)
+def codec(path: str, pattern: str, library: bool = False, memo: int = MEMO) -> ByteBpe:
+    return ByteBpe(path, pattern, library, memo)
 
 
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

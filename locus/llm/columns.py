@@ -55,6 +55,8 @@ def map_rows(df: DataFrame, rows: Callable[[tuple], Iterator[tuple]], schema: st
                     yield flush()
         if out:
             yield flush()
+        # Workers are used again: what this task's batches took goes back.
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

@@ -36,8 +36,8 @@ from locus.llm.byte_bpe import codec
 from locus.llm.columns import map_rows, texts
 from locus.runtime import discard, materialize, scratch_path
 
-#: Pieces of a partition.
-GROUP = 4096
+#: Pieces of a partition, and pre-tokens that a worker remembers besides whole runs.
+GROUP, PRE_TOKENS = 4096, 50_000
 
 
 def pieces(docs: DataFrame, path: str, pattern: str, capacity: int, end_id: int = 0,
@@ -47,7 +47,7 @@ def pieces(docs: DataFrame, path: str, pattern: str, capacity: int, end_id: int
     closing = int(end_id).to_bytes(4, "little")
 
     def rows(row):
-        ids = codec(path, pattern, True).encode_runs(row[1]) + closing
+        ids = codec(path, pattern, True, PRE_TOKENS).encode_runs(row[1]) + closing
         n = len(ids) // 4
         cuts = [0, *range(n % capacity or capacity, n + 1, capacity)]
         for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
