@@ -42,7 +42,7 @@ PATTERNS = {
 WORD = r"\p{L}{3,}"
 CONTEXT = 60
 SUPPORT, GENERALISE, REMOVE = 3, 0.8, 0.95
-BUCKETS = 1 << 16
+BUCKETS = 1 << 20
 SPAN = "struct<s:int,e:int,kind:string,m:string,l:string,r:string>"
 
 
