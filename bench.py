@@ -9,8 +9,7 @@ sweep, k = 5..20, on the lineitem points (LTW: distinct points weighted by
 multiplicity - the same fit as on every row).  Also: the K-Center sweep
 (traversal to 20 + all WCSS), DBSCAN on PT, point in polygon, run-log
 statistics.  Inputs are read and cached (and, for LTW, rows at one place collapsed
-to a weight) before timing, as the published figures time the sweep only;
-``kmeans_sweep_rows`` times the same sweep on all rows uncollapsed.
+to a weight) before timing, as the published figures time the sweep only.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
 """
@@ -62,9 +61,8 @@ def main() -> None:
         return out
 
     ltw = fx.lineitem_weighted(spark, sf_dir).cache()
-    lt = fx.lineitem_points(spark, sf_dir).cache()
     pt = fx.part_points(spark, sf_dir).cache()
-    n_ltw, n_lt, n_pt = ltw.count(), lt.count(), pt.count()
+    n_ltw, n_pt = ltw.count(), pt.count()
 
     def kmeans_sweep():
         fits = km.kmeans_sweep(ltw, km.sweep_inits(ltw, ks), weight="w")
@@ -74,10 +72,6 @@ def main() -> None:
 
     converged: dict[int, bool] = {}
 
-    def kmeans_sweep_rows():
-        """The same sweep on every row, unweighted: what collapsing places saves."""
-        return len(km.kmeans_sweep(lt, km.sweep_inits(ltw, ks)))
-
     def kcenter_sweep():
         steps = kc.kcenter_traversal(ltw, K_MAX, first_id=1)
         curve = elbow.prefix_curve(ltw, kc.centers_of(steps), K_MIN, K_MAX, weight="w")
@@ -97,7 +91,6 @@ def main() -> None:
         return q_results.runlog_mean_std(spark, sf_dir).count()
 
     best_km = timed("kmeans_sweep", kmeans_sweep)
-    timed("kmeans_sweep_rows", kmeans_sweep_rows)
     best_kc = timed("kcenter_sweep", kcenter_sweep)
     timed("dbscan", dbscan)
     timed("point_in_polygon", pip)
@@ -110,7 +103,7 @@ def main() -> None:
         "queries": times,
         "jobs": jobs,
         "sf": re.sub(r".*sf", "", sf_dir.rstrip("/")),
-        "rows": {"ltw_points": n_ltw, "lt_points": n_lt, "pt_points": n_pt},
+        "rows": {"ltw_points": n_ltw, "pt_points": n_pt},
         "best_k": {"kmeans": best_km, "kcenter": best_kc},
         "dbscan_eps": eps,
         "kmeans_converged": converged,

@@ -107,7 +107,7 @@ class Flat:
 # Sums do not depend on how points are split over tasks: every term is cut into
 # LIMBS whole numbers of LIMB_BITS bits on grids fixed by the largest term, and whole
 # numbers are added.  Terms down to 2^-60 of the largest keep every bit.
-LIMBS, LIMB_BITS = 3, 20
+LIMBS, LIMB_BITS = 2, 30
 _SUMMED = ("x", "y", "w")
 
 SUMS_SCHEMA = T.StructType([
@@ -125,7 +125,7 @@ def exponents(points: DataFrame, x: str = "x", y: str = "y", weight: str | None
 
 
 def limbs(terms: np.ndarray, e: int) -> list[np.ndarray]:
-    """``terms`` as whole numbers on the grids 2^(e - 20), 2^(e - 40), 2^(e - 60)."""
+    """``terms`` as whole numbers on the grids 2^(e - 30) and 2^(e - 60)."""
     out = []
     for i in range(1, LIMBS + 1):
         grid = math.ldexp(1.0, e - LIMB_BITS * i)
@@ -162,7 +162,7 @@ def partial_update_sums(points: DataFrame, centers_by_k: Mapping[int, Sequence[C
             row = 0
             for terms, e in zip((xs * ws, ys * ws, ws), exps):
                 for part in limbs(terms, e):
-                    # A batch's sums of whole numbers below 2^20 are exact in doubles.
+                    # A batch's sums of whole numbers up to 2^30 are exact in doubles (below 2^23 rows).
                     acc[row] += np.bincount(g, weights=np.repeat(part, kk), minlength=m).astype(np.int64)
                     row += 1
             hits += np.bincount(g, minlength=m)
