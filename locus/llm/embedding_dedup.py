@@ -9,9 +9,11 @@ other hyperplanes, so a group of any size ends in a few classes.
 Then NN-descent on the leaders: neighbour lists start from blocks under random hyperplanes.
 In each round every node brings its neighbours, and those whose neighbour it is, together;
 they are compared with each other, and each keeps the best.  Lists whose last entry may still be a link are saturated and
-grow to twice their length.  After each round the recall is audited: a bounded sample of nodes
-is compared with all others by brute force, and rounds go on until the share of their links that
-the lists have is at least ``recall``, or no list changes.
+grow to twice their length.  After each round the recall is audited: leaders in the order of a hash
+are compared with all others by brute force, block after block, until they have ``LINKS`` true links or every leader
+has had its turn, so an audit without links means that there are none.  Rounds go on until the share of these links that
+the lists have is at least ``recall``; a round that starts below it, or with leaders that have no list, also compares
+blocks under fresh hyperplanes.
 
 Pairs of classes are linked throughout if the angle between leaders plus both radii is within the
 link angle, apart if the difference is beyond it; for the rest their members are compared in
@@ -23,6 +25,7 @@ lengths.  Rows with the same id count as vectors of their own, null ids name no
 
 from __future__ import annotations
 
+import itertools
 import math
 
 import numpy as np
@@ -39,8 +42,10 @@ BLOCK, FOLD = 128, 2048
 SET = 64
 #: Entries of a list at first; codes that lists start from; folding rounds.
 LIST, STARTS, FOLDS = 8, 3, 3
-#: Nodes in an audit, rounds at most between two sizes of a list.
-AUDIT, ROUNDS = 200, 12
+#: Nodes in the first and in the largest block of an audit; true links that end it.
+AUDIT, AUDIT_MOST, LINKS = 200, 2048, 500
+#: Rows that are compared with a block of an audit at once.
+ROWS = 1024
 SLACK = 1e-9
 
 
@@ -172,6 +177,50 @@ def compared(ids: np.ndarray, vecs: np.ndarray, size: np.ndarray, worst: np.ndar
 LISTS = "u bigint, v bigint, sim double, size int"
 
 
+def audited(classes: DataFrame, link: float, reach: float) -> DataFrame:
+    """(u, v): all true links of leaders u, taken block after block until they are ``LINKS`` or no leader is left."""
+    keyed = classes.select("node", "vec", "radius", F.xxhash64(F.lit(7), "node").alias("key"))
+    true, n_true, after, size = None, 0, None, AUDIT
+    while True:
+        rest = keyed if after is None else keyed.filter(
+            (F.col("key") > after[0]) | (F.col("key") == after[0]) & (F.col("node") > after[1]))
+        sample = rest.orderBy("key", "node").limit(size).toArrow()  # AUDIT_MOST rows at most
+        block = true_links(classes, sample, link, reach)
+        true = block if true is None else true.unionByName(block)
+        n_true += block.count()
+        if n_true >= LINKS or sample.num_rows < size:
+            return true
+        after = sample["key"][-1].as_py(), sample["node"][-1].as_py()
+        size = min(2 * size, AUDIT_MOST)
+
+
+def true_links(classes: DataFrame, sample: pa.Table, link: float, reach: float) -> DataFrame:
+    """(u, v): the links of the nodes u of ``sample``, by brute force."""
+    q_ids, q_rad, q_len = sample["node"].to_numpy(), sample["radius"].to_numpy(), np.array([len(v) for v in sample["vec"]])
+    q_vecs = {d: matrix(sample["vec"].combine_chunks().take(pa.array(np.flatnonzero(q_len == d)))) for d in np.unique(q_len)}
+    least = math.cos(min(math.pi, link + 2 * reach + SLACK)) - SLACK
+
+    def brute(batches):
+        for batch in batches:
+            us, vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for k in range(0, batch.num_rows, ROWS):
+                part = batch.slice(k, ROWS)
+                ids, rad = part.column(0).to_numpy(), part.column(2).to_numpy()
+                lengths = np.array([len(v) for v in part.column(1)])
+                for d in np.unique(lengths):
+                    if d in q_vecs:
+                        mine, at = np.flatnonzero(q_len == d), np.flatnonzero(lengths == d)
+                        cosines = matrix(part.column(1).take(pa.array(at))) @ q_vecs[d].T
+                        i, j = np.nonzero(cosines >= least)
+                        true = angles(cosines[i, j]) <= link + rad[at[i]] + q_rad[mine[j]]
+                        us.append(q_ids[mine[j[true]]])
+                        vs.append(ids[at[i[true]]])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))], ["u", "v"])
+
+    return materialize(classes.select("node", "vec", "radius").mapInArrow(brute, "u bigint, v bigint")
+                       .filter("u != v"), "nn-audit")
+
+
 def neighbours(classes: DataFrame, link: float, recall: float) -> tuple[DataFrame, list[float]]:
     """(lists, audits): neighbour lists (u, v, sim, size) of the leaders, and the recall after each round."""
     n = classes.count()
@@ -189,39 +238,20 @@ def neighbours(classes: DataFrame, link: float, recall: float) -> tuple[DataFram
         lists = some if lists is None else lists.unionByName(some)
     lists = materialize(best(lists), "nn-lists")
 
-    sample = classes.orderBy(F.xxhash64(F.lit(7), "node"), "node").limit(AUDIT).toArrow()  # AUDIT rows
-    q_ids, q_vecs, q_rad = sample["node"].to_numpy(), sample["vec"].to_pylist(), sample["radius"].to_numpy()
-
-    def brute(batches):
-        for batch in batches:
-            ids, rad = batch.column(0).to_numpy(), batch.column(2).to_numpy()
-            lengths = np.array([len(v) for v in batch.column(1)])
-            us, vs = [], []
-            for d in np.unique(lengths):
-                mine = np.flatnonzero([len(v) == d for v in q_vecs])
-                at = np.flatnonzero(lengths == d)
-                if len(mine):
-                    a = angles(matrix(batch.column(1).take(pa.array(at))) @ np.array([q_vecs[i] for i in mine]).T)
-                    i, j = np.nonzero(a <= link + rad[at][:, None] + q_rad[mine][None])
-                    us.append(q_ids[mine[j]])
-                    vs.append(ids[at[i]])
-            join = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(join(us)), pa.array(join(vs))], ["u", "v"])
-
-    true = materialize(classes.select("node", "vec", "radius").mapInArrow(brute, "u bigint, v bigint")
-                       .filter("u != v"), "nn-audit")
+    true = audited(classes, link, reach)
     n_true, audits = true.count(), []
     vecs = classes.select(F.col("node").alias("m"), F.col("vec").cast("array<float>").alias("vec"))
     may_link = math.cos(min(math.pi, link + 2 * reach))
-    for turn in range(ROUNDS * 8):
+    for turn in itertools.count():
         found = true.join(lists.select("u", "v"), ["u", "v"], "left_semi").count()
-        audits.append(found / n_true if n_true else 1.0)
+        audits.append(found / n_true if n_true else 1.0)  # no true link only if all leaders were audited
         full = lists.groupBy("u").agg(F.count("*").alias("n"), F.min("sim").alias("worst"), F.max("size").alias("size"))
         full = materialize(full, "nn-full")
         saturated = full.filter((F.col("n") >= F.col("size")) & (F.col("worst") >= may_link))
         more = saturated.limit(1).count() > 0
         if turn and audits[-1] >= recall and not more:
             break
+        fresh = audits[-1] < recall or full.count() < n
         if more:  # twice as long, and open to anything again
             full = full.withColumn("grown", (F.col("n") >= F.col("size")) & (F.col("worst") >= may_link)) \
                 .select("u", "n", F.when(F.col("grown"), F.lit(-2.0)).otherwise(F.col("worst")).alias("worst"),
@@ -244,13 +274,16 @@ def neighbours(classes: DataFrame, link: float, recall: float) -> tuple[DataFram
 
         found = map_groups(sets.join(known, "m").select("pivot", "part", "m", "vec", "size", "worst"),
                            ["pivot", "part"], meet, LISTS)
+        if fresh:
+            known_nodes = known.select(F.col("m").alias("node"), "vec", "size", "worst")
+            for i in range(STARTS):
+                found = found.unionByName(map_groups(
+                    coded(known_nodes, bits, 100 + STARTS * (turn + 1) + i, BLOCK).select("code", "salt", F.col("node").alias("m"), "vec", "size", "worst"),
+                    ["code", "salt"], meet, LISTS))
         old = lists.drop("size").join(known.select(F.col("m").alias("u"), "size"), "u").select("u", "v", "sim", "size")
         new = materialize(best(old.unionByName(found)), "nn-lists")
-        changed = new.select("u", "v").exceptAll(lists.select("u", "v")).limit(1).count() or more
         lists = new
         sweep(classes.sparkSession)
-        if not changed:
-            break
     return lists, audits
 
 

@@ -222,3 +222,19 @@ def test_no_vectors(spark):
     assert embedding_dedup.near_duplicates(df, 0.95).count() == 0
     one = spark.createDataFrame([(4, [1.0, 2.0])], "vec_id BIGINT, embedding ARRAY<DOUBLE>")
     assert [tuple(r) for r in embedding_dedup.near_duplicates(one, 0.95).collect()] == [(4, 0, 4)]
+
+
+def test_rare_links_are_found(spark):
+    # Links between leaders are rare, so that a small sample has next to none.
+    rng = np.random.default_rng(9)
+    vecs = rng.normal(size=(6000, 64))
+    vecs /= np.linalg.norm(vecs, axis=1)[:, None]
+    for i in range(0, 200, 2):
+        away = rng.normal(size=64)
+        away -= away @ vecs[i] * vecs[i]
+        cos = rng.uniform(0.951, 0.975)
+        vecs[i + 1] = cos * vecs[i] + math.sqrt(1 - cos * cos) * away / np.linalg.norm(away)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vecs)], "vec_id BIGINT, embedding ARRAY<DOUBLE>")
+    true = sum(n for _, n, _ in ((i, int((vecs @ v >= 0.95).sum()) - 1, 0) for i, v in enumerate(vecs)))
+    got = embedding_dedup.near_duplicates(df, 0.95).agg(F.sum("n_links")).first()[0]
+    assert true >= 200 and got >= 0.98 * true
