@@ -52,18 +52,17 @@ def let(value: Column, f) -> Column:
 
 
 def found(text: Column, pattern: str, kind: str) -> Column:
-    """All matches in order: (s, e, kind, m) and the text beside them, l and r."""
+    """All matches in order: (s, e, kind, m); l and r are empty."""
     def walk(x: Column) -> Column:
         n = F.size(x["m"])
-        parts = F.zip_with(F.zip_with(F.slice(x["g"], 1, n), x["m"], lambda g, m: F.struct(g.alias("g"), m.alias("m"))),
-                           F.slice(x["g"], 2, n), lambda p, r: F.struct(p["g"].alias("g"), p["m"].alias("m"), r.alias("r")))
+        parts = F.zip_with(F.slice(x["g"], 1, n), x["m"], lambda g, m: F.struct(g.alias("g"), m.alias("m")))
         start = F.struct(F.lit(0).alias("p"), F.array().cast(f"array<{SPAN}>").alias("out"))
 
         def step(acc: Column, p: Column) -> Column:
             s = acc["p"] + F.length(p["g"])
             e = s + F.length(p["m"])
             span = F.struct(s.alias("s"), e.alias("e"), F.lit(kind).alias("kind"), p["m"].alias("m"),
-                            F.right(p["g"], F.lit(CONTEXT)).alias("l"), F.left(p["r"], F.lit(CONTEXT)).alias("r"))
+                            F.lit("").alias("l"), F.lit("").alias("r"))
             return F.struct(e.alias("p"), F.array_append(acc["out"], span.cast(SPAN)).alias("out"))
 
         return F.aggregate(parts, start, step, lambda acc: acc["out"])
@@ -72,6 +71,13 @@ def found(text: Column, pattern: str, kind: str) -> Column:
                         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m")), walk)
 
 
+def beside(text: Column, spans: Column) -> Column:
+    """``spans`` with the text within ``CONTEXT`` code points of each as l and r, whatever matches stand there."""
+    return F.transform(spans, lambda x: x.withField("l", F.substr(text, F.greatest(x["s"] - CONTEXT, F.lit(0)) + 1,
+                                                                  F.least(x["s"], F.lit(CONTEXT))))
+                       .withField("r", F.substr(text, x["e"] + 1, F.lit(CONTEXT))))
+
+
 def digits(m: Column) -> Column:
     return F.regexp_replace(m, "[^0-9]", "")
 
@@ -98,7 +104,7 @@ def base_spans(text: Column) -> Column:
     """The base spans of every kind, by start and then kind."""
     some = {"email": F.contains(text, F.lit("@")), "phone": F.contains(text, F.lit("+"))}
     none = F.array().cast(f"array<{SPAN}>")
-    every = [F.when(some.get(k, text.rlike("[0-9]")), F.filter(found(text, PATTERNS[k], k), valid(k))).otherwise(none)
+    every = [F.when(some.get(k, text.rlike("[0-9]")), beside(text, F.filter(found(text, PATTERNS[k], k), valid(k)))).otherwise(none)
              for k in KINDS]
     return ordered(F.concat(*every))
 

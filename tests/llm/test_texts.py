@@ -126,6 +126,17 @@ def test_terms_that_disclose(spark):
     assert out[0]["h1"] == "clash"
 
 
+def test_context_goes_past_other_matches(spark):
+    # Plain numbers and neighbours of the same kind don't shorten the context.
+    rng = random.Random(8)
+    pairs = [(i, f"{prose(rng, 12)} card 4111 1111 1111 1111, exp 12/27, holder Zanzibar {prose(rng, 12)}") for i in range(6)]
+    pairs += [(10 + i, f"{prose(rng, 12)} Xylophon: ann{i}@x.com, bob@x.com {prose(rng, 12)}") for i in range(6)]
+    pairs += [(50 + i, prose(rng, 20)) for i in range(250)]
+    out = {r["doc_id"]: r["sanitised"] for r in pii.sanitise(frame(spark, pairs)).collect()}
+    assert all("Zanzibar" not in out[i] and "[CARD]" in out[i] for i in range(6))
+    assert all("Xylophon" not in out[10 + i] and out[10 + i].count("[EMAIL]") == 2 for i in range(6))
+
+
 # --- Order MinHash
 
 def xx(data, seed=42):
