@@ -69,10 +69,11 @@ def covered(starts: np.ndarray, length: int, n_words: int) -> np.ndarray:
 
 
 def repeated_windows(docs: DataFrame, length: int) -> DataFrame:
-    """(o, cuts): for each document (o: its id, ``LAST`` if null) that loses words, what it loses.
+    """(o, t, whole, windows): for each document (o: its id, ``LAST`` if null; t: hash of its text) that loses
+    words, what it loses: all that windows cover (whole), or the windows with the listed hashes.
 
-    ``docs`` has o and text.  A cut belongs to the row whose word sequence has the hash d; it is all
-    that windows cover (whole), or the windows with the listed hashes.
+    ``docs`` has o, t and text.  Rows equal in o and t are the same words, so one list bounded by a document
+    serves them, however many rows share an id.
     """
     spark = docs.sparkSession
     short = -(-length // 2)
@@ -83,45 +84,39 @@ def repeated_windows(docs: DataFrame, length: int) -> DataFrame:
         return materialize(df, path=paths[-1])
 
     def head(row):
-        o, text = row
+        o, t, text = row
         words = words_of(text)
         if len(words) >= length:
             d1, d2 = sequence_hash(words)
-            yield o, d1, d2, np.unique(anchors(word_hashes(words), short, length)[1]).view(np.int64).tolist()
+            yield o, t, d1, d2, np.unique(anchors(word_hashes(words), short, length)[1]).view(np.int64).tolist()
 
-    heads = written(map_rows(docs, head, "o bigint, d1 bigint, d2 bigint, anchors array<bigint>"), "heads")
+    heads = written(map_rows(docs, head, "o bigint, t bigint, d1 bigint, d2 bigint, anchors array<bigint>"), "heads")
     first = written(heads.groupBy("d1", "d2").agg(F.min("o").alias("first"), F.max("o").alias("last"))
                     .filter("first < last").select("d1", "d2", "first"), "first")
-    copies = written(heads.select("o", "d1", "d2").join(first, ["d1", "d2"]).filter("o > first")
-                     .select("o", "d1", "d2").distinct(), "copies")
-    live = written(heads.join(copies, ["o", "d1", "d2"], "left_anti"), "live")
+    copies = written(heads.select("o", "t", "d1", "d2").join(first, ["d1", "d2"]).filter("o > first")
+                     .select("o", "t").distinct(), "copies")
+    live = written(heads.join(copies, ["o", "t"], "left_anti"), "live")
     sweep(spark)
 
-    each = live.select("o", F.col("d1").alias("d"), F.explode("anchors").alias("a"))
+    each = live.select("o", "t", F.explode("anchors").alias("a"))
     twice = written(each.groupBy("a").agg(F.min("o").alias("low"), F.max("o").alias("high"))
                     .filter("low < high").select("a"), "anchors")
-    wanted = written(each.join(twice, "a", "left_semi").groupBy("o", "d").agg(F.collect_list("a").alias("a"))
-                     .groupBy("o").agg(F.collect_list(F.struct("d", "a")).alias("wanted")), "wanted")
+    wanted = written(each.join(twice, "a", "left_semi").groupBy("o", "t").agg(F.collect_set("a").alias("wanted")), "wanted")
     sweep(spark)
 
     def extend(batches):
         for batch in batches:
             out, size = [], 0
-            for o, text, want in zip(*batch.columns):
-                words = words_of(text.as_py())
-                d = sequence_hash(words)[0] if len(words) >= length else None
-                for w in want:
-                    if w["d"].as_py() == d:
-                        h = word_hashes(words)
-                        at, a = anchors(h, short, length)
-                        at = at[np.isin(a.view(np.int64), w["a"].values.to_numpy())]
-                        w1, w2 = window_pairs(h, length)
-                        keep = holding(at, short, length, len(w1))
-                        _, one = np.unique(w1[keep], return_index=True)
-                        keep = keep[one]
-                        out.append((w1[keep], w2[keep], np.full(len(keep), o.as_py()), np.full(len(keep), d)))
-                        size += len(keep) * 28
-                        break
+            for o, t, text, want in zip(*batch.columns):
+                h = word_hashes(words_of(text.as_py()))
+                at, a = anchors(h, short, length)
+                at = at[np.isin(a.view(np.int64), want.values.to_numpy())]
+                w1, w2 = window_pairs(h, length)
+                keep = holding(at, short, length, len(w1))
+                _, one = np.unique(w1[keep], return_index=True)
+                keep = keep[one]
+                out.append((w1[keep], w2[keep], np.full(len(keep), o.as_py()), np.full(len(keep), t.as_py())))
+                size += len(keep) * 28
                 if size >= BYTES_OUT:
                     yield columns(out)
                     out, size = [], 0
@@ -129,19 +124,18 @@ def repeated_windows(docs: DataFrame, length: int) -> DataFrame:
                 yield columns(out)
 
     def columns(out):
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["w1", "w2", "o", "d"])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["w1", "w2", "o", "t"])
 
-    windows = written(docs.join(wanted, "o").select("o", "text", "wanted")
-                      .mapInArrow(extend, "w1 bigint, w2 int, o bigint, d bigint"), "windows")
+    windows = written(docs.join(wanted, ["o", "t"]).select("o", "t", "text", "wanted")
+                      .mapInArrow(extend, "w1 bigint, w2 int, o bigint, t bigint"), "windows")
     sweep(spark)
     low = written(windows.groupBy("w1", "w2").agg(F.min("o").alias("first"), F.max("o").alias("last"))
                   .filter("first < last").select("w1", "w2", "first"), "low")
     lost = (windows.join(low, ["w1", "w2"]).filter("o > first")
-            .groupBy("o", "d").agg(F.collect_list(F.struct("w1", "w2")).alias("windows")))
-    cuts = (lost.select("o", "d", F.lit(False).alias("whole"), "windows")
-            .unionByName(copies.select("o", F.col("d1").alias("d"), F.lit(True).alias("whole"),
-                                       F.lit(None).cast("array<struct<w1:bigint,w2:int>>").alias("windows")))
-            .groupBy("o").agg(F.collect_list(F.struct("d", "whole", "windows")).alias("cuts")))
+            .groupBy("o", "t").agg(F.collect_set(F.struct("w1", "w2")).alias("windows")))
+    cuts = (lost.select("o", "t", F.lit(False).alias("whole"), "windows")
+            .unionByName(copies.select("o", "t", F.lit(True).alias("whole"),
+                                       F.lit(None).cast("array<struct<w1:bigint,w2:int>>").alias("windows"))))
     cuts = materialize(cuts, "substring-cuts")
     discard(spark, *paths)
     sweep(spark)
@@ -150,27 +144,22 @@ def repeated_windows(docs: DataFrame, length: int) -> DataFrame:
 
 def dedup(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_words, n_removed, kept) for every row of ``docs``; kept: the words left, one space between."""
-    rows = texts(docs, id_col, text_col).withColumn("o", F.coalesce(F.col("id").cast("bigint"), F.lit(LAST)))
-    cuts = repeated_windows(rows.select("o", "text"), length)
+    rows = texts(docs, id_col, text_col).withColumn("o", F.coalesce(F.col("id").cast("bigint"), F.lit(LAST))) \
+        .withColumn("t", F.xxhash64("text"))
+    cuts = repeated_windows(rows.select("o", "t", "text"), length)
 
     def cut(batches):
         for batch in batches:
             n_words, n_removed, kept = [], [], []
-            for text, some in zip(batch.column(1), batch.column(2)):
+            for text, whole, some in zip(*batch.columns[1:]):
                 words = words_of(text.as_py())
                 gone = np.zeros(len(words), bool)
-                if some.is_valid and len(words) >= length:
-                    d = sequence_hash(words)[0]
-                    mine = [c for c in some if c["d"].as_py() == d]
-                    if any(c["whole"].as_py() for c in mine):
-                        gone[:] = True
-                    else:
-                        w1, w2 = window_pairs(word_hashes(words), length)
-                        hit = np.zeros(len(w1), bool)
-                        for c in mine:
-                            have = c["windows"].values
-                            hit |= member(w1, w2, have.field("w1").to_numpy(), have.field("w2").to_numpy())
-                        gone = covered(np.flatnonzero(hit), length, len(words))
+                if whole.as_py():
+                    gone[:] = True
+                elif some.is_valid:
+                    w1, w2 = window_pairs(word_hashes(words), length)
+                    hit = member(w1, w2, some.values.field("w1").to_numpy(), some.values.field("w2").to_numpy())
+                    gone = covered(np.flatnonzero(hit), length, len(words))
                 n_words.append(len(words))
                 n_removed.append(int(gone.sum()))
                 left = words if not n_removed[-1] else [w for w, g in zip(words, gone.tolist()) if not g]
@@ -180,7 +169,7 @@ def dedup(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: s
                  pa.array(kept, pa.string())], [id_col, "n_words", "n_removed", "kept"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return (rows.join(cuts, "o", "left").select("id", "text", "cuts")
+    return (rows.join(cuts, ["o", "t"], "left").select("id", "text", "whole", "windows")
             .mapInArrow(cut, f"`{id_col}` {kind}, n_words bigint, n_removed bigint, kept string"))
 
 

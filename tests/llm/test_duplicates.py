@@ -177,6 +177,19 @@ def test_substrings_that_overlap_and_repeat(spark):
     assert substring_dedup.dedup(frame(spark, []), 6).count() == 0
 
 
+def test_lists_of_a_repeated_id_are_bounded(spark):
+    # Many rows without an id share a passage: no value may hold the lists of all of them.
+    rng = random.Random(6)
+    passage = prose(rng, 12)
+    pairs = [(1, passage)] + [(None, f"{prose(rng, 5)} {passage} {prose(rng, 5)}") for _ in range(40)]
+    pairs += [(None, f"head {passage} tail")] * 30
+    df = frame(spark, pairs).select(F.coalesce("doc_id", F.lit(substring_dedup.LAST)).alias("o"), F.xxhash64("text").alias("t"), "text")
+    cuts = substring_dedup.repeated_windows(df, 6).collect()
+    assert len(cuts) == 41 and all(len(r["windows"]) <= 7 for r in cuts)
+    got = sorted(map(tuple, substring_dedup.dedup(frame(spark, pairs), 6).collect()), key=repr)
+    assert got == brute_substrings(pairs, 6)
+
+
 # --- embeddings
 
 def brute_vectors(data, threshold):
