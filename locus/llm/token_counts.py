@@ -17,8 +17,9 @@ the last token and the relative count.
 Long texts are cut into chunks.  White space resets the machine, so what a chunk
 does to any incoming state is a small map: its text up to the first white
 space, the tokens in between, and its text after the last (or only a text, if it
-has no white space).  Maps compose associatively; a doubling prefix scan over
-a text's chunks gives the count at every chunk end, and the last is the total.
+has no white space).  Maps compose associatively; only the total is asked for, so neighbours
+are folded pair by pair, and what is held of a text stays within a few times its length.  A stretch without
+white space is counted once its chunks have been put together.
 
 Special strings of the file are single tokens wherever they stand, as by default
 in the library.
@@ -31,6 +32,7 @@ from __future__ import annotations
 
 import json
 from functools import lru_cache
+from itertools import chain
 
 import regex
 from pyspark.sql import DataFrame
@@ -41,6 +43,8 @@ from locus.llm.columns import map_rows, texts
 CHUNK = 1 << 15
 #: Runs and words whose counts a worker remembers; it starts anew beyond that.
 MEMO = 400_000
+#: Code points of a run or word that is remembered; longer ones hardly come again.
+REMEMBERED = 1024
 #: Control characters that Python's split takes for white space and the file doesn't.
 SEPARATORS = "\x1c\x1d\x1e\x1f"
 SPACE = regex.compile(r"[\t-\r \x85\xa0  -     　]+")
@@ -136,9 +140,8 @@ class Transducer:
 
     def word(self, word: str) -> int:
         total, state, table = 0, self.start, self.table
-        symbols = list(word.encode())
-        symbols[-1] += 256
-        for symbol in symbols:
+        symbols = word.encode()
+        for symbol in chain(memoryview(symbols)[:-1], (symbols[-1] + 256,)):
             try:
                 state, change = table[state][symbol]
             except KeyError:
@@ -160,9 +163,12 @@ class Transducer:
             return 0
         run = run.lower() if run.isascii() else normaliser()(run)
         total = 0
-        for word in WORDS.findall(run):
+        for word in WORDS.findall(run) if len(run) <= CHUNK else (m[0] for m in WORDS.finditer(run)):
             got = self.words.get(word)
             if got is None:
+                if len(word) > REMEMBERED:
+                    total += self.word(word)
+                    continue
                 if len(self.words) >= MEMO:
                     self.words.clear()
                 got = self.words[word] = self.word(word)
@@ -174,6 +180,8 @@ class Transducer:
     def count(self, run: str) -> int:
         got = self.memo.get(run)
         if got is None:
+            if len(run) > REMEMBERED:
+                return self.run(run)
             if len(self.memo) >= MEMO:
                 self.memo.clear()
             got = self.memo[run] = self.run(run)
@@ -208,7 +216,14 @@ class Transducer:
 
     def text(self, text: str, chunk: int = CHUNK) -> int:
         maps = [self.chunk_map(text[i:i + chunk]) for i in range(0, len(text), chunk)]
-        return self.total(prefix_scan(maps, self.compose)[-1]) if maps else 0
+        return self.total(fold(maps, self.compose)) if maps else 0
+
+
+def fold(maps: list, compose):
+    """All maps composed in order, in log2(n) rounds of neighbours; a round holds no more text than the one before."""
+    while len(maps) > 1:
+        maps = [compose(*maps[i:i + 2]) if i + 1 < len(maps) else maps[i] for i in range(0, len(maps), 2)]
+    return maps[0]
 
 
 def prefix_scan(maps: list, compose) -> list:

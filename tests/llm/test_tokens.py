@@ -2,6 +2,7 @@
 
 import base64
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -56,6 +57,19 @@ def test_prefix_scan_has_every_prefix():
         assert t.total(m) == len(LIB.encode(text[:5 * (i + 1)], add_special_tokens=False).ids)
 
 
+def test_long_text_without_white_space_stays_small():
+    t = token_counts.Transducer(WORD_FILE)
+    text = "abc1+" * 400_000
+    each = sum(map(t.count, ("abc", "1", "+")))
+    tracemalloc.start()
+    try:
+        assert t.text(text) == 400_000 * each
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 8 * len(text) and text not in t.memo
+
+
 def test_token_counts_on_awkward_rows(spark, word_library):
     out = token_counts.token_counts(frame(spark), WORD_FILE, 2048)
     assert out.columns == ["doc_id", "n_bytes", "n_tokens", "over_limit"]
