@@ -22,5 +22,99 @@ FROM marked GROUP BY doc_id
 """
 
 
+#: The CRC of a byte on its own by the reversed polynomial; the CRC of a string folds its bytes through that table.
+OP12 = r"""
+WITH RECURSIVE
+folded AS (
+    SELECT 0 AS step, range AS byte, range AS crc FROM range(256)
+    UNION ALL
+    SELECT step + 1, byte, CASE WHEN crc & 1 = 1 THEN xor(crc >> 1, 3988292384) ELSE crc >> 1 END FROM folded WHERE step < 8),
+crcs AS (SELECT list(crc ORDER BY byte) AS crcs FROM folded WHERE step = 8),
+texts AS (
+    SELECT 'd' AS side, doc_id AS id, text FROM documents
+    UNION ALL SELECT 't', item_id, text FROM benchmark),
+words AS (
+    SELECT side, id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w
+    FROM texts),
+features AS (
+    SELECT side, id, unnest(list_concat(w, list_concat(
+        list_transform(range(1, greatest(len(w), 1)), lambda i: w[i] || ' ' || w[i + 1]),
+        list_transform(range(1, greatest(len(w) - 1, 1)), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])))) AS f
+    FROM words),
+bytes AS (
+    SELECT f, hex(encode(f)) AS x FROM (SELECT DISTINCT f FROM features)),
+crc AS (
+    SELECT f, xor(list_reduce(list_transform(range(0, len(x) // 2),
+        lambda i: ('0x' || x[2 * i + 1:2 * i + 2])::BIGINT),
+        lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 10000 AS bucket
+    FROM bytes, crcs),
+placed AS (SELECT side, id, bucket FROM features JOIN crc USING (f)),
+counts AS (
+    SELECT b.range AS bucket, count(*) FILTER (side = 'd') AS s, count(*) FILTER (side = 't') AS t
+    FROM range(10000) b LEFT JOIN placed ON bucket = b.range GROUP BY 1),
+gains AS (
+    SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * ((sum(s) OVER ()) + 10000)::DOUBLE
+        / ((s + 1)::DOUBLE * ((sum(t) OVER ()) + 10000)::DOUBLE)))::BIGINT AS gain
+    FROM counts),
+weights AS (
+    SELECT id, count(*) AS n_features, sum(gain)::BIGINT AS weight
+    FROM placed JOIN gains USING (bucket) WHERE side = 'd' GROUP BY id),
+scored AS (
+    SELECT w.id AS doc_id, len(w.w) AS n_words, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+           coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln((('0x' || left(sha256('42:' || w.id), 8))::BIGINT + 0.5)
+               / 4294967296.0::DOUBLE)))::BIGINT AS score
+    FROM words w LEFT JOIN weights g ON w.id = g.id WHERE w.side = 'd'),
+ranked AS (
+    SELECT *, CASE WHEN n_words >= 20 THEN row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) END AS place,
+           5 * count(*) FILTER (n_words >= 20) OVER () // 100 AS drawn
+    FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= drawn THEN place END AS rank FROM ranked
+"""
+
+OP13 = r"""
+WITH words AS (
+    SELECT doc_id, coalesce(text, '') AS t, coalesce(source, '') AS part,
+           list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+    FROM documents),
+failed AS (
+    SELECT doc_id, part, [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+        100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t), regexp_matches(t, '[#$%&*|]'),
+        doc_id > min(doc_id) OVER (PARTITION BY t)] AS fails
+    FROM words),
+docs AS (
+    SELECT part, fails, coalesce(quality = 1, false) AS good, coalesce(toxic = 1, false) AS toxic
+    FROM failed LEFT JOIN labels USING (doc_id)),
+cells AS (
+    SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM docs GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (
+    SELECT a.f || b.f || c.f || d.f || e.f AS filter_order
+    FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+steps AS (
+    SELECT filter_order, step::INTEGER AS step, filter_order[step] AS f, position(filter_order[step] IN 'ABCDE') AS own,
+           list_transform(range(1, step), lambda i: position(filter_order[i] IN 'ABCDE')) AS before
+    FROM orders, range(1, 6) r(step)),
+marked AS (
+    SELECT part, filter_order, step, f, n, good, toxic, fails[own] AS own_fails,
+           coalesce(list_bool_or(list_transform(before, lambda i: fails[i])), false) AS earlier,
+           len(list_filter(fails, lambda x: x)) = 1 AND fails[own] AS alone
+    FROM cells, steps),
+summed AS (
+    SELECT part, filter_order, step, f,
+           coalesce(sum(n) FILTER (NOT earlier AND NOT own_fails), 0)::BIGINT AS kept,
+           coalesce(sum(n) FILTER (NOT earlier AND own_fails), 0)::BIGINT AS removed,
+           coalesce(sum(n) FILTER (earlier AND own_fails), 0)::BIGINT AS redundant,
+           coalesce(sum(n) FILTER (alone), 0)::BIGINT AS unique_fails,
+           coalesce(sum(good) FILTER (NOT earlier AND own_fails), 0)::BIGINT AS good_lost,
+           coalesce(sum(toxic) FILTER (NOT earlier AND own_fails), 0)::BIGINT AS toxic_lost
+    FROM marked GROUP BY part, filter_order, step, f)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+FROM summed
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op10_line_dedup": OP10}
+    return {"op10_line_dedup": OP10, "op12_importance_resampling": OP12, "op13_filter_audit": OP13}

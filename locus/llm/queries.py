@@ -9,7 +9,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from locus.llm import byte_bpe, embedding_dedup, line_dedup, order_minhash, packing, pii, simhash, substring_dedup, token_counts, toxicity
+from locus.llm import (byte_bpe, embedding_dedup, filter_audit, importance, licenses, line_dedup, order_minhash, packing, pii, simhash,
+                       substring_dedup, token_counts, toxicity)
 from locus.llm.columns import hex_digest
 
 TOKEN_LIMIT = 2048
@@ -94,5 +95,25 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_dropped", hex_digest(F.col("kept")).alias("kept_sha256"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = licenses.scan(read(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda x: x["exact"])
+    labels = lambda x: F.array_join(F.array_sort(F.array_distinct(x["label"])), ",")
+    return out.select(
+        "doc_id", "n_words", F.size(base).cast("bigint").alias("n_base"),
+        F.array_min(base["start"]).alias("first_word"), F.array_max(base["start"]).alias("last_word"),
+        labels(base).alias("base_labels"), labels(F.col("spans")).alias("labels"),
+        F.coalesce(F.array_max(F.col("spans")["similarity"]), F.lit(0.0)).alias("score"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")) \
+        .select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
