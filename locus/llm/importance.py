@@ -6,9 +6,8 @@ for many texts together: the distinct features of about ``GROUP`` bytes of text
 each group is one two-dimensional uint8 array (a row a feature), and one table step a column brings all CRCs of the
 group forward by a byte; the buckets are then scattered back to the places of the features in the texts.
 
-Every document's bucket counts are written once (at most ``buckets`` of them, however long the text), so the two later passes, the corpus
-counts and the weights, don't tokenise again.  The corpus counts are summed a task at a time before they move and
-come back as ``buckets`` rows, a bound set by the parameter.  A bucket's gain is the log ratio of target and corpus, a document's weight the
+Every document's bucket counts are written once (at most ``buckets`` of them, however long the text), beside one row of totals a task, so
+neither the corpus counts nor the weights tokenise again.  The totals are summed and come back as ``buckets`` rows, a bound set by the parameter.  A bucket's gain is the log ratio of target and corpus, a document's weight the
 sum of the gains of its features, its score the weight plus Gumbel noise from a hash of its id; the highest
 scores among texts of ``min_words`` words or more are the draw, without replacement.  Their ranks
 come from one range-partitioned sort of (score, id) rows.
@@ -22,7 +21,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from itertools import chain
+from itertools import batched, chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +32,11 @@ from locus.operators.ids import with_sequential_id
 from locus.runtime import materialize
 
 #: Bytes of text whose distinct features are taken together, and of a piece of a text.
-GROUP, PIECE = 1 << 22, 1 << 20
-#: Texts at most whose counts are taken together (each has an array of all buckets for that time).
+GROUP, PIECE = 1 << 21, 1 << 20
+#: Texts at most whose counts are taken together (each has an array of all buckets for that time) and given back at once.
 TEXTS = 500
+#: Bytes of a matrix.
+MATRIX = 1 << 18
 #: The reversed polynomial of CRC-32.
 POLYNOMIAL = 0xEDB88320
 
@@ -70,8 +71,8 @@ def crc_of_runs(words: list[bytes], runs: np.ndarray) -> np.ndarray:
     edges = np.flatnonzero(np.diff(total[order], prepend=-1, append=-1))
     for a, b in zip(edges[:-1], edges[1:]):
         width = int(total[order[a]])
-        # Rows of equal length, at most a group's bytes at once; each ends with a space that is left out.
-        step = max(1, GROUP // width)
+        # Rows of equal length, a matrix of them at once; each ends with a space that is left out.
+        step = max(1, MATRIX // width)
         for lo in range(a, b, step):
             some = order[lo:min(lo + step, b)]
             parts = runs[some].ravel()
@@ -162,35 +163,65 @@ def bucket_counts(texts: Iterator[bytes | None], runs: int, buckets: int) -> Ite
     yield from done(len(waiting))
 
 
+def narrow(x: np.ndarray, top: int) -> np.ndarray:
+    """Unsigned little-endian numbers in the least of 1, 2, 4 or 8 bytes that hold ``top``."""
+    return x.astype(np.min_scalar_type(int(top)).newbyteorder("<"))
+
+
+def wide(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(data, f"<u{len(data) // n}") if n else np.zeros(0, np.uint8)
+
+
 def features(docs: DataFrame, runs: int, buckets: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, n_words, n_features, buckets, counts) for every row; the last two are packed numbers, 4 bytes each."""
+    """(id, total, n_words, n_features, buckets, counts) for every row, and one row of ``total`` for every task: the counts of
+    all its rows.  The last two columns are packed numbers: the buckets, and how many features each has."""
     kind = docs.schema[id_col].dataType.simpleString()
+    names = ["id", "total", "n_words", "n_features", "buckets", "counts"]
 
     def part(batches):
+        total, id_type = np.zeros(buckets, np.int64), None
         for batch in batches:
-            found = list(bucket_counts((t.as_py() for t in batch.column(1)), runs, buckets))
-            cols = list(zip(*found)) if found else [()] * 4
+            id_type = batch.column(0).type
+            at = 0
+            for found in batched(bucket_counts((t.as_py() for t in batch.column(1)), runs, buckets), TEXTS):
+                words, n, has, counts = zip(*found)
+                for b, c in zip(has, counts):
+                    total[b] += c
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(at, len(found)), pa.array([False] * len(found)), pa.array(words, pa.int64()), pa.array(n, pa.int64()),
+                     pa.array([narrow(b, buckets).tobytes() for b in has], pa.binary()),
+                     pa.array([narrow(c, c.max(initial=0)).tobytes() for c in counts], pa.binary())], names)
+                at += len(found)
+        has = np.flatnonzero(total)
+        if len(has):
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
-                 *[pa.array([x.astype("<u4").tobytes() for x in c], pa.binary()) for c in cols[2:]]],
-                ["id", "n_words", "n_features", "buckets", "counts"])
+                [pa.nulls(1, id_type), pa.array([True]), pa.array([0]), pa.array([int(total.sum())]),
+                 pa.array([narrow(has, buckets).tobytes()], pa.binary()), pa.array([total[has].astype("<u8").tobytes()], pa.binary())], names)
         pa.default_memory_pool().release_unused()
 
     return docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").cast("binary").alias("text")).mapInArrow(
-        part, f"id {kind}, n_words bigint, n_features bigint, buckets binary, counts binary")
+        part, f"id {kind}, total boolean, n_words bigint, n_features bigint, buckets binary, counts binary")
+
+
+def numbers(bucket: pa.BinaryScalar, count: pa.BinaryScalar, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The packed buckets and counts of a row."""
+    at = bucket.as_py()
+    at = np.frombuffer(at, f"<u{np.min_scalar_type(size).itemsize}")
+    return at, wide(count.as_py(), len(at))
 
 
 def totals(table: DataFrame, buckets: int) -> np.ndarray:
-    """Features of the whole table by bucket: summed a task at a time, then over tasks; ``buckets`` rows come back."""
+    """Features of the whole table by bucket: the tasks' own totals, summed; ``buckets`` rows come back."""
     def part(batches):
         out = np.zeros(buckets, np.int64)
         for batch in batches:
-            for b, n in zip(batch.column(0), batch.column(1)):
-                out[np.frombuffer(b.as_py(), "<u4")] += np.frombuffer(n.as_py(), "<u4")
+            for row in zip(batch.column(0), batch.column(1)):
+                at, n = numbers(*row, buckets)
+                out[at] += n.astype(np.int64)
         has = np.flatnonzero(out)
         yield pa.RecordBatch.from_arrays([pa.array(has.astype(np.int32)), pa.array(out[has])], ["bucket", "n"])
 
-    rows = table.select("buckets", "counts").mapInArrow(part, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
+    rows = table.filter("total").select("buckets", "counts").mapInArrow(part, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
     out = np.zeros(buckets, np.int64)
     for bucket, n in rows:
         out[bucket] = n
@@ -218,12 +249,14 @@ def weigh(table: DataFrame, gains: np.ndarray) -> DataFrame:
 
     def part(batches):
         for batch in batches:
-            weight = [int(gains[np.frombuffer(b.as_py(), "<u4")] @ np.frombuffer(n.as_py(), "<u4").astype(np.int64))
-                      for b, n in zip(batch.column(3), batch.column(4))]
+            weight = []
+            for row in zip(batch.column(3), batch.column(4)):
+                at, n = numbers(*row, len(gains))
+                weight.append(int(gains[at] @ n.astype(np.int64)))
             yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(3)], pa.array(weight, pa.int64())],
                                              ["id", "n_words", "n_features", "weight"])
 
-    return table.select("id", "n_words", "n_features", "buckets", "counts").mapInArrow(
+    return table.filter("NOT total").select("id", "n_words", "n_features", "buckets", "counts").mapInArrow(
         part, f"id {kind}, n_words bigint, n_features bigint, weight bigint")
 
 
