@@ -65,12 +65,18 @@ def main() -> None:
     n_ltw, n_pt = ltw.count(), pt.count()
 
     def kmeans_sweep():
-        fits = km.kmeans_sweep(ltw, km.sweep_inits(ltw, ks), weight="w")
+        fits = km.kmeans_sweep(ltw, km.sweep_inits(ltw, ks), weight="w", stats=stats)
         curve = elbow.wcss_curve(ltw, {k: f.centers for k, f in fits.items()}, weight="w")
         converged.update({k: f.converged for k, f in fits.items()})
         return elbow.best_k(curve).first()[0]
 
+    def kmeans_sweep_rows():
+        # Every row on its own, as the published runs cluster them.
+        fits = km.kmeans_sweep(lt, km.sweep_inits(lt, ks))
+        return elbow.best_k(elbow.wcss_curve(lt, {k: f.centers for k, f in fits.items()})).first()[0]
+
     converged: dict[int, bool] = {}
+    stats: dict[str, int] = {}
 
     def kcenter_sweep():
         steps = kc.kcenter_traversal(ltw, K_MAX, first_id=1)
@@ -91,6 +97,10 @@ def main() -> None:
         return q_results.runlog_mean_std(spark, sf_dir).count()
 
     best_km = timed("kmeans_sweep", kmeans_sweep)
+    lt = fx.lineitem_points(spark, sf_dir).cache()
+    n_lt = lt.count()
+    timed("kmeans_sweep_rows", kmeans_sweep_rows)
+    lt.unpersist()
     best_kc = timed("kcenter_sweep", kcenter_sweep)
     timed("dbscan", dbscan)
     timed("point_in_polygon", pip)
@@ -103,7 +113,9 @@ def main() -> None:
         "queries": times,
         "jobs": jobs,
         "sf": re.sub(r".*sf", "", sf_dir.rstrip("/")),
-        "rows": {"ltw_points": n_ltw, "pt_points": n_pt},
+        "rows": {"ltw_points": n_ltw, "lt_points": n_lt, "pt_points": n_pt},
+        # Distance tests of the sweep (boxes and points), over its rounds.
+        "kmeans_tests": stats,
         "best_k": {"kmeans": best_km, "kcenter": best_kc},
         "dbscan_eps": eps,
         "kmeans_converged": converged,

@@ -17,9 +17,8 @@ argmin takes the first minimum, i.e. the lowest ``center_id``.
 
 from __future__ import annotations
 
-import math
 import sys
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -27,6 +26,8 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from locus.functions import exact
+
 # Task closures below call this module's kernels; ship them by value so the
 # executors' Python workers need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -104,117 +105,165 @@ class Flat:
 
 # ----------------------------------------------------- Spark operators on top
 
-# Sums do not depend on how points are split over tasks: every term is cut into
-# LIMBS whole numbers of LIMB_BITS bits on grids fixed by the largest term, and whole
-# numbers are added.  Terms down to 2^-60 of the largest keep every bit.
-LIMBS, LIMB_BITS = 2, 30
-_SUMMED = ("x", "y", "w")
-
-SUMS_SCHEMA = T.StructType([
-    T.StructField("k", T.IntegerType()),
-    T.StructField("center_id", T.IntegerType()),
-    *[T.StructField(f"{c}{i}", T.LongType()) for c in _SUMMED for i in range(LIMBS)],
-])
-
-
-def exponents(points: DataFrame, x: str = "x", y: str = "y", weight: str | None = None) -> tuple[int, int, int]:
-    """For the terms x * w, y * w and w: e with every |term| below 2^e (one aggregate)."""
-    w = F.col(weight).cast("double") if weight else F.lit(1.0)
-    tops = points.agg(*[F.max(F.abs(t)) for t in (F.col(x) * w, F.col(y) * w, w)]).first()
-    return tuple(math.frexp(t)[1] if t else 0 for t in tops)
-
-
-def limbs(terms: np.ndarray, e: int) -> list[np.ndarray]:
-    """``terms`` as whole numbers on the grids 2^(e - 30) and 2^(e - 60)."""
-    out = []
-    for i in range(1, LIMBS + 1):
-        grid = math.ldexp(1.0, e - LIMB_BITS * i)
-        part = np.rint(terms / grid) if i < LIMBS else np.trunc(terms / grid)
-        out.append(part)
-        terms = terms - part * grid
-    return out
+# Sums do not depend on how points are split over tasks: they are exact (``functions.exact``), and rounded once.
+
+SUMS_SCHEMA = "k int, center_id int, dim int, bin int, whole bigint"
+_SUMS_ARROW = pa.schema([("k", pa.int32()), ("center_id", pa.int32()), ("dim", pa.int32()), ("bin", pa.int32()), ("whole", pa.int64())])
 
 
-def partial_update_sums(points: DataFrame, centers_by_k: Mapping[int, Sequence[Center]], exps: tuple[int, int, int],
+def sum_rows(flat: Flat, sums: Sequence[exact.Sums]) -> pa.RecordBatch:
+    """A row for each centre, dimension (x w, y w, w) and bin that isn't zero."""
+    set_of = np.repeat(np.array(flat.ks, np.int32), [b - a for a, b in flat.bounds])
+    cols: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in _SUMS_ARROW]
+    for dim, acc in enumerate(sums):
+        for b, at, whole in acc.rows():
+            for col, v in zip(cols, (set_of[at], flat.ids[at], np.full(len(at), dim), np.full(len(at), b), whole)):
+                col.append(v)
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), f.type, safe=False) for c, f in zip(cols, _SUMS_ARROW)], schema=_SUMS_ARROW)
+
+
+def partial_update_sums(points: DataFrame, centers_by_k: Mapping[int, Sequence[Center]],
                         x: str = "x", y: str = "y", weight: str | None = None) -> DataFrame:
-    """Per task: the limbs of sum(x w), sum(y w), sum(w) of its own points by (k, center_id) - at
-    most sum(k) rows per task, before any shuffle."""
+    """Per task: the exact sums of x w, y w, w of its own points by (k, center_id, bin) - a few rows for each of
+    sum(k) centres, before any shuffle."""
     flat = Flat(centers_by_k)
     cols = [x, y] + ([weight] if weight else [])
-    kk = len(flat.ks)
-    set_of = np.repeat(np.arange(kk), [b - a for a, b in flat.bounds])
-
-    sums_arrow = pa.schema([("k", pa.int32()), ("center_id", pa.int32()),
-                            *[(f"{c}{i}", pa.int64()) for c in _SUMMED for i in range(LIMBS)]])
 
     def part(batches):
-        # Arrow in, Arrow out: this runs once per Lloyd round, so it skips
-        # the pandas conversion.
-        m = flat.size
-        acc = np.zeros((LIMBS * len(_SUMMED), m), np.int64)
-        hits = np.zeros(m, np.int64)
+        sums, seen = [exact.Sums(flat.size) for _ in range(3)], 0
         for rb in batches:
             if rb.num_rows == 0:
                 continue
             xs, ys, ws = _arrow_cols(rb, x, y, weight)
             ws = np.ones_like(xs) if ws is None else ws
-            g = flat.nearest(xs, ys)[0].ravel()
-            row = 0
-            for terms, e in zip((xs * ws, ys * ws, ws), exps):
-                for part in limbs(terms, e):
-                    # A batch's sums of whole numbers up to 2^30 are exact in doubles (below 2^23 rows).
-                    acc[row] += np.bincount(g, weights=np.repeat(part, kk), minlength=m).astype(np.int64)
-                    row += 1
-            hits += np.bincount(g, minlength=m)
-        hit = np.nonzero(hits > 0)[0]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.array(flat.ks, dtype=np.int32)[set_of[hit]]),
-             pa.array(flat.ids[hit].astype(np.int32)),
-             *[pa.array(a[hit]) for a in acc]],
-            schema=sums_arrow)
+            owners = flat.nearest(xs, ys)[0]
+            for acc, terms in zip(sums, (xs * ws, ys * ws, ws)):
+                bins, parts = exact.dense(terms)
+                for i, b in enumerate(bins):
+                    for j in range(len(flat.ks)):
+                        acc.add_whole(b, owners[:, j], parts[:, i])
+            seen += rb.num_rows
+            if seen >= exact.MAX_ROWS:
+                yield sum_rows(flat, sums)
+                sums, seen = [exact.Sums(flat.size) for _ in range(3)], 0
+        yield sum_rows(flat, sums)
 
     return points.select(*cols).mapInArrow(part, SUMS_SCHEMA)
 
 
+def tree_update_sums(trees: DataFrame, centers_by_k: Mapping[int, Sequence[Center]]) -> DataFrame:
+    """As ``partial_update_sums``, from the trees of ``functions.celltree``; rows of k = -1 count the tests made, in ``whole``."""
+    from locus.functions.celltree import Tree
+
+    flat = Flat(centers_by_k)
+
+    def part(batches):
+        sums, seen, tests = [exact.Sums(flat.size) for _ in range(3)], 0, 0
+        for rb in batches:
+            for row in zip(*rb.columns):
+                n, *rest = row
+                tests += Tree.unpack(n.as_py(), *rest).assign(flat, sums)
+                seen += n.as_py()
+                if seen >= exact.MAX_ROWS:
+                    yield sum_rows(flat, sums)
+                    sums, seen = [exact.Sums(flat.size) for _ in range(3)], 0
+        yield sum_rows(flat, sums)
+        yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip((-1, 0, 0, 0, tests), _SUMS_ARROW)], schema=_SUMS_ARROW)
+
+    return trees.mapInArrow(part, SUMS_SCHEMA)
+
+
+def merged_sums(partials: DataFrame) -> DataFrame:
+    """(k, center_id, dim, bin, whole): the tasks' sums added up, as decimals."""
+    return partials.groupBy("k", "center_id", "dim", "bin").agg(exact.summed("whole"))
+
+
+def exact_centers(rows: Iterable[tuple]) -> dict[tuple[int, int], tuple[float, float, float, float, float]]:
+    """(k, center_id) -> (sx, sy, sw, cx, cy) from merged rows: sums and means, each rounded once."""
+    bins: dict[tuple, dict[int, int]] = {}
+    for k, center_id, dim, b, whole in rows:
+        bins.setdefault((k, center_id), {}).setdefault(dim, []).append((b, whole))
+    out = {}
+    for key, dims in sorted(bins.items()):
+        sx, sy, sw = (exact.total(dims.get(d, ())) for d in range(3))
+        if sw:
+            out[key] = tuple(map(exact.rounded, (sx, sy, sw, sx / sw, sy / sw)))
+    return out
+
+
+CENTER_SUMS = "k int, center_id int, sx double, sy double, sw double, cx double, cy double"
+
+
 def update_sums(points: DataFrame, centers_by_k: Mapping[int, Sequence[Center]],
-                x: str = "x", y: str = "y", weight: str | None = None,
-                exps: tuple[int, int, int] | None = None) -> DataFrame:
-    """(k, center_id, sx, sy, sw): weighted coordinate sums of each centre's
-    members, for every k, from one scan.  Empty centres produce no row.  The
-    sums are the same however the points are partitioned."""
-    exps = exps or exponents(points, x, y, weight)
-    names = [f"{c}{i}" for c in _SUMMED for i in range(LIMBS)]
-    sums = (partial_update_sums(points, centers_by_k, exps, x, y, weight)
-            .groupBy("k", "center_id").agg(*[F.sum(c).alias(c) for c in names]))
-
-    def joined(c: str, e: int):
-        whole = F.lit(0).cast("decimal(38,0)")
-        for i in range(LIMBS):
-            shift = F.lit(str(1 << LIMB_BITS * (LIMBS - 1 - i))).cast("decimal(13,0)")
-            whole = whole + (F.col(f"{c}{i}").cast("decimal(19,0)") * shift)
-        return (whole.cast("double") * F.lit(math.ldexp(1.0, e - LIMB_BITS * LIMBS))).alias(f"s{c}")
-
-    return sums.select("k", "center_id", *[joined(c, e) for c, e in zip(_SUMMED, exps)])
+                x: str = "x", y: str = "y", weight: str | None = None) -> DataFrame:
+    """(k, center_id, sx, sy, sw, cx, cy): weighted coordinate sums of each centre's members and their means, for
+    every k, from one scan.  Empty centres produce no row.  Every figure is the exact one, rounded
+    once, however the points are partitioned."""
+    def put_together(batches):
+        for rb in batches:
+            found = exact_centers([(r["k"], r["center_id"], *e.values()) for r in rb.to_pylist() for e in r["sums"]])
+            rows = [(*key, *v) for key, v in found.items()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 7, [pa.int32()] * 2 + [pa.float64()] * 5)],
+                ["k", "center_id", "sx", "sy", "sw", "cx", "cy"])
+
+    merged = merged_sums(partial_update_sums(points, centers_by_k, x, y, weight))
+    # A centre has a few bins for each dimension.
+    return (merged.groupBy("k", "center_id").agg(F.collect_list(F.struct("dim", "bin", "whole")).alias("sums"))
+            .mapInArrow(put_together, CENTER_SUMS))
+
+
+# --- sums by k
+
+def k_rows(ks: Sequence[int], sums: exact.Sums, tops: np.ndarray) -> pa.RecordBatch:
+    """(k, bin, whole, top): the bins of each k's sum, and its largest term beside one of them."""
+    rows = [(ks[j], b, int(w), float(tops[j])) for b, at, whole in sums.rows() for j, w in zip(at, whole)]
+    rows += [(k, 0, 0, float(t)) for k, t in zip(ks, tops)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.int64(), pa.float64()))], ["k", "bin", "whole", "top"])
+
+
+def sums_by_k(points: DataFrame, cols: list[str], ks: Sequence[int], terms) -> DataFrame:
+    """(k, wcss, max_d2): exact sums, rounded once, of ``terms(batch)`` -> (squared distances by row and k, weights or None)."""
+    def part(batches):
+        sums, tops, seen = exact.Sums(len(ks)), np.zeros(len(ks)), 0
+        for rb in batches:
+            if rb.num_rows == 0:
+                continue
+            d2, ws = terms(rb)
+            for j in range(len(ks)):
+                sums.add(np.full(len(d2), j), d2[:, j] if ws is None else d2[:, j] * ws)
+            tops = np.maximum(tops, d2.max(axis=0))
+            seen += rb.num_rows
+            if seen >= exact.MAX_ROWS:
+                yield k_rows(ks, sums, tops)
+                sums, seen = exact.Sums(len(ks)), 0
+        if seen or sums.bins:
+            yield k_rows(ks, sums, tops)
+
+    def put_together(batches):
+        for rb in batches:
+            for r in rb.to_pylist():
+                value = exact.rounded(exact.total((e["bin"], e["whole"]) for e in r["sums"]))
+                yield pa.RecordBatch.from_arrays([pa.array([r["k"]], pa.int32()), pa.array([value]), pa.array([r["max_d2"]])],
+                                                 ["k", "wcss", "max_d2"])
+
+    merged = (points.select(*cols).mapInArrow(part, "k int, bin int, whole bigint, top double")
+              .groupBy("k", "bin").agg(exact.summed("whole"), F.max("top").alias("top")))
+    return (merged.groupBy("k").agg(F.collect_list(F.struct("bin", "whole")).alias("sums"), F.max("top").alias("max_d2"))
+            .mapInArrow(put_together, "k int, wcss double, max_d2 double"))
 
 
 def wcss_sums(points: DataFrame, centers_by_k: Mapping[int, Sequence[Center]],
               x: str = "x", y: str = "y", weight: str | None = None) -> DataFrame:
     """(k, wcss): sum over points of the squared distance to the nearest centre."""
     flat = Flat(centers_by_k)
-    cols = [x, y] + ([weight] if weight else [])
 
-    def part(batches):
-        acc = np.zeros(len(flat.ks))
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            xs, ys, ws = _cols(pdf, x, y, weight)
-            d = flat.nearest(xs, ys)[1]
-            acc += (d * ws[:, None]).sum(axis=0) if ws is not None else d.sum(axis=0)
-        yield pd.DataFrame({"k": np.array(flat.ks, dtype=np.int32), "wcss": acc})
+    def terms(rb):
+        xs, ys, ws = _arrow_cols(rb, x, y, weight)
+        return flat.nearest(xs, ys)[1], ws
 
-    partial = points.select(*cols).mapInPandas(part, "k INT, wcss DOUBLE")
-    return partial.groupBy("k").agg(F.sum("wcss").alias("wcss"))
+    return sums_by_k(points, [x, y] + ([weight] if weight else []), flat.ks, terms).select("k", "wcss")
 
 
 def prefix_sums(points: DataFrame, centers: Sequence[Center], ks: Sequence[int],
@@ -224,28 +273,13 @@ def prefix_sums(points: DataFrame, centers: Sequence[Center], ks: Sequence[int],
     cx = np.array([c[1] for c in centers[:k_max]], dtype=np.float64)
     cy = np.array([c[2] for c in centers[:k_max]], dtype=np.float64)
     want = sorted(set(ks))
-    cols = [x, y] + ([weight] if weight else [])
 
-    def part(batches):
-        wc = {k: 0.0 for k in want}
-        mx = {k: 0.0 for k in want}
-        seen = False
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            seen = True
-            xs, ys, ws = _cols(pdf, x, y, weight)
-            run = np.minimum.accumulate(np_d2(xs, ys, cx, cy), axis=1)
-            for k in want:
-                col = run[:, k - 1]
-                wc[k] += float((col * ws).sum() if ws is not None else col.sum())
-                mx[k] = max(mx[k], float(col.max()))
-        if seen:
-            yield pd.DataFrame({"k": want, "wcss": [wc[k] for k in want],
-                                "max_d2": [mx[k] for k in want]})
-
-    partial = points.select(*cols).mapInPandas(part, "k INT, wcss DOUBLE, max_d2 DOUBLE")
-    return partial.groupBy("k").agg(F.sum("wcss").alias("wcss"), F.max("max_d2").alias("max_d2"))
+    def terms(rb):
+        xs, ys, ws = _arrow_cols(rb, x, y, weight)
+        run = np.minimum.accumulate(np_d2(xs, ys, cx, cy), axis=1)
+        return run[:, [k - 1 for k in want]], ws
+
+    return sums_by_k(points, [x, y] + ([weight] if weight else []), want, terms)
 
 
 def farthest_candidates(points: DataFrame, centers: Sequence[Center], id_col: str = "point_id",

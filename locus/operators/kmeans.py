@@ -1,12 +1,13 @@
 """K-Means: initial centres (C1, C2), assignment (P10, A3), update (A1, A2),
 convergence (C3), Lloyd loop (C4) and the k sweep (C6).
 
-Plan per iteration: one scan of the cached points; every task labels its
-points for every active k (vectorised, ``functions.centers``) and emits
-partial sums per (k, center_id); a final hash aggregate combines them, so at
-most sum(k) rows per task cross the shuffle and sum(k) rows come back to the
-driver.  All k of a sweep share that one job; a k that has converged drops
-out of the next one.  The plan does not grow across iterations: the centres
+Plan of a fit: every task puts its points into summary trees once
+(``functions.celltree``; no shuffle), and the trees are cached.  A round is one job: every
+task goes down its trees with the centres of every active k, adds whole cells to
+the one centre that can own them and tests points on boundaries only, and emits exact
+partial sums per (k, center_id); a final hash aggregate combines them, so a few rows for each of
+sum(k) centres cross the shuffle from a task and come back to the driver.
+A k that has converged drops out of the next round.  The plan does not grow across iterations: the centres
 are a few numbers in the task closure, not a chain of joins.
 
 Semantics (see SURVEY 2.5): ties go to the lowest ``center_id``; a centre
@@ -23,9 +24,12 @@ from math import sqrt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from locus.functions.centers import exponents, label_all, update_sums
+from locus.functions.celltree import build
+from locus.functions.centers import exact_centers, label_all, merged_sums, tree_update_sums, update_sums
 from locus.functions.distance import Center, nearest
 from locus.functions.sampling import seeded_rank
+from locus.runtime import discard, materialize, scratch_path
+from locus.sources.points import cache_points
 
 DEFAULT_MAX_ITER = 100
 DEFAULT_TOL = 1e-6
@@ -122,17 +126,13 @@ def assign_all_k(points: DataFrame, centers_by_k: Mapping[int, Sequence[Center]]
 # ------------------------------------------------------------ update (A1, A2)
 
 def update_centers(points: DataFrame, centers_by_k: Mapping[int, Sequence[Center]],
-                   x: str = "x", y: str = "y", weight: str | None = None,
-                   exps: tuple[int, int, int] | None = None) -> DataFrame:
-    """A1 + A2: new centre = weighted mean of its members; empty centres vanish.
+                   x: str = "x", y: str = "y", weight: str | None = None) -> DataFrame:
+    """A1 + A2: new centre = weighted mean of its members, the exact one rounded once; empty centres vanish.
 
-    Each task sums its points per (k, center_id) before the shuffle, so at
-    most sum(k) rows per task are exchanged, however skewed the clusters are.
+    Each task sums its points per (k, center_id) before the shuffle, so a few
+    rows per centre and task are exchanged, however skewed the clusters are.
     """
-    return (update_sums(points, centers_by_k, x, y, weight, exps)
-            .select("k", "center_id", (F.col("sx") / F.col("sw")).alias("cx"),
-                    (F.col("sy") / F.col("sw")).alias("cy"),
-                    F.col("sw").alias("weight")))
+    return update_sums(points, centers_by_k, x, y, weight).select("k", "center_id", "cx", "cy", F.col("sw").alias("weight"))
 
 
 # ------------------------------------------------------------ convergence
@@ -153,45 +153,81 @@ def converged(old: Sequence[Center], new: Sequence[Center], tol: float = DEFAULT
 
 # ------------------------------------------------------------- loop
 
+class CellRounds:
+    """The cached trees of a point set, and Lloyd rounds over them; one job a round.
+
+    Up to ``TASKS_PER_SUM`` tasks hand their sums to the driver as they are (a few rows for each of sum(k) centres from each).
+    The sums of more tasks are added up in Spark first, by one task for each ``TASKS_PER_SUM``.  That is one small shuffle;
+    adaptive execution would run it as two jobs, one to measure a few KB, so rounds are planned by a session of
+    their own without it, and the caller's session is left as it is.  The trees are a written table, so a lost executor reads its part again.
+    """
+
+    TASKS_PER_SUM = 64
+
+    def __init__(self, points: DataFrame, x: str, y: str, weight: str | None):
+        spark = points.sparkSession
+        self.path = scratch_path(spark, "cell-trees")
+        schema = materialize(build(points, x, y, weight), path=self.path).schema
+        self.session = spark.newSession()
+        self.session.conf.set("spark.sql.adaptive.enabled", "false")
+        self.trees = cache_points(self.session.read.schema(schema).parquet(self.path))
+        self.tasks = self.trees.rdd.getNumPartitions()
+        self.session.conf.set("spark.sql.shuffle.partitions", str(-(-self.tasks // self.TASKS_PER_SUM)))
+        #: Distance tests (of boxes and of points) made so far.
+        self.tests = 0
+
+    def update(self, centers: Mapping[int, Sequence[Center]]) -> dict[int, list[Center]]:
+        """One Lloyd update for every k: new centres by id (empty ones absent); a few rows for each of sum(k) centres come back."""
+        sums = tree_update_sums(self.trees, centers)
+        got = (sums if self.tasks <= self.TASKS_PER_SUM else merged_sums(sums)).toArrow()
+        rows = list(zip(*(got[c].to_pylist() for c in ("k", "center_id", "dim", "bin", "whole"))))
+        self.tests += sum(int(r[4]) for r in rows if r[0] < 0)
+        new: dict[int, list[Center]] = {}
+        for (k, cid), (_, _, _, cx, cy) in exact_centers(r for r in rows if r[0] >= 0).items():
+            new.setdefault(k, []).append((cid, cx, cy))
+        return new
+
+    def close(self) -> None:
+        self.trees.unpersist()
+        discard(self.session, self.path)
+
+
 def kmeans_sweep(points: DataFrame, inits: Mapping[int, Sequence[Center]],
                  max_iter: int = DEFAULT_MAX_ITER, tol: float = DEFAULT_TOL,
                  x: str = "x", y: str = "y", weight: str | None = None,
-                 keep_history: bool = False) -> dict[int, KMeansFit]:
-    """Run Lloyd's loop for every k at once; one aggregate job per iteration.
+                 keep_history: bool = False, stats: dict | None = None) -> dict[int, KMeansFit]:
+    """Run Lloyd's loop for every k at once; one job per iteration.
 
-    ``points`` should be cached by the caller (it is scanned once per round).
-    Returns, per k, the centres after the last update.
+    ``points`` is scanned once, into trees.  Returns, per k, the centres after the last update.  ``stats`` takes
+    the rounds and the distance tests made.
     """
     fits = {int(k): KMeansFit(int(k), [tuple(c) for c in cs]) for k, cs in inits.items()}
     active = {k for k, f in fits.items() if f.centers and max_iter > 0}
-    exps = exponents(points, x, y, weight) if active else None
-    while active:
-        centers = {k: fits[k].centers for k in active}
-        new = _round(points, centers, exps, x, y, weight)
-        for k in list(active):
-            fit = fits[k]
-            nxt = sorted(new.get(k, []))
-            fit.converged = converged(fit.centers, nxt, tol)
-            if keep_history:
-                fit.history.append(fit.centers)
-            fit.centers = nxt
-            fit.iterations += 1
-            if fit.converged or fit.iterations >= max_iter or not nxt:
-                active.discard(k)
+    if not active:
+        return fits
+    rounds = CellRounds(points, x, y, weight)
+    n_rounds = 0
+    try:
+        while active:
+            new = rounds.update({k: fits[k].centers for k in active})
+            n_rounds += 1
+            for k in list(active):
+                fit = fits[k]
+                nxt = sorted(new.get(k, []))
+                fit.converged = converged(fit.centers, nxt, tol)
+                if keep_history:
+                    fit.history.append(fit.centers)
+                fit.centers = nxt
+                fit.iterations += 1
+                if fit.converged or fit.iterations >= max_iter or not nxt:
+                    active.discard(k)
+    finally:
+        rounds.close()
+    if stats is not None:
+        stats.update(rounds=n_rounds, tests=rounds.tests)
     return fits
 
 
-def _round(points: DataFrame, centers: Mapping[int, Sequence[Center]], exps: tuple[int, int, int],
-           x: str, y: str, weight: str | None) -> dict[int, list[Center]]:
-    """One Lloyd update for every k: new centres by id (empty ones absent); sum(k) rows come back."""
-    new: dict[int, list[Center]] = {}
-    got = update_centers(points, centers, x, y, weight, exps).toArrow()
-    cols = (got[c].to_pylist() for c in ("k", "center_id", "cx", "cy"))
-    for k, cid, cx, cy in sorted(zip(*cols)):
-        new.setdefault(k, []).append((cid, cx, cy))
-    return new
-
-
 def kmeans(points: DataFrame, init: Sequence[Center], max_iter: int = DEFAULT_MAX_ITER,
            tol: float = DEFAULT_TOL, x: str = "x", y: str = "y",
            weight: str | None = None) -> KMeansFit:
