@@ -29,15 +29,24 @@ Closed form (SURVEY 2.6), with ``point_id`` = order of the input:
 from __future__ import annotations
 
 import math
+import sys
 from dataclasses import dataclass
+from functools import reduce
 
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
+from locus.operators import boxpairs as bp
 from locus.operators.components import connected_components
 from locus.operators.ids import with_sequential_id
 from locus.operators.joins import join_small
 from locus.runtime import materialize
 
+# Task closures call this module's functions; see functions.centers.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MODES = ("order", "canonical")
 
 
@@ -111,104 +120,179 @@ def eps_neighbors(points: DataFrame, eps: float, id_col: str = "point_id",
     return pairs.select(F.col("pid").alias("point_id"), F.col("qid").alias("nbr_id"))
 
 
-# ------------------------------------------------- links between core cells
-#
-# Two core cells are linked when some core point of one lies within eps of
-# some core point of the other.  Testing every cross-cell pair costs
-# |A| x |B| per cell pair, which is quadratic when dense cells sit side by
-# side.  Instead the question is settled on bounding boxes first, tier by
-# tier, and only what stays open goes to the next tier:
-#
-#   1. cell box vs cell box            (one row per neighbouring cell pair)
-#   2. sub-cell box vs sub-cell box    (SUB x SUB sub-cells: <= SUB^4 rows per pair)
-#   3. point vs sub-cell box           (a point times its open sub-cell partners)
-#   4. point vs point                  (only inside boxes still open)
+# ------------------------------------------------- the neighbour relation, compressed
 #
-# A box pair is "in" when even its farthest corners are within eps (so every
-# pair of points in it is), "out" when its nearest sides are farther than
-# eps.  Bounds are computed from the points' own min/max coordinates with the
-# same float operations as the point test, and rounding is monotone, so a box
-# verdict always agrees with the exact ``sqrt(dx*dx+dy*dy) <= eps`` test on
-# the points inside.  Tier 4 only sees pairs whose boxes straddle the eps
-# circle and whose cell pair no box has linked yet.
-
-SUB = 4
-_BOX = ("x0", "x1", "y0", "y1")
-
-
-def _box(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Bounding box of the points of each group (partial/final aggregate)."""
-    return df.groupBy(*keys).agg(F.min("x").alias("x0"), F.max("x").alias("x1"),
-                                 F.min("y").alias("y0"), F.max("y").alias("y1"))
-
+# The relation of n points in one hot cell has n * n rows.  Written as pairs of boxes of which every pair of points is within eps
+# (``blocks``) and the pairs that no block holds (``pairs``), the hot cell is one row.  Pairs of boxes are refined
+# (``operators.boxpairs``) while they are open and hold more than PAIRS pairs; what is left is tested point by point.
 
-def _verdict(a: str, b: str, eps: float) -> F.Column:
-    """1: every pair within eps; -1: none; 0: open.  ``a``/``b`` are column
-    prefixes of two boxes (a point is a box with x0 = x1, y0 = y1)."""
-    c = lambda name: F.col(name)
-    far_x = F.greatest(c(b + "x1") - c(a + "x0"), c(a + "x1") - c(b + "x0"))
-    far_y = F.greatest(c(b + "y1") - c(a + "y0"), c(a + "y1") - c(b + "y0"))
-    near_x = F.greatest(c(b + "x0") - c(a + "x1"), c(a + "x0") - c(b + "x1"), F.lit(0.0))
-    near_y = F.greatest(c(b + "y0") - c(a + "y1"), c(a + "y0") - c(b + "y1"), F.lit(0.0))
-    e = F.lit(float(eps))
-    return (F.when(F.sqrt(far_x * far_x + far_y * far_y) <= e, F.lit(1))
-            .when(F.sqrt(near_x * near_x + near_y * near_y) > e, F.lit(-1))
-            .otherwise(F.lit(0)))
+PAIRS = 1024
 
 
-def _sub_index(c: str, g: str, s: float) -> F.Column:
-    i = F.floor((F.col(c) - F.col(g) * F.lit(s)) / F.lit(s / SUB))
-    return F.least(F.greatest(i, F.lit(0)), F.lit(SUB - 1)).cast("int")
+@dataclass
+class EpsRelation:
+    """``points``: point_id, x, y, gx, gy; ``blocks``: level, gx, gy, sx, sy, ngx, ngy, nsx, nsy, na, nb;
+    ``pairs``: point_id, nbr_id.  Both directions and every point's pair with itself are held."""
+
+    points: DataFrame
+    blocks: DataFrame
+    pairs: DataFrame
+    levels: list[int]
+    side: float
+
+    def expand(self) -> DataFrame:
+        """(point_id, nbr_id): the relation itself."""
+        out = self.pairs
+        for level in self.levels:
+            at = bp.placed(self.points, self.side, level).select("point_id", *bp.FIRST)
+            out = out.unionByName(
+                self.blocks.filter(F.col("level") == level).join(at, list(bp.FIRST))
+                .join(at.withColumnsRenamed({"point_id": "nbr_id", **dict(zip(bp.FIRST, bp.SECOND))}), list(bp.SECOND))
+                .select("point_id", "nbr_id"))
+        return out
+
+    def counts(self) -> DataFrame:
+        """(point_id, n_neighbors), the point itself included: sums of the boxes' counts, no pair is made."""
+        parts = self.pairs.groupBy("point_id").agg(F.count("*").alias("n"))
+        for level in self.levels:
+            per_box = self.blocks.filter(F.col("level") == level).groupBy(*bp.FIRST).agg(F.sum("nb").alias("n"))
+            parts = parts.unionByName(
+                join_small(bp.placed(self.points, self.side, level), per_box, list(bp.FIRST)).select("point_id", "n"))
+        return parts.groupBy("point_id").agg(F.sum("n").alias("n_neighbors"))
+
+
+def eps_relation(points: DataFrame, eps: float, id_col: str = "point_id", x: str = "x", y: str = "y") -> EpsRelation:
+    """J2/D1 without its quadratic size.  Rows at one place are one point (their least id)."""
+    side = cell_side(eps)
+    pts = materialize(with_cells(points.groupBy(F.col(x).alias("x"), F.col(y).alias("y"))
+                                 .agg(F.min(id_col).alias("point_id")), eps), "eps-points")
+    cells = materialize(bp.boxes(pts, side, 0), "eps-cells")
+    reach = _explode_offsets(bp.as_first(cells), offsets(eps, include_self=True))
+    level = 0
+    todo = materialize(
+        reach.join(bp.as_second(cells), ["ngx", "ngy"]).withColumn("v", bp.verdict("a", "b", eps)).filter(F.col("v") >= 0), "eps-boxes")
+    block_cols = [*bp.FIRST, *bp.SECOND, "na", "nb"]
+    blocks, pairs, levels = [], [], []
+    while True:
+        levels.append(level)
+        blocks.append(todo.filter(F.col("v") == 1).select(F.lit(level).alias("level"), *block_cols))
+        open_pairs = todo.filter(F.col("v") == 0)
+        is_large = (F.col("na") * F.col("nb") > PAIRS) & F.lit(level < bp.MAX_LEVEL)
+        large, small = open_pairs.filter(is_large), open_pairs.filter(~is_large)
+        at = bp.placed(pts, side, level)
+        tested = (small.select(*bp.FIRST, *bp.SECOND)
+                  .join(at.select(F.col("point_id").alias("pid"), F.col("x").alias("px"), F.col("y").alias("py"), *bp.FIRST), list(bp.FIRST))
+                  .join(at.select(F.col("point_id").alias("qid"), F.col("x").alias("qx"), F.col("y").alias("qy"),
+                                  *[F.col(a).alias(b) for a, b in zip(bp.FIRST, bp.SECOND)]), list(bp.SECOND)))
+        pairs.append(tested.filter(_within(eps)).select(F.col("pid").alias("point_id"), F.col("qid").alias("nbr_id")))
+        if large.isEmpty():
+            break
+        todo = materialize(bp.refined(large, pts, side, level, eps), "eps-boxes")
+        level += 1
+    all_of = lambda parts, name: materialize(reduce(DataFrame.unionByName, parts), name)
+    return EpsRelation(pts, all_of(blocks, "eps-blocks"), all_of(pairs, "eps-pairs"), levels, side)
+
+
+def neighbor_counts(points: DataFrame, eps: float, id_col: str = "point_id", x: str = "x", y: str = "y") -> DataFrame:
+    """(point_id, n_neighbors) of every distinct place, itself included."""
+    return eps_relation(points, eps, id_col, x, y).counts()
 
 
-def core_links(core_n: DataFrame, eps: float) -> DataFrame:
-    """(src, dst) node pairs of neighbouring core cells that are linked.
+# ------------------------------------------------- links between core cells
+#
+# Two core cells are linked when some core point of one lies within eps of some core point of the other.  Testing every
+# pair of points costs |A| x |B|, quadratic when dense cells sit side by side.  Instead boxes settle it, level by level
+# (``operators.boxpairs``), and a pair of cells is done as soon as any pair of its boxes is in:
+#
+#   1. the boxes of neighbouring cells;
+#   2. boxes one level down, and again for pairs that hold more than LINK_POINTS points;
+#   3. the points of each side against the other side's box: those beyond eps of it drop out;
+#   4. what is left of a pair of boxes - at most LINK_POINTS points - goes to one task, which halves the larger side at its
+#      median until a pair is settled by its boxes or holds at most LINK_PAIRS pairs, nearest boxes first.
+
+LINK_POINTS, LINK_PAIRS = 1 << 16, 4096
+
+
+def nearest_within(a: np.ndarray, b: np.ndarray, eps: float, least: int = LINK_PAIRS) -> tuple[bool, int]:
+    """Whether some row (x, y) of ``a`` lies within ``eps`` of one of ``b``, and the pairs of points tested."""
+    tests = 0
+    stack = [(a, b)]
+    while stack:
+        a, b = stack.pop()
+        (ax0, ay0), (ax1, ay1), (bx0, by0), (bx1, by1) = a.min(0), a.max(0), b.min(0), b.max(0)
+        far = np.maximum(bx1 - ax0, ax1 - bx0), np.maximum(by1 - ay0, ay1 - by0)
+        near = max(bx0 - ax1, ax0 - bx1, 0.0), max(by0 - ay1, ay0 - by1, 0.0)
+        if np.sqrt(far[0] * far[0] + far[1] * far[1]) <= eps:
+            return True, tests
+        if np.sqrt(near[0] * near[0] + near[1] * near[1]) > eps:
+            continue
+        if len(a) * len(b) <= least:
+            tests += len(a) * len(b)
+            dx, dy = (np.subtract.outer(a[:, i], b[:, i]) for i in (0, 1))
+            if (np.sqrt(dx * dx + dy * dy) <= eps).any():
+                return True, tests
+            continue
+        if len(a) < len(b):
+            a, b = b, a
+        axis = int((a.max(0) - a.min(0)).argmax())
+        order = np.argpartition(a[:, axis], len(a) // 2)
+        halves = [(a[some], b) for some in (order[:len(a) // 2], order[len(a) // 2:])]
+        # The half whose middle is nearer to the other side is looked at first.
+        halves.sort(key=lambda h: -np.hypot(*(np.median(h[0], axis=0) - np.median(b, axis=0))))
+        stack += halves
+    return False, tests
+
+
+def core_links(core_n: DataFrame, eps: float, stats: dict | None = None) -> DataFrame:
+    """(src, dst) node pairs of neighbouring core cells that are linked; ``stats`` takes the pairs of points tested.
 
     ``core_n``: core points with ``point_id, x, y, gx, gy, node``.
     """
-    s = cell_side(eps)
-    nb = {"gx": "ngx", "gy": "ngy", "sx": "nsx", "sy": "nsy", "node": "dst"}
-
+    side, ends = cell_side(eps), ("src", "dst")
     # 1. cells
-    cells = _box(core_n, ["gx", "gy", "node"])
-    ca = cells.select("gx", "gy", F.col("node").alias("src"),
-                      *[F.col(k).alias("a" + k) for k in _BOX])
-    cb = cells.select(*[F.col(k).alias(v) for k, v in nb.items() if k in ("gx", "gy", "node")],
-                      *[F.col(k).alias("b" + k) for k in _BOX])
-    pairs = (_explode_offsets(ca, offsets(eps, half=True)).join(cb, ["ngx", "ngy"])
-             .withColumn("v", _verdict("a", "b", eps)).filter(F.col("v") >= 0))
-    pairs = materialize(pairs.select("gx", "gy", "ngx", "ngy", "src", "dst", "v"), "db-cell-pairs")
-    linked = pairs.filter(F.col("v") == 1).select("src", "dst")
-    open1 = pairs.filter(F.col("v") == 0).select("gx", "gy", "ngx", "ngy", "src", "dst")
-
-    # 2. sub-cells of the open cell pairs
-    subs = core_n.withColumn("sx", _sub_index("x", "gx", s)).withColumn("sy", _sub_index("y", "gy", s))
-    sbox = _box(subs, ["gx", "gy", "sx", "sy"])
-    sa = sbox.select("gx", "gy", "sx", "sy", *[F.col(k).alias("a" + k) for k in _BOX])
-    sb = sbox.select(*[F.col(k).alias(v) for k, v in nb.items() if k != "node"],
-                     *[F.col(k).alias("b" + k) for k in _BOX])
-    sp = (open1.join(sa, ["gx", "gy"]).join(sb, ["ngx", "ngy"])
-          .withColumn("v", _verdict("a", "b", eps)).filter(F.col("v") >= 0))
-    sp = materialize(sp.drop("ax0", "ax1", "ay0", "ay1"), "db-sub-pairs")
-    linked2 = sp.filter(F.col("v") == 1).select("src", "dst").distinct()
-    open2 = sp.filter(F.col("v") == 0).join(linked2, ["src", "dst"], "left_anti").drop("v")
-
-    # 3. points of an open sub-cell against the partner's box
-    pts = subs.select("gx", "gy", "sx", "sy", F.col("x").alias("px"), F.col("y").alias("py"))
-    pp = (open2.join(pts, ["gx", "gy", "sx", "sy"])
-          .withColumns({"ax0": F.col("px"), "ax1": F.col("px"), "ay0": F.col("py"), "ay1": F.col("py")})
-          .withColumn("v", _verdict("a", "b", eps)).filter(F.col("v") >= 0))
-    pp = materialize(pp.select("px", "py", "ngx", "ngy", "nsx", "nsy", "src", "dst", "v"),
-                     "db-point-box")
-    linked3 = pp.filter(F.col("v") == 1).select("src", "dst").distinct()
-    open3 = pp.filter(F.col("v") == 0).join(linked3, ["src", "dst"], "left_anti").drop("v")
-
-    # 4. point pairs left open
-    q = subs.select(F.col("gx").alias("ngx"), F.col("gy").alias("ngy"), F.col("sx").alias("nsx"),
-                    F.col("sy").alias("nsy"), F.col("x").alias("qx"), F.col("y").alias("qy"))
-    linked4 = (open3.join(q, ["ngx", "ngy", "nsx", "nsy"]).filter(_within(eps))
-               .select("src", "dst"))
-    return linked.unionByName(linked2).unionByName(linked3).unionByName(linked4).distinct()
+    nodes = core_n.groupBy("gx", "gy").agg(F.first("node").alias("node"))
+    cells = bp.boxes(core_n, side, 0).join(nodes, ["gx", "gy"])
+    level = 0
+    todo = materialize(
+        _explode_offsets(bp.as_first(cells).withColumnRenamed("node", "src"), offsets(eps, half=True))
+        .join(bp.as_second(cells).withColumnRenamed("node", "dst"), ["ngx", "ngy"])
+        .withColumn("v", bp.verdict("a", "b", eps)).filter(F.col("v") >= 0), "db-cell-pairs")
+    linked = [todo.filter(F.col("v") == 1).select(*ends)]
+    open_pairs = todo.filter(F.col("v") == 0)
+    # 2. boxes, level by level
+    while level == 0 or level < bp.MAX_LEVEL and not open_pairs.filter(F.col("na") + F.col("nb") > LINK_POINTS).isEmpty():
+        todo = materialize(bp.refined(open_pairs, core_n, side, level, eps, ends), "db-sub-pairs")
+        level += 1
+        linked.append(todo.filter(F.col("v") == 1).select(*ends).distinct())
+        open_pairs = todo.filter(F.col("v") == 0).join(linked[-1], list(ends), "left_anti")
+    # 3. points against boxes
+    at = bp.placed(core_n, side, level).select("x", "y", *bp.FIRST)
+    point = {"px0": F.col("x"), "px1": F.col("x"), "py0": F.col("y"), "py1": F.col("y")}
+    key = [*ends, *bp.FIRST, *bp.SECOND]
+
+    def near(box: str, own: tuple[str, ...]) -> DataFrame:
+        """The points of one side that may lie within eps of the other side's box."""
+        mine = at.withColumnsRenamed(dict(zip(bp.FIRST, own)))
+        return (open_pairs.select(*key, *[box + k for k in bp.BOX]).join(mine, list(own)).withColumns(point)
+                .withColumn("v", bp.verdict("p", box, eps)).filter(F.col("v") >= 0)
+                .select(*key, F.lit(box == "b").alias("first"), "x", "y", "v"))
+
+    points = materialize(near("b", bp.FIRST).unionByName(near("a", bp.SECOND)), "db-point-box")
+    linked.append(points.filter(F.col("v") == 1).select(*ends).distinct())
+    left = points.filter(F.col("v") == 0).join(linked[-1], list(ends), "left_anti").drop("v")
+
+    # 4. bounded groups
+    def test(group: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        xy, first = rows[["x", "y"]].to_numpy(np.float64), rows["first"].to_numpy(bool)
+        found, tests = nearest_within(xy[first], xy[~first], eps) if first.any() and not first.all() else (False, 0)
+        return pd.DataFrame({"src": [group[0]], "dst": [group[1]], "found": [found], "tests": [tests]})
+
+    kind = core_n.schema["node"].dataType.simpleString()
+    tested = materialize(left.groupBy(*key).applyInPandas(test, f"src {kind}, dst {kind}, found boolean, tests bigint"), "db-link-tests")
+    if stats is not None:
+        stats["tests"] = tested.agg(F.sum("tests")).first()[0] or 0
+    linked.append(tested.filter("found").select(*ends))
+    return reduce(DataFrame.unionByName, linked).distinct()
 
 
 @dataclass
@@ -239,13 +323,12 @@ def dbscan_parts(points: DataFrame, eps: float, min_pts: int, id_col: str = "poi
     # costs one row, not one row per point of the hot cell.
     sparse = pts.filter(F.col("n_cell") < min_pts)
     probe = _explode_offsets(_probe(sparse), offsets(eps))
-    dbox = (_box(pts.filter(F.col("n_cell") >= min_pts), ["gx", "gy", "n_cell"])
-            .select(F.col("gx").alias("ngx"), F.col("gy").alias("ngy"), F.col("n_cell").alias("n_b"),
-                    *[F.col(k).alias("b" + k) for k in _BOX]))
+    dense_cells = bp.as_second(bp.boxes(pts.filter(F.col("n_cell") >= min_pts), cell_side(eps), 0))
+    dbox = dense_cells.select("ngx", "ngy", F.col("nb").alias("n_b"), *["b" + k for k in bp.BOX])
     pb = (join_small(probe, dbox, ["ngx", "ngy"], "left")
           .withColumns({"ax0": F.col("px"), "ax1": F.col("px"), "ay0": F.col("py"), "ay1": F.col("py")})
           # 1: the whole dense cell is within eps; -1: none of it; 0: test pairs.
-          .withColumn("v", F.when(F.col("n_b").isNotNull(), _verdict("a", "b", eps)).otherwise(F.lit(0))))
+          .withColumn("v", F.when(F.col("n_b").isNotNull(), bp.verdict("a", "b", eps)).otherwise(F.lit(0))))
     pb = materialize(pb.filter(F.col("v") >= 0).select("pid", "px", "py", "ngx", "ngy", "n_b", "v"),
                      "db-probes")
     tested = (pb.filter(F.col("v") == 0).select("pid", "px", "py", "ngx", "ngy", "n_b")

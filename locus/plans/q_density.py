@@ -31,6 +31,16 @@ def eps_neighbors(spark, sf_dir):
     return db.eps_neighbors(_ptd(spark, sf_dir), EPS)
 
 
+def neighbor_counts(spark, sf_dir):
+    """The neighbours of every point, itself included, from the compressed relation."""
+    return db.neighbor_counts(_ptd(spark, sf_dir), EPS)
+
+
+def eps_relation_expanded(spark, sf_dir):
+    """The compressed relation, expanded."""
+    return db.eps_relation(_ptd(spark, sf_dir), EPS).expand()
+
+
 def dbscan_core_points(spark, sf_dir):
     """The core points.  Only the test count >= minPts is exact: points
     of dense cells are core without counting their cross-cell neighbours."""
@@ -79,6 +89,8 @@ def dbscan_summary(spark, sf_dir):
 
 QUERIES = {
     "eps_neighbors": eps_neighbors,
+    "neighbor_counts": neighbor_counts,
+    "eps_relation_expanded": eps_relation_expanded,
     "dbscan_core_points": dbscan_core_points,
     "dbscan_core_components": dbscan_core_components,
     "dbscan_clusters": dbscan_clusters,
@@ -113,6 +125,8 @@ _BASE = S.with_recursive(
 
 ORACLE = {
     "eps_neighbors": _BASE + "SELECT p AS point_id, q AS nbr_id FROM nb",
+    "neighbor_counts": _BASE + "SELECT p AS point_id, n AS n_neighbors FROM cnt",
+    "eps_relation_expanded": _BASE + "SELECT p AS point_id, q AS nbr_id FROM nb",
     "dbscan_core_points": _BASE + "SELECT p AS point_id FROM core",
     "dbscan_core_components": _BASE + "SELECT p AS point_id, seed FROM seed",
     "dbscan_clusters": _BASE + "SELECT mode, point_id, cluster_id, role FROM lab",
