@@ -180,14 +180,14 @@ def merged_sums(partials: DataFrame) -> DataFrame:
 
 def exact_centers(rows: Iterable[tuple]) -> dict[tuple[int, int], tuple[float, float, float, float, float]]:
     """(k, center_id) -> (sx, sy, sw, cx, cy) from merged rows: sums and means, each rounded once."""
-    bins: dict[tuple, dict[int, int]] = {}
+    bins: dict[tuple, list[list]] = {}
     for k, center_id, dim, b, whole in rows:
-        bins.setdefault((k, center_id), {}).setdefault(dim, []).append((b, whole))
+        bins.setdefault((k, center_id), [[], [], []])[dim].append((b, whole))
     out = {}
     for key, dims in sorted(bins.items()):
-        sx, sy, sw = (exact.total(dims.get(d, ())) for d in range(3))
-        if sw:
-            out[key] = tuple(map(exact.rounded, (sx, sy, sw, sx / sw, sy / sw)))
+        sx, sy, sw = map(exact.scaled, dims)
+        if sw[0]:
+            out[key] = (*map(exact.ratio, (sx, sy, sw)), exact.ratio(sx, sw), exact.ratio(sy, sw))
     return out
 
 
@@ -244,7 +244,7 @@ def sums_by_k(points: DataFrame, cols: list[str], ks: Sequence[int], terms) -> D
     def put_together(batches):
         for rb in batches:
             for r in rb.to_pylist():
-                value = exact.rounded(exact.total((e["bin"], e["whole"]) for e in r["sums"]))
+                value = exact.ratio(exact.scaled((e["bin"], e["whole"]) for e in r["sums"]))
                 yield pa.RecordBatch.from_arrays([pa.array([r["k"]], pa.int32()), pa.array([value]), pa.array([r["max_d2"]])],
                                                  ["k", "wcss", "max_d2"])
 

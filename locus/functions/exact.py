@@ -11,9 +11,9 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterable
+from fractions import Fraction
 
 import numpy as np
-from fractions import Fraction
 from pyspark import cloudpickle
 from pyspark.sql import Column, functions as F
 
@@ -85,20 +85,28 @@ class Sums:
                 yield b, has, sums[has]
 
 
+def scaled(bins: Iterable[tuple[int, int]]) -> tuple[int, int]:
+    """(n, low): the exact value of (bin, sum) pairs is n * 2^(GRID low)."""
+    bins = list(bins)
+    low = min((b for b, _ in bins), default=0)
+    return sum(int(n) << GRID * (b - low) for b, n in bins), low
+
+
 def total(bins: Iterable[tuple[int, int]]) -> Fraction:
-    """The exact value of (bin, sum) pairs."""
-    out = Fraction(0)
-    for b, n in bins:
-        out += Fraction(int(n)) * Fraction(2) ** (GRID * b)
-    return out
+    n, low = scaled(bins)
+    return Fraction(n << GRID * low) if low >= 0 else Fraction(n, 1 << -GRID * low)
 
 
-def rounded(value: Fraction) -> float:
-    """The nearest double; beyond the largest one, infinity."""
+def ratio(a: tuple[int, int], b: tuple[int, int] = (1, 0)) -> float:
+    """The double nearest to a / b (both as ``scaled`` gives them); beyond the largest one, infinity."""
+    (n, low), (m, base) = a, b
+    shift = GRID * (low - base)
+    n, m = (n << shift, m) if shift >= 0 else (n, m << -shift)
     try:
-        return float(value)
+        # Python divides whole numbers of any size with one rounding.
+        return n / m
     except OverflowError:
-        return float("inf") if value > 0 else float("-inf")
+        return float("inf") if (n > 0) == (m > 0) else float("-inf")
 
 
 def summed(c: str) -> Column:

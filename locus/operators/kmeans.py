@@ -166,6 +166,9 @@ class CellRounds:
 
     def __init__(self, points: DataFrame, x: str, y: str, weight: str | None):
         spark = points.sparkSession
+        # A point set in fewer partitions than there are cores is dealt out once.
+        if points.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
+            points = points.repartition(spark.sparkContext.defaultParallelism)
         self.path = scratch_path(spark, "cell-trees")
         schema = materialize(build(points, x, y, weight), path=self.path).schema
         self.session = spark.newSession()
