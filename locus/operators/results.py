@@ -95,9 +95,10 @@ def results_long(clean: DataFrame, round_to: int | None = None) -> DataFrame:
 
 def speedup_vs_baseline(long: DataFrame) -> DataFrame:
     """Sequential mean of the same dataset and algorithm / mean, for the
-    non-distributed rows."""
+    non-distributed rows.  Of several sequential rows the one with the fewest managers, workers and cores counts, then the least mean."""
+    least = F.struct(*[F.coalesce(c, F.lit(-1)) for c in ("managers", "workers", "cores")], "mean")
     base = (long.filter(F.col("scenario") == SEQUENTIAL)
-            .groupBy("algorithm", "dataset").agg(F.first("mean").alias("seq_mean")))
+            .groupBy("algorithm", "dataset").agg(F.min_by("mean", least).alias("seq_mean")))
     rows = long.filter(F.col("scenario") != DISTRIBUTED)
     return (join_small(rows, base, ["algorithm", "dataset"])
             .withColumn("speedup", F.col("seq_mean") / F.col("mean"))

@@ -113,6 +113,21 @@ def geo_polygon_normalize(spark, sf_dir):
     return geo.vertices(provinces(spark, sf_dir))
 
 
+def geo_collection_normalize(spark, sf_dir):
+    """S4 + J5: the same features as FeatureCollection documents, read by split."""
+    path = scratch_path(spark, "collection")
+    geojson.write_collections(build_features(feature_vertices(spark, sf_dir)), path)
+    return geo.vertices(geo.first_per_province(geojson.read_regions(spark, path, collection=True)))
+
+
+def geo_province_sink_roundtrip(spark, sf_dir):
+    """The points of every province, shifted to its origin, in a folder for each region and province, and read back."""
+    path = scratch_path(spark, "province-points")
+    rp = geo.region_points(_pt_lonlat(spark, sf_dir), provinces(spark, sf_dir))
+    P.write_points(rp.select("reg_name", "prov_name", "point_id", "x", "y"), path, ["reg_name", "prov_name"])
+    return spark.read.option("header", True).schema("point_id BIGINT, x DOUBLE, y DOUBLE, reg_name STRING, prov_name STRING").csv(path)
+
+
 def geo_region_provinces(spark, sf_dir):
     return geo.region_provinces(regions(spark, sf_dir))
 
@@ -183,6 +198,8 @@ QUERIES = {
     "origin_shift_global": origin_shift_global,
     "origin_shift_by_group": origin_shift_by_group,
     "geo_polygon_normalize": geo_polygon_normalize,
+    "geo_collection_normalize": geo_collection_normalize,
+    "geo_province_sink_roundtrip": geo_province_sink_roundtrip,
     "geo_region_provinces": geo_region_provinces,
     "geo_point_in_polygon": geo_point_in_polygon,
     "geo_region_points": geo_region_points,
@@ -246,6 +263,8 @@ SELECT p_partkey, p_brand, x - min(x) OVER (PARTITION BY p_brand) AS x, y - min(
 FROM (SELECT p_partkey, p_brand, CAST(CAST(p_size * 1000 AS BIGINT) AS DOUBLE) AS x,
              CAST(CAST(round((p_retailprice - 900) * 500) AS BIGINT) AS DOUBLE) AS y FROM part) t""",
     "geo_polygon_normalize": _GEO + "SELECT * FROM vert",
+    "geo_collection_normalize": _GEO + "SELECT * FROM vert",
+    "geo_province_sink_roundtrip": _GEO + "SELECT reg_name, prov_name, point_id, x, y FROM rp",
     "geo_region_provinces": _GEO + "SELECT DISTINCT reg_name, prov_name FROM feat",
     "geo_point_in_polygon": _GEO + "SELECT prov_name, point_id FROM pip",
     "geo_region_points": _GEO + "SELECT * FROM rp",

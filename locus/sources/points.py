@@ -9,9 +9,14 @@ k (or per province) is written by the executors, never by the driver.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from locus.operators.joins import join_small
+
 PREPARED_SCHEMA = T.StructType(
     [
         T.StructField("longitude", T.DoubleType()),
@@ -86,10 +91,29 @@ def cache_points(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+#: Rows of a file of a folder.
+FILE_ROWS = 1_000_000
+
+
+def clustered(df: DataFrame, groups: list[str], file_rows: int = FILE_ROWS) -> DataFrame:
+    """``df`` dealt so that every group is written by ceil(its rows / file_rows) tasks at most, however many tasks there are.
+
+    The rows of a group are counted first; a group larger than a file is dealt over as many salts, by a hash of the whole row and its
+    task, so neither a group that holds a third of the rows nor copies of one row make a hot task.
+    """
+    keys = [F.col(f"`{c}`") for c in groups]
+    counts = df.groupBy(*keys).agg(F.ceil(F.count("*") / F.lit(file_rows)).alias("_files")).select(
+        *[k.alias(f"_g{i}") for i, k in enumerate(keys)], "_files")
+    on = reduce(and_, [k.eqNullSafe(F.col(f"_g{i}")) for i, k in enumerate(keys)])
+    hashed = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], F.spark_partition_id())
+    dealt = join_small(df, counts, on, "left").withColumn("_salt", F.pmod(hashed, F.col("_files")))
+    return dealt.repartition(*[F.col(f"_g{i}") for i in range(len(groups))], "_salt").select(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def write_points(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                 fmt: str = "csv") -> None:
-    """Header CSV (or parquet), optionally one folder per group."""
-    w = df.write.mode("overwrite")
+                 fmt: str = "csv", file_rows: int = FILE_ROWS) -> None:
+    """Header CSV (or parquet), optionally one folder per group with as few files as its rows need."""
+    w = (clustered(df, partition_by, file_rows) if partition_by else df).write.mode("overwrite")
     if fmt == "csv":
         w = w.option("header", True)
     if partition_by:
@@ -97,9 +121,9 @@ def write_points(df: DataFrame, path: str, partition_by: list[str] | None = None
     w.format(fmt).save(path)
 
 
-def write_assignments(assignments: DataFrame, path: str) -> None:
+def write_assignments(assignments: DataFrame, path: str, file_rows: int = FILE_ROWS) -> None:
     """One folder per k of ``x,y,cx,cy`` lines without a header."""
-    (assignments.select("k", "x", "y", "cx", "cy")
+    (clustered(assignments.select("k", "x", "y", "cx", "cy"), ["k"], file_rows)
      .write.mode("overwrite").partitionBy("k").option("header", False).csv(path))
 
 
