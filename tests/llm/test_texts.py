@@ -237,6 +237,27 @@ def test_pipeline_stages_hand_on_documents(spark, tmp_path):
     assert {r["doc_id"] for r in whole.collect()} == {r["doc_id"] for r in kept["pii"]}
 
 
+def test_pipeline_keeps_columns_whatever_their_names(spark, tmp_path):
+    import corpus_pipeline
+
+    extra = ["score", "kept", "sanitised", "base", "terms", "_text_hash", "_hash", "_id", "a.b", "component", "root", "document_rest", "c0"]
+    docs = frame(spark).withColumns({f"x{i}": F.lit(i) for i in range(len(extra))}).withColumnsRenamed(
+        {f"x{i}": c for i, c in enumerate(extra)})
+    spark.createDataFrame([(i, 1, int(i == 4)) for i in range(9)], "doc_id BIGINT, quality INT, toxic INT") \
+        .write.parquet(str(tmp_path / "labels.parquet"))
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, str(tmp_path))
+        if name != "packing":
+            assert docs.columns == columns
+            docs.write.parquet(str(tmp_path / name))
+            docs = spark.read.parquet(str(tmp_path / name))
+            for i, c in enumerate(extra):
+                assert {r[0] for r in docs.select(F.col(f"`{c}`")).distinct().collect()} == {i}
+            assert docs.filter("n_chars <> length(text)").isEmpty()
+    assert docs.count() > 0
+
+
 def test_pipeline_of_nothing(spark, tmp_path):
     import corpus_pipeline
 
