@@ -183,7 +183,9 @@ def points_in_polygons(points: DataFrame, regions: DataFrame, id_col: str = "poi
     if carry:
         bbox = bbox.join(regions.select("prov_name", *carry), "prov_name")
     out = [F.col("pid").alias(id_col), *carry, *([F.col("px").alias(lon), F.col("py").alias(lat)] if carry else [])]
-    boxes = materialize(box_cells(bbox), "geo-boxes")
+    # One row a province, written once: the grid cells, the levels and the bands are made from it.
+    bbox = materialize(bbox, "geo-boxes")
+    boxes = box_cells(bbox)
     # One number for each power of two among the boxes' sizes.
     levels = sorted(r["level"] for r in boxes.select("level").distinct().collect())
     band = lambda y: F.floor((F.col(y) - F.col("by0")) / F.col("band_height"))
