@@ -321,12 +321,16 @@ def cell_farthest_partials(points: DataFrame, centers: Sequence[Center], grid: t
     """Per task and grid cell: the point farthest from its nearest centre
     (lowest id on ties) and the bounding box of the cell's points.
 
-    ``grid`` = (gx0, gy0, width, height, n): an n x n grid over the data's box;
-    at most n*n rows per task, whatever the data size.
+    ``grid`` = (x edges, y edges), n - 1 of each for n x n cells, the outer ones open; or (gx0, gy0, width, height, n): n x n
+    equal cells over a box.  At most n*n rows per task, whatever the data size.
     """
     cx = np.array([c[1] for c in centers], dtype=np.float64)
     cy = np.array([c[2] for c in centers], dtype=np.float64)
-    gx0, gy0, gw, gh, n = grid
+    if len(grid) == 5:
+        gx0, gy0, gw, gh, n = grid
+        grid = gx0 + gw * np.arange(1, n) / n, gy0 + gh * np.arange(1, n) / n
+    x_edges, y_edges = grid
+    n = len(x_edges) + 1
     out_schema = pa.schema([("cell", pa.int32()), ("i", pa.int64()), ("x", pa.float64()),
                             ("y", pa.float64()), ("d2", pa.float64()), ("x0", pa.float64()),
                             ("x1", pa.float64()), ("y0", pa.float64()), ("y1", pa.float64())])
@@ -344,8 +348,8 @@ def cell_farthest_partials(points: DataFrame, centers: Sequence[Center], grid: t
             xs, ys, _ = _arrow_cols(rb, x, y, None)
             ids = rb.column(id_col).to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
             d2 = np_d2(xs, ys, cx, cy).min(axis=1)
-            ci = np.clip(((xs - gx0) / gw * n).astype(np.int64), 0, n - 1)
-            cj = np.clip(((ys - gy0) / gh * n).astype(np.int64), 0, n - 1)
+            ci = np.searchsorted(x_edges, xs, side="right")
+            cj = np.searchsorted(y_edges, ys, side="right")
             cell = ci * n + cj
             for slot, fold, v in ((0, np.minimum, xs), (1, np.maximum, xs), (2, np.minimum, ys), (3, np.maximum, ys)):
                 fold.at(box[slot], cell, v)

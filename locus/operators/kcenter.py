@@ -75,6 +75,20 @@ class TraversalStep:
 GRID = 128  # cells per side of the summary grid: at most GRID^2 rows per job
 
 
+#: Part of the points beyond the grid's equal cells on each side of an axis, and the accuracy (1 / error) of the quantiles that bound them.
+OUTER, ACCURACY = 0.002, 2000
+
+
+def grid_edges(points: DataFrame, x: str, y: str) -> tuple[np.ndarray, np.ndarray]:
+    """GRID - 1 edges of each axis: equal cells between two quantiles, and an open one beyond each.
+
+    So far outliers stand in cells of their own and don't make the others coarse.  The edges only decide how many steps a
+    job certifies, not which.
+    """
+    ends = points.agg(*[F.percentile_approx(c, [OUTER, 1 - OUTER], ACCURACY) for c in (x, y)]).first()
+    return tuple(np.linspace(lo, hi, GRID - 1) for lo, hi in ends)
+
+
 def cell_summaries(points: DataFrame, centers: list[Center], grid: tuple,
                    id_col: str = "point_id", x: str = "x", y: str = "y") -> dict[str, np.ndarray]:
     """One job: per grid cell, its farthest point from ``centers`` (lowest id
@@ -129,7 +143,7 @@ def kcenter_traversal(points: DataFrame, k: int, first_id: int | None = 1,
     """Farthest-first traversal to ``k`` centres (fewer if points run out).
 
     Each Spark job summarises the points per grid cell (farthest point from
-    the current centres, bounding box); the driver then takes as many
+    the current centres, bounding box; ``grid_edges``); the driver then takes as many
     further steps as the summaries certify (``_certified_steps``) before the
     next job.  Exact: a step that cannot be certified is never guessed.
     """
@@ -139,10 +153,7 @@ def kcenter_traversal(points: DataFrame, k: int, first_id: int | None = 1,
     steps = [TraversalStep(1, start[0], start[1], start[2], 0.0)]
     if k <= 1:
         return steps
-    box = points.agg(F.min(x), F.max(x), F.min(y), F.max(y)).first()
-    gw = max(float(box[1]) - float(box[0]), 1e-300)
-    gh = max(float(box[3]) - float(box[2]), 1e-300)
-    grid = (float(box[0]), float(box[2]), gw, gh, GRID)
+    grid = grid_edges(points, x, y)
     while len(steps) < k:
         base = [(s.rank, s.x, s.y) for s in steps]
         cells = cell_summaries(points, base, grid, id_col, x, y)

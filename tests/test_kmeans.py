@@ -122,6 +122,25 @@ def test_certified_traversal_matches_brute_force(spark, seed):
     assert got == _brute_traversal(pts, 25)
 
 
+@pytest.mark.parametrize("far", [[(5e8, -3e8)], [(5e8, 0.0), (-9e8, 4e8), (7.0, 6e9)]])
+def test_far_outliers_cost_no_more_jobs(spark, monkeypatch, far):
+    rnd = random.Random(6)
+    pts = [(rnd.randint(0, 1000), rnd.randint(0, 1000)) for _ in range(3000)]
+    jobs, real = [], kc.cell_summaries
+
+    def counted(*args, **kw):
+        jobs[-1] += 1
+        return real(*args, **kw)
+
+    monkeypatch.setattr(kc, "cell_summaries", counted)
+    for cloud in (pts, pts + far):
+        jobs.append(0)
+        got = [s.point_id for s in kc.kcenter_traversal(points_df(spark, cloud), 20 + len(cloud) - len(pts))]
+        assert got == _brute_traversal(cloud, 20 + len(cloud) - len(pts))
+    # Picking an outlier takes its cell's summary with it: a job each at most.
+    assert jobs[1] <= jobs[0] + len(far)
+
+
 def test_sums_do_not_depend_on_partitions(spark):
     # Random doubles of very different size, weighted: the same bits however the rows are split.
     rnd = random.Random(11)
