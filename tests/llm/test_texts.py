@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -137,6 +138,40 @@ def test_context_goes_past_other_matches(spark):
     assert all("Xylophon" not in out[10 + i] and out[10 + i].count("[EMAIL]") == 2 for i in range(6))
 
 
+def test_marks_against_brute_force(spark):
+    # Spans that overlap, touch and stand at both ends, in texts longer than several blocks.
+    rng = random.Random(21)
+    rows_, want = [], {}
+    for i in range(150):
+        n = rng.choice([0, 1, 255, 256, 257, 700, 3000])
+        text = "".join(rng.choice("aé😀 \n0") for _ in range(n))
+        spans = sorted({(s, min(n, s + rng.randint(1, 300)), rng.choice(["email", "gone"])) for s in
+                        (rng.randint(0, max(n - 1, 0)) for _ in range(rng.choice([0, 1, 2, 9, 40])))}) if n else []
+        out, p = "", 0
+        for s, e, k in spans:
+            if s >= p:
+                out += text[p:s] + ("" if k == "gone" else "[EMAIL]")
+            p = max(p, e)
+        want[i] = out + text[p:]
+        rows_.append((i, text, spans))
+    df = spark.createDataFrame(rows_, "i int, t string, x array<struct<s:int,e:int,kind:string>>")
+    assert {r["i"]: r["m"] for r in df.select("i", pii.masked(F.col("t"), F.col("x")).alias("m")).collect()} == want
+
+
+def test_running_sums(spark):
+    rows_ = [(list(range(n)),) for n in (0, 1, 2, 3, 4, 5, 8, 9, 10, 99, 100, 101)]
+    df = spark.createDataFrame(rows_, "v array<int>").select("v", pii.running(F.col("v"), pii.added, 0).alias("s"))
+    assert all(r["s"] == [i * (i + 1) // 2 for i in r["v"]] for r in df.collect())
+
+
+def test_a_text_of_many_numbers_takes_no_longer_a_byte(spark):
+    text = "".join(f"{i % 9973} a{i}@b.cd " for i in range(70_000))  # 1.1 MB, 140,000 matches
+    start = time.monotonic()
+    r = pii.sanitise(frame(spark, [(1, text)])).select(F.size("base").alias("n"), F.length("sanitised").alias("l")).first()
+    assert r["n"] == 70_000 and time.monotonic() - start < 60  # appending to one array grows with its square
+    assert r["l"] == len(re.sub(PATTERNS["email"], "[EMAIL]", text))
+
+
 # --- Order MinHash
 
 def xx(data, seed=42):
