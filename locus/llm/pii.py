@@ -12,8 +12,9 @@ have an entity, a term, or the term next to the entity, and N all texts:
 
 that is pointwise mutual information as a share of the entity's information: 1 means that the term
 occurs with this entity only.  A term with at least ``SUPPORT`` texts next to an entity that
-discloses more than ``GENERALISE`` of it is replaced by a general word next to that entity; one that
-discloses more than ``REMOVE`` is taken out.
+discloses more than ``GENERALISE`` of it is replaced by a general word wherever it stands in a text that
+holds the entity; one that discloses more than ``REMOVE`` is taken out.  Cards and phones are the same entity if their
+digits are.
 
 All of it is DataFrame functions.  Patterns are written so that matching is linear: a run of the
 leading class is entered at its start only (or where the last match ended).  Positions come
@@ -151,18 +152,23 @@ def ordered(spans: Column) -> Column:
 
 
 def terms(side: str, x: Column) -> Column:
-    """Words next to a span, in lower case with their places; a word cut off by the window is left out."""
+    """Words next to a span, in lower case, with what it names; a word cut off by the window is left out."""
     text = x[side]
-    offset = x["s"] - F.length(text) if side == "l" else x["e"]
     cut = F.length(text) == CONTEXT
     whole = (lambda w: ~cut | (w["s"] > 0)) if side == "l" else (lambda w: ~cut | (w["e"] < CONTEXT))
     return F.transform(F.filter(found(text, WORD, "term"), whole), lambda w: F.struct(
-        (offset + w["s"]).alias("s"), (offset + w["e"]).alias("e"), F.lower(w["m"]).alias("term"),
-        F.concat_ws(":", x["kind"], F.lower(x["m"])).alias("entity")))
+        F.lower(w["m"]).alias("term"), entity(x).alias("entity")))
 
 
-def disclosing(near: DataFrame, texts: DataFrame) -> DataFrame:
-    """(entity, term, share): the terms next to an entity that disclose more than ``GENERALISE`` of it."""
+def entity(x: Column) -> Column:
+    """What a span names: cards and phones by their digits, however they are written; others in lower case."""
+    name = F.when(x["kind"].isin("card", "phone"), digits(x["m"])).otherwise(F.lower(x["m"]))
+    return F.concat_ws(":", x["kind"], name)
+
+
+def disclosing(near: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(entity, term, share): the terms next to an entity that disclose more than ``GENERALISE`` of it; and
+    (term, h1, h2): the texts with a term that may."""
     n = texts.select("h1", "h2").distinct().count()
     entities = (near.select("entity", "h1", "h2").distinct().groupBy("entity").agg(F.count("*").alias("ce"))
                 .filter(F.col("ce") >= SUPPORT))
@@ -181,13 +187,14 @@ def disclosing(near: DataFrame, texts: DataFrame) -> DataFrame:
     bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(BUCKETS))
     # At most BUCKETS rows, whatever the corpus.
     buckets = F.broadcast(wanted.select(bucket("term").alias("bucket")).distinct())
-    words = (texts.select("h1", "h2", F.explode(F.array_distinct(F.regexp_extract_all(
-        F.lower("text"), F.lit(WORD), F.lit(0)))).alias("term"))
+    words = (texts.select("h1", "h2", F.explode(F.array_distinct(F.transform(F.regexp_extract_all(
+        "text", F.lit(WORD), F.lit(0)), F.lower))).alias("term"))
         .withColumn("bucket", bucket("term")).join(buckets, "bucket", "left_semi").select("term", "h1", "h2").distinct())
-    counts = words.groupBy("term").agg(F.count("*").alias("ct")).join(wanted, "term", "left_semi")
-    counts = materialize(counts, "pii-counts")
-    return (both.join(counts, "term").withColumn("share", share("ct")).filter(F.col("share") > GENERALISE)
-            .select("entity", "term", "share"))
+    words = materialize(words.join(wanted, "term", "left_semi"), "pii-words")
+    counts = words.groupBy("term").agg(F.count("*").alias("ct"))
+    share = (both.join(counts, "term").withColumn("share", share("ct")).filter(F.col("share") > GENERALISE)
+             .select("entity", "term", "share"))
+    return share, words
 
 
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
@@ -201,12 +208,19 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ca
     rows = rows.withColumn("h1", F.xxhash64("text")).withColumn("h2", F.xxhash64(F.lit(2), "text"))
     marked = rows.withColumn("base", base_spans(F.col("text")))
 
-    # Next to entities; texts that are equal stand for one.
-    near = (marked.filter(F.size("base") > 0).select("h1", "h2", F.explode(F.flatten(F.transform("base", lambda x: F.concat(
-        terms("l", x), terms("r", x))))).alias("t")).select("h1", "h2", "t.*").distinct())
-    near = materialize(near, "pii-near")
-    share = materialize(disclosing(near, rows.select("text", "h1", "h2")), "pii-share")
-    cuts = (near.join(share, ["entity", "term"]).groupBy("h1", "h2", "s", "e").agg(F.max("share").alias("share"))
+    # What texts hold and what stands next to it; texts that are equal stand for one.
+    spans = materialize(marked.filter(F.size("base") > 0).select("h1", "h2", "base"), "pii-spans")
+    near = materialize(spans.select("h1", "h2", F.explode(F.flatten(F.transform("base", lambda x: F.concat(
+        terms("l", x), terms("r", x))))).alias("t")).select("h1", "h2", "t.*").distinct(), "pii-near")
+    held = spans.select("h1", "h2", F.explode(F.transform("base", entity)).alias("entity")).distinct()
+    share, words = disclosing(near, rows.select("text", "h1", "h2"))
+    # A text with the entity loses the term wherever it stands, not only next to the entity.
+    lost = materialize(words.join(materialize(share, "pii-share"), "term").join(held, ["h1", "h2", "entity"])
+                       .groupBy("h1", "h2", "term").agg(F.max("share").alias("share")), "pii-lost")
+    places = (rows.join(lost.select("h1", "h2").distinct(), ["h1", "h2"], "left_semi")
+              .select("h1", "h2", F.explode(found(F.col("text"), WORD, "term")).alias("w"))
+              .select("h1", "h2", "w.s", "w.e", F.lower("w.m").alias("term")).distinct())
+    cuts = (places.join(lost, ["h1", "h2", "term"])
             .withColumn("kind", F.when(F.col("share") > REMOVE, "gone").otherwise("term"))
             .groupBy(F.col("h1").alias("k1"), F.col("h2").alias("k2"))
             .agg(F.array_sort(F.collect_list(F.struct("s", "e", "kind"))).alias("terms")))

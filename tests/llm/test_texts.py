@@ -8,6 +8,7 @@ import time
 import zlib
 
 import numpy as np
+import regex
 import xxhash
 from pyspark.sql import functions as F
 
@@ -120,13 +121,84 @@ def test_terms_that_disclose(spark):
     pairs += [(500 + i, "plain zanzibar") for i in range(90)]
     out = {r["doc_id"]: r for r in pii.sanitise(frame(spark, pairs), carry=["h1", "row"]).collect()}
     assert "zanzibar" not in out[0]["sanitised"] and "[EMAIL]" in out[0]["sanitised"] and "often" in out[0]["sanitised"]
-    assert len(out[0]["terms"]) == 1
+    assert [t["kind"] for t in out[0]["terms"]] == ["gone"]
     assert out[10]["sanitised"].count("[TERM]") == 1 and "mostly" not in out[10]["sanitised"]
     assert out[400]["terms"] == [] and out[400]["sanitised"] == "quokka [EMAIL] wombat"
     assert all(out[i]["sanitised"] == dict(pairs)[i] for i in range(50, 300))
     assert out[0]["h1"] == "clash"
 
 
+def entities_of(text):
+    """(place, end, entity) by plain patterns."""
+    for k, p in PATTERNS.items():
+        for m in re.finditer(p, text):
+            if fine(k, m[0]):
+                yield m.start(), m.end(), (k, re.sub("[^0-9]", "", m[0]) if k in ("card", "phone") else m[0].lower())
+
+
+def brute_terms(texts):
+    """The marked words of each text: shares over distinct texts, marks wherever a term stands beside its entity's text."""
+    word = regex.compile(r"\p{L}{3,}")
+    near, holds, has = {}, {}, {}
+    for t in set(texts):
+        for w in word.findall(t):
+            has.setdefault(w.lower(), set()).add(t)
+        for s, e, x in entities_of(t):
+            holds.setdefault(x, set()).add(t)
+            for w in word.finditer(t):
+                if (s - pii.CONTEXT <= w.start() and w.end() <= s) or (e <= w.start() and w.end() <= e + pii.CONTEXT):
+                    # A word that touches the edge of the window may go on beyond it.
+                    if w.start() > s - pii.CONTEXT or w.start() == 0:
+                        if w.end() < e + pii.CONTEXT or w.end() == len(t):
+                            near.setdefault((x, w[0].lower()), set()).add(t)
+    # An entity counts if it has a word beside it.
+    n, beside = len(set(texts)), {}
+    for (x, _), where in near.items():
+        beside.setdefault(x, set()).update(where)
+    shares = {}
+    for (x, w), where in near.items():
+        ce, cet = len(beside[x]), len(where)
+        if ce >= pii.SUPPORT and cet >= pii.SUPPORT and ce < n:
+            shares[x, w] = math.log2(n * cet / (len(has[w]) * ce)) / math.log2(n / ce)
+    out = []
+    for t in texts:
+        lost = {}
+        for (x, w), v in shares.items():
+            if v > pii.GENERALISE and t in holds[x]:
+                lost[w] = max(v, lost.get(w, 0))
+        out.append([(m.start(), m.end(), "gone" if lost[m[0].lower()] > pii.REMOVE else "term")
+                    for m in word.finditer(t) if m[0].lower() in lost])
+    return out, shares
+
+
+def test_marked_terms_against_brute_force(spark):
+    rng = random.Random(31)
+    people = ["ann@x.com", "Bob@Y.org", "4111 1111 1111 1111", "+1 (377) 555-0271", "10.1.2.3"]
+    other = {"4111 1111 1111 1111": "4111-1111 11111111", "+1 (377) 555-0271": "+1 377-5550271", "Bob@Y.org": "bob@y.org"}
+    names = [f"name{c}".replace("name", "Zeta") for c in "abcdefghijklmno"]
+    texts = []
+    for i in range(400):
+        if i % 3:
+            texts.append(f"{prose(rng, 14)} {' '.join(rng.sample(names, 1)) if rng.random() < 0.25 else ''} {prose(rng, 4)}")
+            continue
+        p = rng.randrange(len(people))
+        own = [n.upper() if rng.random() < 0.2 else n for n in names[3 * p:3 * p + 3] if rng.random() < 0.6]
+        who = other.get(people[p], people[p]) if rng.random() < 0.4 else people[p]
+        far = f"{prose(rng, 20)} {rng.choice(own)}" if own and rng.random() < 0.5 else ""
+        texts.append(f"{prose(rng, 6)} {' '.join(own)} {who}, {prose(rng, 6)} {far}")
+    # Names of one person only, and in ever more texts without the person.
+    for j, n in enumerate(["Omega", "Sigma", "Kappa", "Theta", "Lambda"]):
+        texts += [f"{prose(rng, 5)} {n} eve{j}@z.net {prose(rng, 12)} {n} {prose(rng, 3)}" for _ in range(6)]
+        texts += [f"{prose(rng, 9)} {n} {prose(rng, 9)}" for _ in range(4 * j)]
+    texts += texts[:40]
+    want, shares = brute_terms(texts)
+    got = pii.sanitise(frame(spark, list(enumerate(texts)))).select("doc_id", "terms").collect()
+    assert {r["doc_id"]: [tuple(x) for x in r["terms"]] for r in got} == dict(enumerate(want))
+    kinds = [k for w in want for _, _, k in w]
+    assert kinds.count("gone") > 20 and kinds.count("term") > 5
+    assert sum(0.5 < v <= pii.GENERALISE for v in shares.values()) >= 2
+
+
 def test_context_goes_past_other_matches(spark):
     # Plain numbers and neighbours of the same kind don't shorten the context.
     rng = random.Random(8)
