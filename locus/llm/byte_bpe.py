@@ -35,9 +35,8 @@ from locus.llm.columns import texts
 CHUNK, OVERLAP = 1 << 15, 1 << 10
 #: A match that ends so close to a chunk's end may have been cut short.
 MARGIN = 4
-#: Pre-tokens (or runs) whose ids a worker remembers, twice: the latest, and those before.
+#: Pre-tokens whose ids a worker remembers, twice: the latest, and those before.
 MEMO = 250_000
-RUNS = 150_000
 #: Bytes of a pre-token that is merged by a plain list; and a rank above all others.
 SHORT, NONE = 64, 1 << 62
 #: Bytes of ids or decoded text that a worker hands back to Spark at once.
@@ -90,8 +89,8 @@ def stitch(text: str, pattern: regex.Pattern, spans: list[tuple[int, int]], part
 class ByteBpe:
     """Ids of pre-tokens by a ``.tiktoken`` rank file or a byte-level ``.json``.
 
-    ``library`` leaves the merges of pre-tokens not yet remembered to tiktoken, for
-    callers that only need the ids (possible if the file's merges are in id order).
+    ``library`` leaves the merges of pre-tokens not yet remembered (in ``encode_whole``: the splitting too) to
+    tiktoken, for callers that only need the ids (possible if the file's merges are in id order).
     """
 
     def __init__(self, path: str, pattern: str, library: bool = False, memo: int = MEMO):
@@ -117,18 +116,17 @@ class ByteBpe:
                 self.ids = {base64.b64decode(t): int(i) for t, i in map(bytes.split, f)}
             by_id, self.rank = True, lambda a, b: get(a + b, NONE)
         get = self.ids.get
+        self.library = None
         if by_id and library:
             import tiktoken
 
-            self.merge = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=self.ids,
-                                           special_tokens={})._encode_single_piece
+            self.library = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=self.ids, special_tokens={})
+            self.merge = self.library._encode_single_piece
         self.bytes = {i: t for t, i in self.ids.items()} | {i: s.encode() for s, i in self.special.items()}
         self.specials = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.runs: dict[str, bytes] = {}
-        self.older_runs: dict[str, bytes] = {}
-        self.unsafe = regex.compile(r"\s ")
+        self.cut = regex.compile(r"(?<=\S) ")
 
     def merge(self, data: bytes) -> list[int]:
         """Ids of one pre-token: always the leftmost pair of least rank is merged."""
@@ -200,27 +198,30 @@ class ByteBpe:
         piece = self.piece
         return b"".join([self.memo.get(w) or piece(w) for w in pre_tokens(text, self.pattern)])
 
-    def encode_runs(self, text: str) -> bytes:
-        """``encode``, for callers with many texts: runs between spaces are remembered whole.
+    def encode_whole(self, text: str, chunk: int = CHUNK) -> bytes:
+        """``encode``, for callers that only need the ids: the library splits and merges stretches of a text.
 
-        White space after anything else always starts a pre-token, and no match looks back, so a
-        text can be cut before each such space and every run be split on its own.
+        A space after anything but white space always starts a pre-token, and no match looks back, so a long text can
+        be cut there.  What has no such place for long is left to the chunks that overlap.
         """
-        if self.specials and self.specials.search(text) or self.unsafe.search(text):
+        if self.library is None or self.specials and self.specials.search(text):
             return self.encode(text)
-        first, *rest = text.split(" ")
-        get, run = self.runs.get, self.run
-        return b"".join([self.plain(first), *[get(r) or run(r) for r in rest]])
-
-    def run(self, run: str) -> bytes:
-        got = self.older_runs.get(run)
-        if got is None:
-            got = b"".join([self.memo.get(w) or self.piece(w) for w in self.pattern.findall(" " + run)])
-        if len(run) < 256:
-            if len(self.runs) >= RUNS:
-                self.older_runs, self.runs = self.runs, {}
-            self.runs[run] = got
-        return got
+        out, at = [], 0
+        while at < len(text):
+            end = len(text)
+            if end - at > chunk:
+                place = self.cut.search(text, at + chunk // 2 + 1, at + chunk)
+                if place is None:
+                    place = self.cut.search(text, at + chunk)
+                    end = place.start() if place else end
+                    out.append(self.plain(text[at:end]))
+                    at = end
+                    continue
+                end = place.start()
+            ids = self.library.encode_to_numpy(text[at:end], disallowed_special=())
+            out.append(ids.astype("<u4", copy=False).tobytes())
+            at = end
+        return b"".join(out)
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.bytes.__getitem__, ids))

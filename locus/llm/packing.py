@@ -18,7 +18,7 @@ partitions are bounded and pieces are dealt by hash, no task grows with the
 data; only one row per partition (count and bound) and the histogram of lengths (one row for
 each length up to the capacity) reach the driver.
 
-Token ids come from ``byte_bpe``, where a worker remembers whole runs between spaces.
+Token ids come from ``byte_bpe``, which leaves stretches of a text to the library.
 
 A null or empty text is one piece with the closing id only.  Every row is a
 document of its own, also if its id repeats or is null; extra columns are ignored.
@@ -47,7 +47,7 @@ def pieces(docs: DataFrame, path: str, pattern: str, capacity: int, end_id: int
     closing = int(end_id).to_bytes(4, "little")
 
     def rows(row):
-        ids = codec(path, pattern, True, PRE_TOKENS).encode_runs(row[1]) + closing
+        ids = codec(path, pattern, True, PRE_TOKENS).encode_whole(row[1]) + closing
         n = len(ids) // 4
         cuts = [0, *range(n % capacity or capacity, n + 1, capacity)]
         for i, (a, b) in enumerate(zip(cuts, cuts[1:])):

@@ -115,12 +115,20 @@ def test_encode_and_decode_on_awkward_rows(spark, ranks_library):
 
 
 @settings(max_examples=200, deadline=None)
-@given(text=TEXTS)
-def test_runs_encode_as_the_library(text):
-    ids = np.frombuffer(byte_bpe.codec(JSON, vocab.PATTERN, True).encode_runs(text), "<u4").tolist()
+@given(text=TEXTS, chunk=st.integers(2, 12))
+def test_whole_texts_encode_as_the_library(text, chunk):
+    ids = np.frombuffer(byte_bpe.codec(JSON, vocab.PATTERN, True).encode_whole(text, chunk), "<u4").tolist()
     assert ids == JSON_LIB.encode(text, add_special_tokens=False).ids
 
 
+def test_whole_long_texts_encode_as_the_library():
+    rng = random.Random(17)
+    words = "".join(rng.choice(["the", " of", " ", "  ", "\n", "it's", "é", "12", "!?", " x"]) for _ in range(60_000))
+    for text in (words, "ab" * 50_000, "a b " + " " * 70_000 + "x y", "z" * 40_000 + " end " + words[:50_000], "\n" * 40_000):
+        ids = np.frombuffer(byte_bpe.codec(JSON, vocab.PATTERN, True).encode_whole(text), "<u4").tolist()
+        assert ids == JSON_LIB.encode(text, add_special_tokens=False).ids
+
+
 JSON_LIB = Tokenizer.from_file(JSON)
 
 
