@@ -45,7 +45,8 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as vocab
 
-    return token_counts.token_counts(read(spark, sf_dir, "documents"), vocab.path("word_bpe_49k.json"), TOKEN_LIMIT)
+    return token_counts.token_counts(read(spark, sf_dir, "documents"), vocab.path("word_bpe_49k.json"), TOKEN_LIMIT) \
+        .select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
 def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ from locus.llm import byte_bpe, packing, token_counts
 WORD_FILE, JSON, RANKS = (vocab.path(f) for f in ("word_bpe_49k.json", "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"))
 BITS = ["a", "ab", "the", "'", "'re", "'s", "'ll", " ", "  ", "\n", "\t", "\x1c", "\x85", "\xa0", "é", "é", "1", "２",
         "!", "!!", "İ", "Σ", "ß", "日本", "한", "<|endoftext|>", "<|startoftext|>", "<|STARTOFTEXT|>", "ing", "😀", "ﬁ", "‍",
-        "\x00"]
+        "\x00", "\U0003d000", "\u1c89"]
 TEXTS = st.lists(st.sampled_from(BITS) | st.characters(exclude_categories=["Cs"]), max_size=25).map("".join)
 
 
@@ -42,19 +42,77 @@ def test_transducer_counts_as_the_library(text):
     t = token_counts.transducer(WORD_FILE)
     want = len(LIB.encode(text, add_special_tokens=False).ids)
     # However the text is cut into chunks.
-    assert t.text(text) == t.text(text, 1) == t.text(text, 4) == want
+    assert t.text(text)[-1] == t.text(text, 1)[-1] == t.text(text, 4)[-1] == want
 
 
 LIB = Tokenizer.from_file(WORD_FILE)
 
 
+@settings(max_examples=150, deadline=None)
+@given(parts=st.lists(TEXTS.filter(lambda x: not any(s in x for s in ("<|",))), min_size=1, max_size=6))
+def test_state_maps_compose_to_the_run_over_the_whole(parts):
+    t = token_counts.transducer(WORD_FILE)
+    parts = [p for p in parts if p and token_counts.starts(p[0])]
+    maps = [token_counts.StateMap(lambda s, p=p: t.advance(s, p, False)) for p in parts]
+    entries = [token_counts.REST] + [t.advance(token_counts.REST, x, False)[0] for x in ("ab", "!", "'", "x'r", "1'l", "'ve", "日")]
+    for i, scanned in enumerate(token_counts.prefix_scan(maps)):
+        for entry in entries:
+            state, n = entry, 0
+            for m in maps[:i + 1]:
+                state, more = m(state)
+                n += more
+            assert scanned(entry) == (state, n)
+    for entry, before in zip(entries, ("", "ab", "!", "'", "x'r", "1'l", "'ve", "日")):
+        whole = "".join(parts)
+        state, n = t.advance(entry, whole, True)
+        assert state == token_counts.REST
+        if not whole or token_counts.starts(whole[0]):
+            n += t.advance(token_counts.REST, before, False)[1]
+            assert n == len(LIB.encode(before + whole, add_special_tokens=False).ids)
+
+
 def test_prefix_scan_has_every_prefix():
     t = token_counts.transducer(WORD_FILE)
     text = "It's a long-ish text, with   spaces\nand lines. " * 7
-    maps = [t.chunk_map(text[i:i + 5]) for i in range(0, len(text), 5)]
-    scanned = token_counts.prefix_scan(maps, t.compose)
-    for i, m in enumerate(scanned):
-        assert t.total(m) == len(LIB.encode(text[:5 * (i + 1)], add_special_tokens=False).ids)
+    for size in (5, 48, 100):
+        ends = [*range(size, len(text), size), len(text)]
+        got = t.prefixes(text, size)
+        assert len(got) == len(ends) and got[-1] == len(LIB.encode(text, add_special_tokens=False).ids)
+        for end, n in zip(ends, got):
+            if text[end - 1].isspace():  # no word is open there
+                assert n == len(LIB.encode(text[:end], add_special_tokens=False).ids)
+
+
+@pytest.mark.parametrize("text", ["a" * 5000, "ha" * 3000 + "!" * 999, "é" * 2000, "日本語" * 900, "ACGT" * 1500 + "'s",
+                                  "x'" * 1200, "=" * 4097 + "'ll", "e\u0301" * 1500, "0123456789abcdef" * 300, "\u0301" * 700 + "z"])
+def test_unbroken_texts_whose_entry_states_differ(text):
+    """Periodic texts lead each chunk to another place of the period than its first guess."""
+    t = token_counts.Transducer(WORD_FILE)
+    want = len(LIB.encode(text, add_special_tokens=False).ids)
+    for size in (7, 64, 301, 1024):
+        assert t.text(text, size)[-1] == want
+
+
+def test_a_state_map_does_not_grow_with_its_chunk():
+    t = token_counts.Transducer(WORD_FILE)
+    for text in ("a" * 40_000, "abcde" * 8000, "!a" * 20_000):
+        sizes = []
+        for chunk in (1000, 10_000):
+            maps = [token_counts.StateMap(lambda s, i=i: t.advance(s, text[i:i + chunk], False)) for i in range(0, len(text), chunk)]
+            for i, m in enumerate(maps):
+                m(t.advance(token_counts.REST, text[max(0, i * chunk - token_counts.LOOKBACK):i * chunk], False)[0])
+            token_counts.prefix_scan(maps)[-1](token_counts.REST)
+            sizes.append(max(len(m.table) for m in maps))
+        assert max(sizes) <= 32
+
+
+def test_a_worker_forgets_states_between_texts(monkeypatch):
+    monkeypatch.setattr(token_counts, "STATES", 50)
+    t = token_counts.Transducer(WORD_FILE)
+    for i in range(30):
+        text = f"word{i} unusualness{chr(97 + i % 26) * 9} zyx"
+        assert t.text(text)[-1] == len(LIB.encode(text, add_special_tokens=False).ids)
+    assert len(t.states) < 200
 
 
 def test_long_text_without_white_space_stays_small():
@@ -63,17 +121,18 @@ def test_long_text_without_white_space_stays_small():
     each = sum(map(t.count, ("abc", "1", "+")))
     tracemalloc.start()
     try:
-        assert t.text(text) == 400_000 * each
+        assert t.text(text)[-1] == 400_000 * each
         peak = tracemalloc.get_traced_memory()[1]
     finally:
         tracemalloc.stop()
-    assert peak < 8 * len(text) and text not in t.memo
+    assert peak < 4 * len(text) and text not in t.memo
 
 
 def test_token_counts_on_awkward_rows(spark, word_library):
     out = token_counts.token_counts(frame(spark), WORD_FILE, 2048)
-    assert out.columns == ["doc_id", "n_bytes", "n_tokens", "over_limit"]
-    got = sorted(map(tuple, out.collect()), key=repr)
+    assert out.columns == ["doc_id", "n_bytes", "n_tokens", "over_limit", "chunk_tokens"]
+    assert out.filter("element_at(chunk_tokens, -1) <> n_tokens").count() == 0
+    got = sorted((tuple(r)[:4] for r in out.collect()), key=repr)
     want = []
     for i, t in rows():
         n = len(word_library.encode(t or "", add_special_tokens=False).ids)
