@@ -12,6 +12,45 @@ lines AS (
           FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents))
 )"""
 
+#: All pairs by brute force; components by closing the links.
+OP7 = r"""
+WITH RECURSIVE
+vectors AS (
+    SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+units AS (SELECT vec_id, v, sqrt(list_dot_product(v, v)) AS norm FROM vectors WHERE list_dot_product(v, v) > 0),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM units a, units b
+    WHERE a.vec_id <> b.vec_id
+      AND CASE WHEN len(a.v) = len(b.v) THEN list_dot_product(a.v, b.v) / (a.norm * b.norm) >= 0.95 ELSE false END),
+reached AS (
+    SELECT vec_id AS a, vec_id AS b FROM embeddings
+    UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+components AS (SELECT a, min(b) AS component_id FROM reached GROUP BY a)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN components ON vec_id = components.a
+"""
+
+#: Each word with the window that starts at it; a word goes if one of the 50 windows that end at it or after starts in a smaller document.
+OP9 = r"""
+WITH split AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+    FROM documents),
+words AS (
+    SELECT doc_id, i, w[i] AS word, CASE WHEN i + 49 <= len(w) THEN md5(array_to_string(w[i:i + 49], ' ')) END AS passage
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM split)),
+starts AS (
+    SELECT doc_id, i, word, passage IS NOT NULL AND doc_id > min(doc_id) OVER (PARTITION BY passage) AS lost FROM words),
+marked AS (
+    SELECT doc_id, i, word, bool_or(lost) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone
+    FROM starts),
+left_over AS (
+    SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept
+    FROM marked GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM split LEFT JOIN left_over USING (doc_id)
+"""
+
 OP10 = rf"""
 WITH {LINES},
 hot AS (SELECT key FROM lines WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10),
@@ -117,4 +156,5 @@ FROM summed
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_line_dedup": OP10, "op12_importance_resampling": OP12, "op13_filter_audit": OP13}
+    return {"op7_embedding_dedup": OP7, "op9_substring_dedup": OP9, "op10_line_dedup": OP10, "op12_importance_resampling": OP12,
+            "op13_filter_audit": OP13}
